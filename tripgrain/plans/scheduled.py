@@ -125,27 +125,29 @@ class ScheduledPlan:
         )
         return trip_rows.join(stop_rows, "TripId")
 
-    @cached_property
-    def packed_view(self) -> DataFrame:
-        """The analytical view without surrogate keys and before the fan-out.
-
-        ``ServiceDays`` is the number of dates a row stands for; counting reports sum it.
-        """
-        route_values = routes.build_dim_route(
-            self.feed.routes, self.classification, self.feed.agency, with_key=False
-        ).drop("AgencyId", "SourceRouteType")
-        names = self.feed.stops.select(
+    def _named_calls(self, with_key: bool) -> DataFrame:
+        """Calls with the attributes of the analytical view, straight from the staged tables."""
+        feed = self.feed
+        route_values = routes.build_dim_route(feed.routes, self.classification, feed.agency, with_key=False)
+        names = feed.stops.select(
             F.col("StopId").alias("ParentStation"), F.col("StopName").alias("ParentStationName")
         )
         stop_values = lookup_join(
-            self.feed.stops.select(
+            feed.stops.select(
                 "StopId", "StopName", "ParentStation", "PlatformCode",
                 F.col("StopLat").alias("Latitude"), F.col("StopLon").alias("Longitude"),
             ),
             names, ["ParentStation"], ["StopId"], "left",
         )
-        calls = self._calls(route_values, stop_values, with_key=False)
-        return calls.withColumn("ServiceDays", F.size("ServiceDates"))
+        return self._calls(route_values.drop("AgencyId", "SourceRouteType"), stop_values, with_key)
+
+    @cached_property
+    def packed_view(self) -> DataFrame:
+        """The analytical view without surrogate keys and before the fan-out.
+
+        ``ServiceDays`` is the number of dates a row stands for; counting reports sum it.
+        """
+        return self._named_calls(with_key=False).withColumn("ServiceDays", F.size("ServiceDates"))
 
     @staticmethod
     def _timed(rows: DataFrame) -> DataFrame:
@@ -161,7 +163,13 @@ class ScheduledPlan:
     @cached_property
     def view(self) -> DataFrame:
         """The analytical view without surrogate keys, one row per trip-stop."""
-        return self._timed(trips.fan_out(self.packed_view.drop("ServiceDays")))
+        return self._timed(trips.fan_out(self._named_calls(with_key=False)))
+
+    @cached_property
+    def keyed_view(self) -> DataFrame:
+        """As :attr:`view`, with the trip instance and trip-stop keys."""
+        rows = self._timed(trips.fan_out(self._named_calls(with_key=True)))
+        return rows.withColumn("FactTripStopKey", trip_stop_key())
 
     @cached_property
     def fact(self) -> DataFrame:
