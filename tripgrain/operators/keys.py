@@ -22,7 +22,8 @@ class DuplicateKeyError(ValueError):
 
 
 def running_total(
-    df: DataFrame, order_by: Sequence[str], weight: str, name: str, one_task_bytes: int = ONE_TASK_BYTES
+    df: DataFrame, order_by: Sequence[str], weight: str, name: str,
+    one_task_bytes: int = ONE_TASK_BYTES, size: int | None = None,
 ) -> DataFrame:
     """Add ``name``: the sum of ``weight`` over all rows that come before, in ``order_by`` order.
 
@@ -31,7 +32,7 @@ def running_total(
     partitions before it. The only one-task step sees one row per partition.
     """
     before = Window.orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
-    if estimated_bytes(df) <= one_task_bytes:
+    if (estimated_bytes(df) if size is None else size) <= one_task_bytes:
         return df.withColumn(name, F.coalesce(F.sum(weight).over(before), F.lit(0)))
     placed = freeze(
         df.repartitionByRange(*order_by).withColumn("_part", F.spark_partition_id())

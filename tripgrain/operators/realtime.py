@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tripgrain.functions.times import compact_timestamp, delay_minutes, is_cancelled
 from tripgrain.operators.joins import broadcast_limit, estimated_bytes, lookup_join
 from tripgrain.schemas import TIMETABLE
+from tripgrain.session import freeze
 
 SNAPSHOT_COLUMNS = (
     "DbEventId", "StationEva", "LineName", "TrainName", "PlannedArrival", "ChangedArrival",
@@ -136,20 +137,20 @@ def match_targets(fact: DataFrame, dim_route: DataFrame, dim_stop: DataFrame) ->
 
 
 def _keyed_events(state: DataFrame, station_map: DataFrame) -> DataFrame:
-    """Events with their comparison key: the times that are present decide its kind."""
+    """Event states with their comparison key: the times that are present decide its kind."""
     arrival, departure = F.col("PlannedArrival"), F.col("PlannedDeparture")
     stations = station_map.select("StationEva", F.col("ParentStationId").alias("_station"))
-    return lookup_join(
-        state.select("DbEventId", "StationEva", "LineName", "PlannedArrival", "PlannedDeparture"),
-        stations, ["StationEva"], ["DbEventId"], "left",
-    ).select(
-        "DbEventId",
+    kind = (
         F.when(arrival.isNotNull() & departure.isNotNull(), "both")
-        .when(arrival.isNotNull(), "arrival").when(departure.isNotNull(), "departure").alias("_kind"),
-        "_station",
-        _line(F.col("LineName")).alias("_line"),
-        F.coalesce(arrival, departure).alias("_t1"),
-        F.coalesce(departure, arrival).alias("_t2"),
+        .when(arrival.isNotNull(), "arrival")
+        .when(departure.isNotNull(), "departure")
+    )
+    return (
+        lookup_join(state, stations, ["StationEva"], ["DbEventId"], "left")
+        .withColumn("_kind", kind)
+        .withColumn("_line", _line(F.col("LineName")))
+        .withColumn("_t1", F.coalesce(arrival, departure))
+        .withColumn("_t2", F.coalesce(departure, arrival))
     )
 
 
@@ -170,7 +171,8 @@ def match_events(state: DataFrame, targets: DataFrame, station_map: DataFrame) -
 
     A pair is a candidate when station and line agree and every planned time on the event equals the
     scheduled time of the same kind. It is kept when it is the only candidate on both sides. All
-    work is on counts per comparison key, so candidates are never enumerated in pairs.
+    work is on counts per comparison key, so candidates are never enumerated in pairs. The counts
+    are stored once, because three later steps read them.
     """
     events = _keyed_events(state, station_map)
     stops = targets.select(
@@ -180,52 +182,46 @@ def match_events(state: DataFrame, targets: DataFrame, station_map: DataFrame) -
     )
     places = events.select("_station", "_line").distinct()
     if estimated_bytes(places) <= broadcast_limit(places):
-        stops = stops.join(places, ["_station", "_line"], "left_semi")
-
-    event_side = events.dropna(subset=_KEY).select(
-        *_KEY, F.lit(1).alias("_e"), F.lit(0).alias("_s"), "DbEventId",
-        F.lit(None).cast(_stop_type(targets)).alias("_stop"),
-    )
-    stop_side = _target_keys(stops).dropna(subset=_KEY).select(
-        *_KEY, F.lit(0).alias("_e"), F.lit(1).alias("_s"), F.lit(None).cast("string").alias("DbEventId"),
-        F.struct("FactTripStopKey", "DateKey", "_arr", "_dep").alias("_stop"),
-    )
-    live = (
-        event_side.unionByName(stop_side)
+        stops = stops.join(F.broadcast(places), ["_station", "_line"], "left_semi")
+
+    stop_values = ["FactTripStopKey", "DateKey", "_arr", "_dep"]
+    event_side = events.select(*_KEY, F.lit(1).alias("_e"), F.lit(0).alias("_s"))
+    stop_side = _target_keys(stops).select(*_KEY, F.lit(0).alias("_e"), F.lit(1).alias("_s"), *stop_values)
+    live = freeze(
+        event_side.unionByName(stop_side, allowMissingColumns=True)
+        .dropna(subset=_KEY)
         .groupBy(*_KEY)
         .agg(
             F.sum("_e").alias("_events"), F.sum("_s").alias("_stops"),
-            F.min("DbEventId").alias("DbEventId"), F.min("_stop").alias("_stop"),
+            *[F.min(c).alias(c) for c in stop_values],  # the values of the stop where there is one
         )
         .filter("_events > 0 AND _stops > 0")
     )
-    single = live.filter("_stops = 1").select("_station", "_line", "_events", "DbEventId", "_stop.*")
-    candidates = single.select("FactTripStopKey", "DateKey", "_station", "_line", "_arr", "_dep").distinct()
+    single = live.filter("_stops = 1")
+    candidates = single.select(*stop_values, "_station", "_line").distinct()
     rivals = (
         lookup_join(_target_keys(candidates), live.select(*_KEY, "_events"), _KEY, ["FactTripStopKey"])
         .groupBy("FactTripStopKey")
         .agg(F.sum("_events").alias("_rivals"))
-        .filter("_rivals = 1")
-        .select("FactTripStopKey")
     )
-    pairs = single.filter("_events = 1").select("DbEventId", "FactTripStopKey", "DateKey").join(
-        rivals, "FactTripStopKey", "left_semi"
+    paired = (
+        single.filter("_events = 1")
+        .join(rivals.filter("_rivals = 1"), "FactTripStopKey")
+        .select(*_KEY, "FactTripStopKey", "DateKey")
     )
-    matched = state.join(pairs, "DbEventId").withColumn("MatchRule", F.lit("station + line + planned times"))
-    open_events = events.join(pairs.select("DbEventId"), "DbEventId", "left_anti")
-    unmatched = lookup_join(open_events, live.select(*_KEY, "_stops"), _KEY, ["DbEventId"], "left").select(
-        "DbEventId",
-        F.when(F.col("_stops") > 0, "many").otherwise("none").alias("Reason"),
+    plain = state.columns
+    matched = events.join(paired, _KEY).select(
+        *plain, "FactTripStopKey", "DateKey", F.lit("station + line + planned times").alias("MatchRule")
     )
-    return Match(matched, unmatched)
-
-
-def _stop_type(targets: DataFrame) -> str:
-    types = {f.name: f.dataType.simpleString() for f in targets.schema.fields}
-    return (
-        f"struct<FactTripStopKey:{types['FactTripStopKey']},DateKey:{types['DateKey']},"
-        "_arr:timestamp_ntz,_dep:timestamp_ntz>"
+    seen = live.select(*_KEY, F.lit(True).alias("_seen")).join(
+        paired.select(*_KEY, F.lit(True).alias("_paired")), _KEY, "left"
+    )
+    unmatched = (
+        lookup_join(events, seen, _KEY, ["DbEventId"], "left", size=estimated_bytes(live))
+        .filter(F.col("_paired").isNull())
+        .select("DbEventId", F.when(F.col("_seen"), "many").otherwise("none").alias("Reason"))
     )
+    return Match(matched, unmatched)
 
 
 # ---------------------------------------------------------------- load

@@ -22,10 +22,9 @@ def first_instance_keys(trips: DataFrame, service_dates: DataFrame) -> DataFrame
     The numbering runs over trips, with their number of dates as weight, never over the instances.
     """
     days = service_dates.groupBy("ServiceId").agg(F.count("*").alias("_days"))
-    weighted = lookup_join(
-        trips.select("TripId", "ServiceId"), days, ["ServiceId"], ["TripId"]
-    ).select("TripId", "_days")
-    numbered = running_total(weighted, ["TripId"], "_days", "_before")
+    named = trips.select("TripId", "ServiceId")
+    weighted = lookup_join(named, days, ["ServiceId"], ["TripId"]).select("TripId", "_days")
+    numbered = running_total(weighted, ["TripId"], "_days", "_before", size=estimated_bytes(named))
     return numbered.select("TripId", (F.col("_before") + 1).alias("FirstInstanceKey"))
 
 

@@ -10,6 +10,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from tripgrain.plans.scheduled import Feed
+from tripgrain.schemas import FEED
 
 SOURCES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -75,9 +76,23 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **{table: load(spark, sf_dir, table) for table in used})
 
 
+class AdapterFeed(Feed):
+    """The feed over test tables; a view is built when it is first used."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.__dict__.update(_spark=spark, _sf_dir=sf_dir)
+
+    def __getattribute__(self, name: str):
+        if name not in FEED:
+            return super().__getattribute__(name)
+        built = self.__dict__
+        if name not in built:
+            built[name] = view(self._spark, self._sf_dir, name)
+        return built[name]
+
+
 def feed(spark: SparkSession, sf_dir: str) -> Feed:
-    names = ("agency", "routes", "trips", "stops", "stop_times", "calendar", "calendar_dates", "feed_info")
-    return Feed(**{name: view(spark, sf_dir, name) for name in names})
+    return AdapterFeed(spark, sf_dir)
 
 
 def duckdb_text(name: str) -> str:

@@ -247,14 +247,16 @@ _SUMMARY = f"""
 SELECT count(*) AS TotalRows, count(*) FILTER (WHERE IsArrivalCancelled) AS ArrivalCancelled,
  count(*) FILTER (WHERE ChangedPlatform IS NOT NULL) AS WithChangedPlatform, count(*) FILTER (WHERE {_MOVED}) AS PlatformChanged
 FROM observations"""
-_CHANGED_TIME = _MINUTE.format("ts + to_days(CAST(event_id % 31 AS INT))")
+_CHANGED_TIME = _MINUTE.format("ts + to_minutes(CAST(event_id % 31 AS BIGINT))")
 
 _TOTAL = "SELECT TransportMode, count(*) AS n FROM {0} GROUP BY TransportMode"
 
 _SELECTS: dict[str, str] = {
     # feed files
-    **{f"read_{name}": f"SELECT * FROM {name}" for name in (
-        "agency", "routes", "trips", "stops", "stop_times", "calendar", "calendar_dates", "feed_info")},
+    **{f"read_{name}": f"SELECT * REPLACE ({', '.join(f'CAST({c} AS STRING) AS {c}' for c in ids)}) FROM {name}" for name, ids in (
+        ("agency", ("AgencyId",)), ("routes", ("RouteId", "AgencyId")), ("trips", ("TripId", "RouteId", "ServiceId")),
+        ("stops", ("StopId", "ParentStation")), ("stop_times", ("TripId", "StopId")), ("calendar", ("ServiceId",)),
+        ("calendar_dates", ("ServiceId",)), ("feed_info", ("FeedVersion",)))},
     "load_stamp": "SELECT RouteId, true AS HasLoadStamp FROM routes",
     "table_counts": " UNION ALL ".join(
         f"SELECT '{name}' AS TableName, count(*) AS RowCount FROM {name}" for name in (
@@ -349,8 +351,8 @@ FROM ({_TOTAL.format('trip_stops')}) AS w FULL OUTER JOIN ({_TOTAL.format('view'
     "dq_coordinates": _count("MissingCoordinates", "stops WHERE StopLat IS NULL OR StopLon IS NULL") + " UNION ALL "
     + _count("InvalidCoordinates", "stops WHERE abs(StopLat) > 90 OR abs(StopLon) > 180"),
     "dq_stop_sequences": _count("NegativeStopSequence", "stop_times WHERE StopSequence < 0") + " UNION ALL "
-    + _count("TimeGoesBackward", f"""(SELECT {_SECONDS.format('ArrivalTime')} AS at,
- lag({_SECONDS.format('DepartureTime')}) OVER (PARTITION BY TripId ORDER BY StopSequence) AS gone FROM stop_times) AS x WHERE at < gone"""),
+    + _count("TimeGoesBackward", f"""(SELECT {_SECONDS.format('ArrivalTime')} AS here,
+ lag({_SECONDS.format('DepartureTime')}) OVER (PARTITION BY TripId ORDER BY StopSequence) AS gone FROM stop_times) AS x WHERE here < gone"""),
     "dq_fact_references": " UNION ALL ".join([
         _orphans("FactWithoutDate", "fact", "dim_date", "DateKey"),
         _orphans("FactWithoutRoute", "fact", "dim_route", "RouteKey"),
@@ -406,7 +408,7 @@ SELECT CAST(event_id AS STRING) AS DbEventId, CAST(date_trunc('day', ts) AS TIME
 SELECT CAST(event_id AS STRING) AS DbEventId, CAST(user_id AS STRING) AS StationEva, 'S' || CAST(event_id % 12 AS STRING) AS LineName,
  CAST(NULL AS STRING) AS TrainName, {_MINUTE.format('ts')} AS PlannedArrival,
  CASE WHEN event_type NOT IN ('error', 'signup') THEN {_CHANGED_TIME} END AS ChangedArrival,
- CASE WHEN event_type NOT IN ('error', 'signup') THEN CAST(event_id % 31 * 1440 AS INT) END AS ArrivalDelayMinutes,
+ CASE WHEN event_type NOT IN ('error', 'signup') THEN CAST(event_id % 31 AS INT) END AS ArrivalDelayMinutes,
  event_type = 'error' AS IsArrivalCancelled,
  CASE WHEN event_id % 2 = 0 THEN {_MINUTE.format('ts + INTERVAL 2 MINUTE')} END AS PlannedDeparture,
  CAST(NULL AS TIMESTAMP) AS ChangedDeparture, CAST(NULL AS INT) AS DepartureDelayMinutes, false AS IsDepartureCancelled,

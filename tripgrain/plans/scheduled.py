@@ -71,21 +71,21 @@ class ScheduledPlan:
         return trips.normalize_times(self.trip_stops)
 
     @cached_property
-    def scoped_calendars(self) -> DataFrame:
-        """In-scope trips that run on at least one date, dates packed."""
-        in_scope = trips.scoped_trips(self.feed.trips, self.classification)
-        return trips.pack_dates(in_scope, self.service_dates, heat=self.feed.trips)
+    def calls(self) -> DataFrame:
+        """In-scope trips at their stops, one row per trip and stop, dates packed.
 
-    @cached_property
-    def scoped_stop_times(self) -> DataFrame:
-        """Stop times of in-scope trips that run on at least one date."""
-        return self.feed.stop_times.join(self.scoped_calendars.select("TripId"), "TripId", "left_semi")
+        Dimensions and fact all derive from it; :meth:`store_calls` keeps it from being computed again.
+        """
+        return self._calls(routes.in_scope(self.classification), None, with_key=True)
+
+    def store_calls(self, folder: str) -> ScheduledPlan:
+        self.calls = write_table(self.calls, f"{folder}/calls")
+        return self
 
     @cached_property
     def dim_date(self) -> DataFrame:
         """Every date from the first to the last trip-stop."""
-        stopping = self.scoped_calendars.join(self.feed.stop_times.select("TripId"), "TripId", "left_semi")
-        bounds = stopping.agg(
+        bounds = self.calls.agg(
             F.min(F.array_min("ServiceDates")).alias("FirstDate"),
             F.max(F.array_max("ServiceDates")).alias("LastDate"),
         )
@@ -97,9 +97,9 @@ class ScheduledPlan:
 
     @cached_property
     def dim_stop(self) -> DataFrame:
-        return stops.build_dim_stop(self.scoped_stop_times, self.feed.stops)
+        return stops.build_dim_stop(self.calls, self.feed.stops)
 
-    def _calls(self, route_values: DataFrame, stop_values: DataFrame, with_key: bool) -> DataFrame:
+    def _calls(self, route_values: DataFrame, stop_values: DataFrame | None, with_key: bool) -> DataFrame:
         """One row per in-scope trip and stop, dates packed, with route and stop values attached.
 
         Routes and stops are unique lookups: they cannot have more rows than the staged tables.
@@ -119,11 +119,12 @@ class ScheduledPlan:
         trip_rows = trips.pack_dates(in_scope, self.service_dates, heat=feed.trips)
         if with_key:
             trip_rows = trip_rows.join(trips.first_instance_keys(feed.trips, self.service_dates), "TripId")
-        stop_rows = lookup_join(
-            timed, stop_values, ["StopId"], ["TripId", "StopSequence"],
-            size=estimated_bytes(feed.stops), heat=feed.stop_times,
-        )
-        return trip_rows.join(stop_rows, "TripId")
+        if stop_values is not None:
+            timed = lookup_join(
+                timed, stop_values, ["StopId"], ["TripId", "StopSequence"],
+                size=estimated_bytes(feed.stops), heat=feed.stop_times,
+            )
+        return trip_rows.join(timed, "TripId")
 
     def _named_calls(self, with_key: bool) -> DataFrame:
         """Calls with the attributes of the analytical view, straight from the staged tables."""
@@ -177,8 +178,14 @@ class ScheduledPlan:
 
         ``dim_date`` spans exactly the dates of these rows, so its join only computes the key.
         """
-        calls = self._calls(
-            self.dim_route.select("RouteId", "RouteKey"), self.dim_stop.select("StopId", "StopKey"), with_key=True
+        spread = ["TripId", "StopSequence"]
+        calls = lookup_join(
+            self.calls, self.dim_route.select("RouteId", "RouteKey"), ["RouteId"], spread,
+            size=estimated_bytes(self.feed.routes),
+        )
+        calls = lookup_join(
+            calls, self.dim_stop.select("StopId", "StopKey"), ["StopId"], spread,
+            size=estimated_bytes(self.feed.stops), heat=self.calls,
         )
         rows = self._timed(trips.fan_out(calls))
         return (
@@ -189,6 +196,7 @@ class ScheduledPlan:
 
     def store_star(self, folder: str) -> ScheduledPlan:
         """Write dimensions and fact below ``folder``; later work on this plan reads the stored tables."""
+        self.store_calls(folder)
         self.dim_date = write_table(self.dim_date, f"{folder}/dim_date")
         self.dim_route = write_table(self.dim_route, f"{folder}/dim_route")
         self.dim_stop = write_table(self.dim_stop, f"{folder}/dim_stop")

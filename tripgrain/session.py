@@ -38,7 +38,6 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="tripgrain-")
-    if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
@@ -49,6 +48,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def freeze(df: DataFrame) -> DataFrame:
-    """Store ``df`` in the checkpoint folder and cut its lineage."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Store ``df`` below the shared folder and read it back: lineage is cut and the size is known."""
+    path = scratch_path(df.sparkSession, "frozen")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
