@@ -64,7 +64,7 @@ def platform_changed(planned: Column, changed: Column) -> Column:
 
 def as_utc_instant(wall: Column) -> Column:
     """The wall clock read as UTC, for operators that need an instant (watermarks)."""
-    return F.make_timestamp(
+    return F.make_timestamp_ltz(
         F.year(wall), F.month(wall), F.dayofmonth(wall), F.hour(wall), F.minute(wall),
         F.extract(F.lit("SECOND"), wall), F.lit("UTC"),
     )

@@ -54,17 +54,17 @@ def reconcile_counts(work: DataFrame, fact: DataFrame) -> DataFrame:
     return row_count(work, "WorkRowCount").crossJoin(row_count(fact, "FactRowCount"))
 
 
-def volume(view: DataFrame, by: Sequence[Column | str], weight: Column | None = None) -> DataFrame:
-    """Scheduled stops per group. ``weight`` counts rows that stand for several stops."""
-    amount = F.count("*") if weight is None else F.sum(weight.cast("long"))
+def volume(view: DataFrame, by: Sequence[Column | str], weight: str | None = None) -> DataFrame:
+    """Scheduled stops per group. ``weight`` names the number of stops a row stands for."""
+    amount = F.count("*") if weight is None else F.sum(F.col(weight).cast("long"))
     return view.groupBy(*by).agg(amount.alias("ScheduledStopCount"))
 
 
-def volume_by_mode(view: DataFrame, weight: Column | None = None) -> DataFrame:
+def volume_by_mode(view: DataFrame, weight: str | None = None) -> DataFrame:
     return volume(view, ["TransportMode"], weight)
 
 
-def volume_by_route(view: DataFrame, weight: Column | None = None) -> DataFrame:
+def volume_by_route(view: DataFrame, weight: str | None = None) -> DataFrame:
     """Routes without an operator form a group of their own."""
     return volume(view, ["RouteShortName", "TransportMode", "OperatorName"], weight)
 
@@ -73,7 +73,7 @@ def station_name() -> Column:
     return F.coalesce("ParentStationName", "StopName")
 
 
-def volume_by_station(view: DataFrame, weight: Column | None = None) -> DataFrame:
+def volume_by_station(view: DataFrame, weight: str | None = None) -> DataFrame:
     return volume(view, [station_name().alias("StationName")], weight)
 
 

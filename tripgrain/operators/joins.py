@@ -77,7 +77,7 @@ def lookup_join(
     limit = broadcast_limit(small)
     if (estimated_bytes(small) if size is None else size) <= limit:
         return big.join(F.broadcast(small), keys, how)
-    if estimated_bytes(small) <= limit:  # Catalyst would broadcast on an estimate known to be low
-        small = small.hint("merge")
     left, right, join_keys = split_hot_keys(big, small, keys, spread_by, hot_rows, heat)
+    if estimated_bytes(right) <= limit:  # Catalyst would broadcast on an estimate known to be low
+        right = right.hint("merge")
     return left.join(right, join_keys, how).drop("_piece")

@@ -193,7 +193,7 @@ def headways(view: DataFrame) -> DataFrame:
     )
 
 
-def scheduled_volume(view: DataFrame, by: str, weight: Column | None = None) -> DataFrame:
+def scheduled_volume(view: DataFrame, by: str, weight: str | None = None) -> DataFrame:
     """Scheduled stops by "day", "route", "mode", "weekend" or "hour"."""
     groups = {
         "day": F.col("ServiceDate"),
@@ -202,5 +202,5 @@ def scheduled_volume(view: DataFrame, by: str, weight: Column | None = None) ->
         "weekend": F.dayofweek("ServiceDate").isin(1, 7).alias("IsWeekend"),
         "hour": F.hour(F.coalesce("ScheduledDepartureDateTime", "ScheduledArrivalDateTime")).alias("HourOfDay"),
     }
-    amount = F.count("*") if weight is None else F.sum(weight.cast("long"))
+    amount = F.count("*") if weight is None else F.sum(F.col(weight).cast("long"))
     return view.groupBy(groups[by]).agg(amount.alias("ScheduledStopCount"))

@@ -28,7 +28,7 @@ class RebindError(ValueError):
 
 def _events(documents: DataFrame) -> DataFrame:
     """One row per ``s`` element; absent attributes and children are NULL."""
-    parsed = documents.withColumn("_doc", F.from_xml("Document", TIMETABLE.simpleString()))
+    parsed = documents.withColumn("_doc", F.from_xml("Document", TIMETABLE))
     return parsed.select(
         "PlanHour", "CapturedAt", F.col("StationEva").alias("_station"), F.inline("_doc.s")
     )

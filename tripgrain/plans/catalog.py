@@ -24,6 +24,7 @@ from tripgrain.operators import (
 from tripgrain.plans import adapter
 from tripgrain.plans.adapter import load, view
 from tripgrain.plans.scheduled import ScheduledPlan
+from tripgrain.schemas import FEED, feed_columns
 from tripgrain.session import scratch_path
 from tripgrain.sources import feed as feed_source
 from tripgrain.sources import tables
@@ -67,7 +68,7 @@ def _round_trip(table: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         folder = scratch_path(spark, "feed")
         source = view(spark, sf, table)
-        names = [f.name for f in feed_source.FEED[table].fields]
+        names = feed_columns(table)
         present = set(source.columns)
         columns = [F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in names]
         source.select(*columns).write.option("header", True).option("escape", '"').csv(f"{folder}/{table}.txt")
@@ -76,7 +77,7 @@ def _round_trip(table: str) -> Query:
     return run
 
 
-for _table in feed_source.FEED:
+for _table in FEED:
     QUERIES[f"read_{_table}"] = _round_trip(_table)
 
 
@@ -143,7 +144,7 @@ def _trip_itinerary(spark: SparkSession, sf: str) -> DataFrame:
     return facts.trip_itinerary(fact, first)
 
 
-_days = F.col("ServiceDays")
+_days = "ServiceDays"
 _on_plan("volume_by_mode", lambda p: aggregates.volume_by_mode(p.packed_view, _days))
 _on_plan("volume_by_route", lambda p: aggregates.volume_by_route(p.packed_view, _days))
 _on_plan("volume_by_station", lambda p: aggregates.volume_by_station(p.packed_view, _days))

@@ -11,7 +11,6 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.timestampType": "TIMESTAMP_NTZ",
 }
 
 

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from tripgrain.schemas import FEED
 
 REJECTED = "_rejected_line"
 
 
-def _reader(spark: SparkSession, schema: StructType, strict: bool, multi_line: bool):
+def _reader(spark: SparkSession, schema: str, strict: bool, multi_line: bool):
     return (
         spark.read.schema(schema)
         .option("header", True)
@@ -38,7 +37,7 @@ def read_feed(
 
 def rejected_lines(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """Lines of a feed file that do not fit the declared schema."""
-    schema = StructType([*FEED[table].fields, StructField(REJECTED, StringType())])
+    schema = f"{FEED[table]}, {REJECTED} string"
     rows = (
         _reader(spark, schema, strict=False, multi_line=False)
         .option("columnNameOfCorruptRecord", REJECTED)

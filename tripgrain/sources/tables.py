@@ -62,6 +62,10 @@ def land_raw(documents: DataFrame, path: str) -> None:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a finished Spark write is present at ``path``."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write of the whole table at ``path`` came to its end."""
+    return exists(spark, f"{path}/_SUCCESS")

@@ -20,7 +20,14 @@ from tripgrain.operators.realtime import (
     upsert_fact,
 )
 from tripgrain.schemas import RAW_DOCUMENT
-from tripgrain.sources.tables import append_observations, exists, read_observations, replace_partitions, write_table
+from tripgrain.sources.tables import (
+    append_observations,
+    exists,
+    is_complete,
+    read_observations,
+    replace_partitions,
+    write_table,
+)
 
 FACT_COLUMNS = (
     "DbEventId", "FactTripStopKey", "DateKey", "ObservationKey", "StationEva", "LineName", "TrainName",
@@ -79,10 +86,11 @@ def merge_into_fact(spark: SparkSession, source: DataFrame, paths: RealtimePaths
 
     Only the service dates present in the source are rewritten. The new content is stored first and
     copied over the old partitions afterwards: a lost job repeats the copy, and a batch that was
-    merged before merges to the same rows.
+    merged before merges to the same rows. The folder and the stream checkpoint in it belong
+    together; batch numbers must not start again over an old folder.
     """
     staged = paths.staged("fact", batch_id)
-    if not exists(spark, staged):
+    if not is_complete(spark, staged):
         has_fact = exists(spark, paths.fact)
         stored = spark.read.parquet(paths.fact).select(*FACT_COLUMNS) if has_fact else source.limit(0)
         assert_no_rebind(source, stored)
