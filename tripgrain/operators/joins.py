@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 # Rows of one key that one task may take before the key is split.
 HOT_ROWS = 2_000_000
 
+UNKNOWN_SIZE = 1 << 62
+
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate; exact for stored tables, an upper estimate after joins."""
@@ -25,36 +27,39 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
 
+def hot_keys(rows: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows and the ``_pieces`` to cut them into.
+
+    At most total / hot_rows keys are hot, which bounds the size of the result.
+    """
+    counted = rows.groupBy(*on).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows)
+    return counted.select(*on, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_pieces"))
+
+
+def _pieces():
+    return F.coalesce(F.col("_pieces"), F.lit(1))
+
+
+def mark_pieces(big: DataFrame, hot: DataFrame, on: Sequence[str], spread_by: Sequence[str]) -> DataFrame:
+    """Add ``_piece``, which cuts the rows of hot keys by the values of ``spread_by``."""
+    marked = big.join(F.broadcast(hot), list(on), "left")
+    return marked.withColumn("_piece", F.pmod(F.xxhash64(*spread_by), _pieces()).cast("int")).drop("_pieces")
+
+
 def split_hot_keys(
     big: DataFrame, small: DataFrame, on: Sequence[str], spread_by: Sequence[str],
     hot_rows: int = HOT_ROWS, heat: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Add a ``_piece`` column to both sides so that a hot key becomes several join keys.
+    """Both sides with a ``_piece`` column, so that a hot key becomes several join keys.
 
-    ``spread_by`` names columns that differ between the rows of a hot key. A key with n rows gets
-    ceil(n / hot_rows) pieces; at most total / hot_rows keys are hot, which bounds the broadcast.
+    ``spread_by`` names columns that differ between the rows of a hot key. The small side repeats
+    its row of a hot key once per piece.
     """
     keys = list(on)
-    hot = (
-        (big if heat is None else heat)
-        .groupBy(*keys)
-        .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
-        .select(*keys, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_pieces"))
-    )
-    hot = F.broadcast(hot)
-    pieces = F.coalesce(F.col("_pieces"), F.lit(1))
-    big_split = (
-        big.join(hot, keys, "left")
-        .withColumn("_piece", F.pmod(F.xxhash64(*spread_by), pieces).cast("int"))
-        .drop("_pieces")
-    )
-    small_split = (
-        small.join(hot, keys, "left")
-        .withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
-        .drop("_pieces")
-    )
-    return big_split, small_split, [*keys, "_piece"]
+    hot = hot_keys(big if heat is None else heat, keys, hot_rows)
+    copies = F.explode(F.sequence(F.lit(0), _pieces() - 1))
+    small_split = small.join(F.broadcast(hot), keys, "left").withColumn("_piece", copies).drop("_pieces")
+    return mark_pieces(big, hot, keys, spread_by), small_split, [*keys, "_piece"]
 
 
 def lookup_join(

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from tripgrain.functions.times import SERVICE_TIME, day_offset, service_seconds, wall_time
 from tripgrain.operators.calendar import service_calendars
-from tripgrain.operators.joins import estimated_bytes, lookup_join
+from tripgrain.operators.joins import UNKNOWN_SIZE, estimated_bytes, lookup_join
 from tripgrain.operators.keys import running_total, trip_stop_key
 from tripgrain.operators.routes import in_scope
 
 
-# Dates a calendar row may stand for, against the size of the row: an explode is not in the estimate.
-_DATES_PER_ROW = 64
+# Bytes of one date in a packed row, with its share of the row.
+_DATE_BYTES = 16
 
 
 def first_instance_keys(trips: DataFrame, service_dates: DataFrame) -> DataFrame:
@@ -28,22 +28,29 @@ def first_instance_keys(trips: DataFrame, service_dates: DataFrame) -> DataFrame
     return numbered.select("TripId", (F.col("_before") + 1).alias("FirstInstanceKey"))
 
 
-def trip_calendars(trips: DataFrame, service_dates: DataFrame, with_key: bool = False) -> DataFrame:
+def trip_calendars(
+    trips: DataFrame, service_dates: DataFrame, with_key: bool = False, date_rows: int | None = None
+) -> DataFrame:
     """One row per trip that runs at all, with its sorted ``ServiceDates`` kept as an array.
 
     Later joins move these rows instead of one row per trip and date; the fan-out comes last.
     """
     columns = ["TripId", "RouteId", "ServiceId", "DirectionId", "TripHeadsign"]
-    packed = pack_dates(trips.select(*columns), service_dates)
+    packed = pack_dates(trips.select(*columns), service_dates, date_rows=date_rows)
     if with_key:
         packed = packed.join(first_instance_keys(trips, service_dates), "TripId")
     return packed
 
 
-def pack_dates(trips: DataFrame, service_dates: DataFrame, heat: DataFrame | None = None) -> DataFrame:
-    """``trips`` with the array of dates of their service; trips without a date drop out."""
+def pack_dates(
+    trips: DataFrame, service_dates: DataFrame, heat: DataFrame | None = None, date_rows: int | None = None
+) -> DataFrame:
+    """``trips`` with the array of dates of their service; trips without a date drop out.
+
+    ``date_rows`` is an upper bound of the rows of ``service_dates``; without one nothing is broadcast.
+    """
+    size = UNKNOWN_SIZE if date_rows is None else date_rows * _DATE_BYTES
     calendars = service_calendars(service_dates)
-    size = estimated_bytes(calendars) * _DATES_PER_ROW
     return lookup_join(trips, calendars, ["ServiceId"], ["TripId"], size=size, heat=heat)
 
 
@@ -57,9 +64,11 @@ def fan_out(packed: DataFrame) -> DataFrame:
     ).select(*keep, "ServiceDate", (F.col("FirstInstanceKey") + F.col("_day")).alias("TripInstanceKey"))
 
 
-def expand_trips(trips: DataFrame, service_dates: DataFrame, with_key: bool = True) -> DataFrame:
+def expand_trips(
+    trips: DataFrame, service_dates: DataFrame, with_key: bool = True, date_rows: int | None = None
+) -> DataFrame:
     """One row per trip and service date."""
-    rows = fan_out(trip_calendars(trips, service_dates, with_key))
+    rows = fan_out(trip_calendars(trips, service_dates, with_key, date_rows))
     key = ["TripInstanceKey"] if with_key else []
     return rows.select(
         *key, "TripId", "ServiceDate", "RouteId", "ServiceId", "DirectionId", "TripHeadsign"

@@ -197,6 +197,12 @@ def _require_unique(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- data quality
 
+
+def _keyless_trip_stops(p: ScheduledPlan) -> DataFrame:
+    packed = trips.trip_calendars(p.feed.trips, p.service_dates, False, p.date_rows)
+    return trips.build_trip_stops(packed, p.classification, p.feed.stop_times)
+
+
 _on_plan("dq_trip_references", lambda p: quality.orphan_count(p.feed.stop_times, p.feed.trips, "TripId"))
 _on_plan("dq_stop_references", lambda p: quality.orphan_count(p.feed.stop_times, p.feed.stops, "StopId"))
 _on_plan("dq_route_references", lambda p: quality.orphan_count(p.feed.trips, p.feed.routes, "RouteId"))
@@ -216,16 +222,16 @@ _on_plan("dq_removed_dates", lambda p: quality.removed_still_present(p.service_d
 _on_plan("dq_removed_dates_raw", lambda p: quality.removed_still_present(
     calendar.regular_dates(p.feed.calendar), p.feed.calendar_dates))
 _on_plan("dq_instance_coverage", lambda p: aggregates.coverage(
-    trips.expand_trips(p.feed.trips, p.service_dates, with_key=False), "TripId"))
+    trips.expand_trips(p.feed.trips, p.service_dates, False, p.date_rows), "TripId"))
 _on_view("dq_trip_id_length", "trips", lambda df: aggregates.length_profile(df, "TripId"))
 _on_view("dq_route_types", "routes", lambda df: aggregates.distribution(df, "RouteType"))
 _on_plan("dq_phase1_routes", lambda p: quality.phase1_route_count(p.classification))
 _on_plan("dq_trip_stop_modes", lambda p: aggregates.volume_by_mode(
-    trips.build_trip_stops(trips.trip_calendars(p.feed.trips, p.service_dates), p.classification, p.feed.stop_times)))
+    _keyless_trip_stops(p)))
 _on_plan("dq_trip_stop_grain", lambda p: quality.duplicate_count(
     p.trip_stops, ["TripInstanceKey", "StopSequence"], "TripStopDuplicates"))
 _on_plan("dq_trip_stop_coverage", lambda p: aggregates.coverage(
-    trips.build_trip_stops(trips.trip_calendars(p.feed.trips, p.service_dates), p.classification, p.feed.stop_times),
+    _keyless_trip_stops(p),
     "RouteId"))
 _on_plan("dq_after_midnight", lambda p: quality.after_midnight_count(p.normalized))
 _on_plan("dq_dim_date_coverage", lambda p: aggregates.coverage(p.dim_date, "DateKey", "FullDate"))
@@ -234,7 +240,7 @@ _on_plan("dq_dim_stop", lambda p: quality.dim_stop_checks(p.dim_stop))
 QUERIES["dq_fact_grain"] = lambda spark, sf: quality.duplicate_count(
     _fact(spark, sf), ["TripInstanceKey", "StopSequence"], "FactDuplicates")
 _on_plan("dq_mode_totals", lambda p: quality.mode_reconciliation(
-    trips.build_trip_stops(trips.trip_calendars(p.feed.trips, p.service_dates), p.classification, p.feed.stop_times),
+    _keyless_trip_stops(p),
     p.view))
 _on_view("dq_null_profile", "routes", lambda df: quality.null_profile(df, "routes"))
 _on_view("dq_coordinates", "stops", quality.bad_coordinates)

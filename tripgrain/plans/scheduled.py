@@ -50,17 +50,21 @@ class ScheduledPlan:
     def service_dates(self) -> DataFrame:
         return calendar.resolve_service_dates(self.feed.calendar, self.feed.calendar_dates)
 
+    @cached_property
+    def date_rows(self) -> int:
+        return calendar.date_rows_bound(self.feed.calendar, self.feed.calendar_dates)
+
     @cached_property
     def classification(self) -> DataFrame:
         return routes.classify_routes(self.feed.routes, case_insensitive=self.case_insensitive)
 
     @cached_property
     def keyed_calendars(self) -> DataFrame:
-        return trips.trip_calendars(self.feed.trips, self.service_dates, with_key=True)
+        return trips.trip_calendars(self.feed.trips, self.service_dates, True, self.date_rows)
 
     @cached_property
     def trip_instances(self) -> DataFrame:
-        return trips.expand_trips(self.feed.trips, self.service_dates)
+        return trips.expand_trips(self.feed.trips, self.service_dates, True, self.date_rows)
 
     @cached_property
     def trip_stops(self) -> DataFrame:
@@ -116,7 +120,7 @@ class ScheduledPlan:
             feed.trips.select("TripId", "RouteId", "ServiceId"), route_values, ["RouteId"], ["TripId"],
             size=estimated_bytes(feed.routes),
         )
-        trip_rows = trips.pack_dates(in_scope, self.service_dates, heat=feed.trips)
+        trip_rows = trips.pack_dates(in_scope, self.service_dates, feed.trips, self.date_rows)
         if with_key:
             trip_rows = trip_rows.join(trips.first_instance_keys(feed.trips, self.service_dates), "TripId")
         if stop_values is not None:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripgrain.operators.joins import hot_keys, mark_pieces
+
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
     """Replace (or extend) the table at ``path`` and return it as stored."""
@@ -44,21 +46,31 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
 def append_observations(df: DataFrame, path: str, batch_id: int) -> None:
     """Add snapshots to the history, one directory per capture date and batch.
 
-    Writing the same batch again replaces its own directories, so a replay adds nothing twice.
+    Writing the same batch again replaces its own directories, so a replay adds nothing twice. Rows
+    lie in (event, capture) order, so the statistics of the files help to find one event.
     """
     placed = df.withColumn("CaptureDate", F.to_date("CapturedAt")).withColumn(
         "BatchId", F.lit(batch_id).cast("long")
     )
-    replace_partitions(placed, path, ["CaptureDate", "BatchId"])
+    order = ["CaptureDate", "DbEventId", "CapturedAt"]
+    replace_partitions(
+        placed.repartitionByRange(*order).sortWithinPartitions(*order), path, ["CaptureDate", "BatchId"]
+    )
 
 
 def read_observations(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def land_raw(documents: DataFrame, path: str) -> None:
-    """Append source documents. Those of one capture go to one file and become visible together."""
-    documents.repartition("StationEva", "CapturedAt").write.mode("append").parquet(path)
+def land_raw(documents: DataFrame, path: str, hot_rows: int = 100_000) -> None:
+    """Append source documents.
+
+    Those of one capture go to one file and become visible together; only a capture of more than
+    ``hot_rows`` documents is cut into several.
+    """
+    capture = ["StationEva", "CapturedAt"]
+    marked = mark_pieces(documents, hot_keys(documents, capture, hot_rows), capture, ["Kind", "Document"])
+    marked.repartition(*capture, "_piece").drop("_piece").write.mode("append").parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -20,6 +20,7 @@ from tripgrain.operators.realtime import (
     upsert_fact,
 )
 from tripgrain.schemas import RAW_DOCUMENT
+from tripgrain.session import freeze
 from tripgrain.sources.tables import (
     append_observations,
     exists,
@@ -116,17 +117,15 @@ def load_batch(
     ``history_days`` limits how far back the history of an event is read; by default it is read whole.
     """
     spark = documents.sparkSession
-    snapshots = number_observations(snapshots_from_documents(documents), batch_id)
-    append_observations(snapshots, paths.history, batch_id)
-
-    history = read_observations(spark, paths.history)
-    mine = history.filter(F.col("BatchId") == batch_id)
-    if mine.isEmpty():
+    snapshots = freeze(snapshots_from_documents(documents))  # documents are parsed once
+    if snapshots.isEmpty():
         return None
-    touched = mine.select("DbEventId").distinct()
-    seen = history.filter(F.col("BatchId") <= batch_id)
+    append_observations(number_observations(snapshots, batch_id), paths.history, batch_id)
+
+    touched = snapshots.select("DbEventId").distinct()
+    seen = read_observations(spark, paths.history).filter(F.col("BatchId") <= batch_id)
     if history_days is not None:
-        first_day = mine.agg(F.min("CaptureDate")).first()[0]
+        first_day = snapshots.agg(F.to_date(F.min("CapturedAt"))).first()[0]
         seen = seen.filter(F.col("CaptureDate") >= F.date_sub(F.lit(first_day), history_days))
     own = lookup_join(seen, touched, ["DbEventId"], ["CapturedAt"], "left_semi")
     state = write_table(event_state(own.drop("CaptureDate", "BatchId")), paths.staged("state", batch_id))
