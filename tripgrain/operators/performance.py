@@ -14,6 +14,7 @@ from tripgrain.functions.times import platform_changed
 from tripgrain.operators.aggregates import station_name
 from tripgrain.operators.joins import lookup_join
 from tripgrain.operators.observations import with_previous
+from tripgrain.session import freeze
 
 # Minutes of delay up to which a stop counts as punctual.
 PUNCTUAL_MINUTES = 5
@@ -177,8 +178,8 @@ def headways(view: DataFrame) -> DataFrame:
         F.col("ScheduledDepartureDateTime").alias("Departure"),
     )
     keys = ["StationName", "RouteShortName"]
-    # Departures at the same minute are one entry with a count: their headway to each other is 0.
-    times = departures.groupBy(*keys, "Departure").agg(F.count("*").alias("_n"))
+    # Departures at the same minute are one entry with a count. Stored, because it is read twice.
+    times = freeze(departures.groupBy(*keys, "Departure").agg(F.count("*").alias("_n")))
     day = F.to_date("Departure")
     rows = with_previous(times, keys, ["Departure"], day, ["Departure"], "_previous")
     gap = (F.col("Departure") - F.col("_previous.Departure")).cast("interval minute").cast("int")
