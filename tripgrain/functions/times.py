@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,11 @@ from tripgrain.schemas import WEEKDAYS
 SERVICE_TIME = r"^[0-9]{1,2}:[0-5][0-9]:[0-5][0-9]$"
 
 
+def wall_literal(moment: datetime) -> Column:
+    """A literal wall-clock timestamp, the same in every session and Python time zone."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def text_date(value: Column) -> Column:
     """``yyyyMMdd`` text to a date; anything else is NULL."""
     return F.try_to_date(value, "yyyyMMdd")

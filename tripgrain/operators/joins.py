@@ -24,6 +24,8 @@ def estimated_bytes(df: DataFrame) -> int:
 
 def broadcast_limit(df: DataFrame) -> int:
     text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    if text.startswith("-"):  # broadcasting is switched off
+        return -1
     return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
 

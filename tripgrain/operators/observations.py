@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripgrain.functions.times import platform_changed
+from tripgrain.functions.times import platform_changed, wall_literal
 from tripgrain.operators.keys import add_dense_key
 
 BATCH_SPAN = 1 << 36
@@ -135,7 +135,7 @@ def observation_summary(obs: DataFrame) -> DataFrame:
 
 def retain(obs: DataFrame, days: int, as_of: datetime) -> DataFrame:
     """Observations captured in the last ``days`` days before ``as_of``."""
-    limit = F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(days=F.lit(days))
+    limit = wall_literal(as_of) - F.make_dt_interval(days=F.lit(days))
     kept = obs.filter(F.col("CapturedAt") >= limit)
     if "CaptureDate" in obs.columns:  # lets the scan skip whole days
         kept = kept.filter(F.col("CaptureDate") >= F.to_date(limit))

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgrain.functions.times import platform_changed
+from tripgrain.functions.times import platform_changed, wall_literal
 from tripgrain.operators import (
     aggregates,
     calendar,
@@ -298,8 +298,8 @@ def _append_observations(spark: SparkSession, sf: str) -> DataFrame:
     """Two batches appended, the second twice: the replay must not add rows."""
     path = scratch_path(spark, "history")
     obs = view(spark, sf, "observations")
-    later = obs.filter(F.col("CapturedAt") >= F.lit(_CUT))
-    tables.append_observations(obs.filter(F.col("CapturedAt") < F.lit(_CUT)), path, 0)
+    later = obs.filter(F.col("CapturedAt") >= wall_literal(_CUT))
+    tables.append_observations(obs.filter(F.col("CapturedAt") < wall_literal(_CUT)), path, 0)
     tables.append_observations(later, path, 1)
     tables.append_observations(later, path, 1)
     return tables.read_observations(spark, path).select(*obs.columns)
@@ -461,7 +461,7 @@ def _loads(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
             "FirstCapturedAt", "LatestCapturedAt", "ObservationCount",
         )
 
-    return source(obs), source(obs.filter(F.col("CapturedAt") < F.lit(_CUT)))
+    return source(obs), source(obs.filter(F.col("CapturedAt") < wall_literal(_CUT)))
 
 
 @query("upsert_fact")
@@ -514,7 +514,7 @@ def _realtime_cycle(spark: SparkSession, sf: str) -> DataFrame:
         line = F.concat(F.lit('" l="'), F.col("LineName"))
         return F.concat(F.lit(f'<{tag} {name}="'), value, line, F.lit('"/>'))
 
-    captured = F.lit(datetime(2026, 7, 1, 12)).cast("timestamp_ntz").alias("CapturedAt")
+    captured = wall_literal(datetime(2026, 7, 1, 12)).alias("CapturedAt")
     common = ["StationEva", F.lit("01").alias("PlanHour"), captured]
     plan = events.select(*common, F.lit("plan").alias("Kind"),
                          document(call("ar", "pt", arrival), call("dp", "pt", departure)))

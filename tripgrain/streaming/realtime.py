@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from tripgrain.functions.times import wall_literal
 from tripgrain.operators.joins import lookup_join
 from tripgrain.operators.observations import event_state, number_observations
 from tripgrain.operators.realtime import (
@@ -75,7 +76,7 @@ def near_planned_times(targets: DataFrame, state: DataFrame) -> DataFrame:
     ).first()
     if bounds.low is None:
         return targets.limit(0)
-    low, high = (F.lit(value).cast("timestamp_ntz") for value in (bounds.low, bounds.high))
+    low, high = (wall_literal(value) for value in (bounds.low, bounds.high))
     return targets.filter(
         F.col("ScheduledArrivalDateTime").between(low, high)
         | F.col("ScheduledDepartureDateTime").between(low, high)
