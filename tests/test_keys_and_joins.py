@@ -68,3 +68,14 @@ def test_small_side_is_broadcast_and_large_side_is_not(spark):
     assert "BroadcastHashJoin [k" in executed(joins.lookup_join(big, small, ["k"], ["id"]))
     split = executed(joins.lookup_join(big, small, ["k"], ["id"], size=1 << 50))
     assert "SortMergeJoin [k" in split and "_piece" in split
+
+
+def test_nothing_is_broadcast_when_broadcasting_is_off(spark, rows):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = spark.range(100).withColumn("k", F.col("id") % 3)
+        small = spark.range(3).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+        assert joins.lookup_join(big, small, ["k"], ["id"], hot_rows=5).count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -81,3 +81,14 @@ def test_observation_keys_are_stable(rows):
 def test_null_delays_do_not_count_as_zero(rows):
     out = obs.delay_windows(history(rows), "1 hour", ["DbEventId"]).filter("DbEventId = 'e'").orderBy("WindowStart").collect()
     assert [(r.ObservationCount, r.DelayCount, r.DelaySum) for r in out] == [(2, 2, 7), (2, 0, None)]
+
+
+def test_merged_states_equal_state_of_whole_history(rows):
+    whole = history(rows)
+    early = obs.event_state(whole.filter("ObservationKey <= 2")).withColumn("StateDay", F.to_date("FirstCapturedAt"))
+    for first, second in ((early, obs.event_state(whole.filter("ObservationKey > 2"))),
+                          (obs.event_state(whole.filter("ObservationKey > 2")).withColumn("StateDay", F.to_date("FirstCapturedAt")),
+                           obs.event_state(whole.filter("ObservationKey <= 2")))):
+        merged = obs.merge_states(first, second).drop("StateDay")
+        expected = obs.event_state(whole).select(merged.columns)
+        assert sorted(map(str, merged.collect())) == sorted(map(str, expected.collect()))

@@ -67,6 +67,8 @@ def test_cycles_history_and_rerun(spark, rows, tmp_path, warehouse):
     assert (fact["e1"].ArrivalDelayMinutes, fact["e1"].ObservationCount) == (9, 2)
     assert (fact["e1"].FirstCapturedAt, fact["e1"].LatestCapturedAt) == (FIRST, SECOND)
     assert fact["e2"].ObservationCount == 1
+    states = {r.DbEventId: r.ObservationCount for r in spark.read.parquet(paths.states).collect()}
+    assert states == {"e1": 2, "e2": 1, "e3": 1, "lost": 1}
 
     run()  # nothing new
     assert stored(spark, paths) == fact

@@ -9,6 +9,7 @@ from tripgrain.functions import times
 from tripgrain.operators.trips import after_midnight, normalize_times
 
 DAY = date(2026, 7, 1)
+DAY_TIME = datetime(2026, 3, 8, 2, 30)
 
 
 def normalize(rows, texts):
@@ -63,3 +64,12 @@ def test_wall_clock_round_trip(spark, rows):
     moment = datetime(2026, 3, 29, 2, 30, 15)
     df = rows([(moment,)], "t timestamp_ntz")
     assert df.select(times.as_wall_clock(times.as_utc_instant(F.col("t")))).first()[0] == moment
+
+
+def test_literals_do_not_move_with_the_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert spark.range(1).select(times.wall_literal(DAY_TIME)).first()[0] == DAY_TIME
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -41,6 +41,32 @@ def event_state(obs: DataFrame) -> DataFrame:
     return state.select("_row.*", "FirstCapturedAt", "LatestCapturedAt", "ObservationCount").drop("CapturedAt")
 
 
+def merge_states(old: DataFrame, new: DataFrame) -> DataFrame:
+    """State of all events in either input, as if both histories had been one.
+
+    ``old`` has ``StateDay``, the day of the first capture when the event first came; it stays.
+    """
+    columns = [c for c in new.columns if c not in ("DbEventId", "FirstCapturedAt", "ObservationCount")]
+    recency = ["LatestCapturedAt", "ObservationKey"]
+    left = old.select(
+        "DbEventId", "StateDay", F.struct(*recency, *[c for c in columns if c not in recency]).alias("_a"),
+        F.col("FirstCapturedAt").alias("_fa"), F.col("ObservationCount").alias("_na"),
+    )
+    right = new.select(
+        "DbEventId", F.struct(*recency, *[c for c in columns if c not in recency]).alias("_b"),
+        F.col("FirstCapturedAt").alias("_fb"), F.col("ObservationCount").alias("_nb"),
+    )
+    zero = F.lit(0)
+    return (
+        left.join(right, "DbEventId", "full_outer")
+        .withColumn("FirstCapturedAt", F.least("_fa", "_fb"))
+        .withColumn("ObservationCount", F.coalesce("_na", zero) + F.coalesce("_nb", zero))
+        .withColumn("StateDay", F.coalesce("StateDay", F.to_date("_fb")))
+        .withColumn("_row", F.greatest("_a", "_b"))  # the later capture; NULL counts as earlier
+        .select("DbEventId", "_row.*", "FirstCapturedAt", "ObservationCount", "StateDay")
+    )
+
+
 def with_previous(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, values: Sequence[str], name: str
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tripgrain.functions.times import wall_literal
 from tripgrain.operators.joins import lookup_join
-from tripgrain.operators.observations import event_state, number_observations
+from tripgrain.operators.observations import event_state, merge_states, number_observations
 from tripgrain.operators.realtime import (
     Match,
     assert_no_rebind,
@@ -26,7 +26,6 @@ from tripgrain.sources.tables import (
     append_observations,
     exists,
     is_complete,
-    read_observations,
     replace_partitions,
     write_table,
 )
@@ -50,6 +49,10 @@ class RealtimePaths:
     def history(self) -> str:
         return f"{self.root}/observations"
 
+    @property
+    def states(self) -> str:
+        return f"{self.root}/event_states"
+
     @property
     def fact(self) -> str:
         return f"{self.root}/fact_realtime_stop_performance"
@@ -105,31 +108,51 @@ def merge_into_fact(spark: SparkSession, source: DataFrame, paths: RealtimePaths
     return upsert_counts(merged)
 
 
+def advance_states(spark: SparkSession, batch_state: DataFrame, paths: RealtimePaths, batch_id: int) -> DataFrame:
+    """Merge the states of one batch into the stored event states; returns the states it touched.
+
+    The cost follows the batch: stored states are searched by event id only, and only the days of
+    the touched events are rewritten. As in :func:`merge_into_fact`, new content is stored first.
+    """
+    staged = paths.staged("states", batch_id)
+    if not is_complete(spark, staged):
+        if exists(spark, paths.states):
+            old = spark.read.parquet(paths.states)
+        else:
+            old = batch_state.limit(0).withColumn("StateDay", F.lit(None).cast("date"))
+        ids = batch_state.select("DbEventId")
+        known = lookup_join(old, ids, ["DbEventId"], ["DbEventId"], "left_semi")
+        merged = freeze(merge_states(known, batch_state))
+        days = F.broadcast(merged.select("StateDay").distinct())  # one row per day at most
+        beside = lookup_join(
+            old.join(days, "StateDay", "left_semi"), ids, ["DbEventId"], ["DbEventId"], "left_anti", heat=ids
+        )
+        write_table(
+            merged.withColumn("_touched", F.lit(True))
+            .unionByName(beside.withColumn("_touched", F.lit(False)))
+            .repartitionByRange("StateDay", "DbEventId"),
+            staged,
+        )
+    stored = spark.read.parquet(staged)
+    replace_partitions(stored.drop("_touched"), paths.states, ["StateDay"])
+    return stored.filter("_touched").drop("_touched", "StateDay")
+
+
 def load_batch(
     documents: DataFrame,
     batch_id: int,
     paths: RealtimePaths,
     station_map: DataFrame,
     targets: Callable[[], DataFrame],
-    history_days: int | None = None,
 ) -> DataFrame | None:
-    """One realtime cycle: append the snapshots, then match and load the events they touch.
-
-    ``history_days`` limits how far back the history of an event is read; by default it is read whole.
-    """
+    """One realtime cycle: append the snapshots, then match and load the events they touch."""
     spark = documents.sparkSession
     snapshots = freeze(snapshots_from_documents(documents))  # documents are parsed once
     if snapshots.isEmpty():
         return None
-    append_observations(number_observations(snapshots, batch_id), paths.history, batch_id)
-
-    touched = snapshots.select("DbEventId").distinct()
-    seen = read_observations(spark, paths.history).filter(F.col("BatchId") <= batch_id)
-    if history_days is not None:
-        first_day = snapshots.agg(F.to_date(F.min("CapturedAt"))).first()[0]
-        seen = seen.filter(F.col("CaptureDate") >= F.date_sub(F.lit(first_day), history_days))
-    own = lookup_join(seen, touched, ["DbEventId"], ["CapturedAt"], "left_semi")
-    state = write_table(event_state(own.drop("CaptureDate", "BatchId")), paths.staged("state", batch_id))
+    numbered = freeze(number_observations(snapshots, batch_id))
+    append_observations(numbered, paths.history, batch_id)
+    state = advance_states(spark, event_state(numbered), paths, batch_id)
 
     result: Match = match_events(state, near_planned_times(targets(), state), station_map)
     write_table(result.unmatched, paths.unmatched(batch_id))
@@ -144,7 +167,6 @@ def run_realtime(
     station_map: DataFrame,
     targets: Callable[[], DataFrame],
     processing_time: str | None = None,
-    history_days: int | None = None,
 ) -> StreamingQuery:
     """Start the realtime stream over landed documents.
 
@@ -153,7 +175,7 @@ def run_realtime(
     documents = spark.readStream.schema(RAW_DOCUMENT).parquet(raw_path)
 
     def cycle(batch: DataFrame, batch_id: int) -> None:
-        load_batch(batch, batch_id, paths, station_map, targets, history_days)
+        load_batch(batch, batch_id, paths, station_map, targets)
 
     trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
     return (
