@@ -34,9 +34,9 @@ def runs_on_weekday(day: Column) -> Column:
 
 def service_seconds(text: Column) -> Column:
     """Seconds after midnight of the service date; hours may reach 24 and more. Malformed text is NULL."""
-    parts = F.split(text, ":")
-    total = parts[0].cast("int") * 3600 + parts[1].cast("int") * 60 + parts[2].cast("int")
-    return F.when(text.rlike(SERVICE_TIME), total)
+    hours = F.substring_index(text, ":", 1).cast("int")
+    minutes, seconds = (F.substring(text, at, 2).cast("int") for at in (-5, -2))
+    return F.when(text.rlike(SERVICE_TIME), hours * 3600 + minutes * 60 + seconds)
 
 
 def wall_time(day: Column, seconds: Column) -> Column:

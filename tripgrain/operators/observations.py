@@ -59,10 +59,12 @@ def merge_states(old: DataFrame, new: DataFrame) -> DataFrame:
     zero = F.lit(0)
     return (
         left.join(right, "DbEventId", "full_outer")
-        .withColumn("FirstCapturedAt", F.least("_fa", "_fb"))
-        .withColumn("ObservationCount", F.coalesce("_na", zero) + F.coalesce("_nb", zero))
-        .withColumn("StateDay", F.coalesce("StateDay", F.to_date("_fb")))
-        .withColumn("_row", F.greatest("_a", "_b"))  # the later capture; NULL counts as earlier
+        .withColumns({
+            "FirstCapturedAt": F.least("_fa", "_fb"),
+            "ObservationCount": F.coalesce("_na", zero) + F.coalesce("_nb", zero),
+            "StateDay": F.coalesce("StateDay", F.to_date("_fb")),
+            "_row": F.greatest("_a", "_b"),  # the later capture; NULL counts as earlier
+        })
         .select("DbEventId", "_row.*", "FirstCapturedAt", "ObservationCount", "StateDay")
     )
 

@@ -86,13 +86,12 @@ def merge_plan_change(plan: DataFrame, change: DataFrame) -> DataFrame:
 def build_snapshots(plan: DataFrame, change: DataFrame) -> DataFrame:
     """Complete observation rows from planned and changed events."""
     merged = merge_plan_change(dedup_events(plan), change)
-    return (
-        merged.withColumn("ArrivalDelayMinutes", delay_minutes(F.col("PlannedArrival"), F.col("ChangedArrival")))
-        .withColumn("DepartureDelayMinutes", delay_minutes(F.col("PlannedDeparture"), F.col("ChangedDeparture")))
-        .withColumn("IsArrivalCancelled", is_cancelled(F.col("ArrivalStatus")))
-        .withColumn("IsDepartureCancelled", is_cancelled(F.col("DepartureStatus")))
-        .select(*SNAPSHOT_COLUMNS)
-    )
+    return merged.withColumns({
+        "ArrivalDelayMinutes": delay_minutes(F.col("PlannedArrival"), F.col("ChangedArrival")),
+        "DepartureDelayMinutes": delay_minutes(F.col("PlannedDeparture"), F.col("ChangedDeparture")),
+        "IsArrivalCancelled": is_cancelled(F.col("ArrivalStatus")),
+        "IsDepartureCancelled": is_cancelled(F.col("DepartureStatus")),
+    }).select(*SNAPSHOT_COLUMNS)
 
 
 def snapshots_from_documents(documents: DataFrame) -> DataFrame:
@@ -145,13 +144,12 @@ def _keyed_events(state: DataFrame, station_map: DataFrame) -> DataFrame:
         .when(arrival.isNotNull(), "arrival")
         .when(departure.isNotNull(), "departure")
     )
-    return (
-        lookup_join(state, stations, ["StationEva"], ["DbEventId"], "left")
-        .withColumn("_kind", kind)
-        .withColumn("_line", _line(F.col("LineName")))
-        .withColumn("_t1", F.coalesce(arrival, departure))
-        .withColumn("_t2", F.coalesce(departure, arrival))
-    )
+    return lookup_join(state, stations, ["StationEva"], ["DbEventId"], "left").withColumns({
+        "_kind": kind,
+        "_line": _line(F.col("LineName")),
+        "_t1": F.coalesce(arrival, departure),
+        "_t2": F.coalesce(departure, arrival),
+    })
 
 
 def _target_keys(targets: DataFrame) -> DataFrame:

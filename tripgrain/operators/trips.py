@@ -106,17 +106,22 @@ def build_trip_stops(trip_instances: DataFrame, classification: DataFrame, stop_
 
 def normalize_times(trip_stops: DataFrame) -> DataFrame:
     """Wall-clock timestamps and day offsets beside the raw service times."""
-    arrival = service_seconds(F.col("ScheduledArrival"))
-    departure = service_seconds(F.col("ScheduledDeparture"))
-    return (
-        trip_stops.withColumn("_arr", arrival)
-        .withColumn("_dep", departure)
-        .withColumn("ScheduledArrivalDateTime", wall_time(F.col("ServiceDate"), F.col("_arr")))
-        .withColumn("ScheduledDepartureDateTime", wall_time(F.col("ServiceDate"), F.col("_dep")))
-        .withColumn("ArrivalDayOffset", day_offset(F.col("_arr")))
-        .withColumn("DepartureDayOffset", day_offset(F.col("_dep")))
-        .drop("_arr", "_dep")
-    )
+    seconds = {
+        "_arr": service_seconds(F.col("ScheduledArrival")),
+        "_dep": service_seconds(F.col("ScheduledDeparture")),
+    }
+    return wall_times(trip_stops.withColumns(seconds))
+
+
+def wall_times(rows: DataFrame) -> DataFrame:
+    """Replace the service seconds ``_arr`` and ``_dep`` by timestamps and day offsets."""
+    day, arrival, departure = F.col("ServiceDate"), F.col("_arr"), F.col("_dep")
+    return rows.withColumns({
+        "ScheduledArrivalDateTime": wall_time(day, arrival),
+        "ScheduledDepartureDateTime": wall_time(day, departure),
+        "ArrivalDayOffset": day_offset(arrival),
+        "DepartureDayOffset": day_offset(departure),
+    }).drop("_arr", "_dep")
 
 
 def after_midnight(normalized: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgrain.functions.times import date_key, day_offset, service_seconds, wall_time
+from tripgrain.functions.times import date_key, service_seconds
 from tripgrain.operators import calendar, facts, routes, stops, trips
 from tripgrain.operators.joins import estimated_bytes, lookup_join
 from tripgrain.operators.keys import require_unique, trip_stop_key
@@ -154,26 +154,15 @@ class ScheduledPlan:
         """
         return self._named_calls(with_key=False).withColumn("ServiceDays", F.size("ServiceDates"))
 
-    @staticmethod
-    def _timed(rows: DataFrame) -> DataFrame:
-        day = F.col("ServiceDate")
-        return (
-            rows.withColumn("ScheduledArrivalDateTime", wall_time(day, F.col("_arr")))
-            .withColumn("ScheduledDepartureDateTime", wall_time(day, F.col("_dep")))
-            .withColumn("ArrivalDayOffset", day_offset(F.col("_arr")))
-            .withColumn("DepartureDayOffset", day_offset(F.col("_dep")))
-            .drop("_arr", "_dep")
-        )
-
     @cached_property
     def view(self) -> DataFrame:
         """The analytical view without surrogate keys, one row per trip-stop."""
-        return self._timed(trips.fan_out(self._named_calls(with_key=False)))
+        return trips.wall_times(trips.fan_out(self._named_calls(with_key=False)))
 
     @cached_property
     def keyed_view(self) -> DataFrame:
         """As :attr:`view`, with the trip instance and trip-stop keys."""
-        rows = self._timed(trips.fan_out(self._named_calls(with_key=True)))
+        rows = trips.wall_times(trips.fan_out(self._named_calls(with_key=True)))
         return rows.withColumn("FactTripStopKey", trip_stop_key())
 
     @cached_property
@@ -191,12 +180,9 @@ class ScheduledPlan:
             calls, self.dim_stop.select("StopId", "StopKey"), ["StopId"], spread,
             size=estimated_bytes(self.feed.stops), heat=self.calls,
         )
-        rows = self._timed(trips.fan_out(calls))
-        return (
-            rows.withColumn("DateKey", date_key(F.col("ServiceDate")))
-            .withColumn("FactTripStopKey", trip_stop_key())
-            .select(*facts.FACT_COLUMNS)
-        )
+        rows = trips.wall_times(trips.fan_out(calls))
+        keys = {"DateKey": date_key(F.col("ServiceDate")), "FactTripStopKey": trip_stop_key()}
+        return rows.withColumns(keys).select(*facts.FACT_COLUMNS)
 
     def store_star(self, folder: str) -> ScheduledPlan:
         """Write dimensions and fact below ``folder``; later work on this plan reads the stored tables."""
