@@ -147,6 +147,11 @@ def null_profile(df: DataFrame, table: str = "table") -> DataFrame:
     )
 
 
+def staged_null_profile(feed) -> DataFrame:
+    """NULLs of every column of every staged table, one pass per table."""
+    return _union([null_profile(getattr(feed, name), name) for name in _staged(feed)])
+
+
 def bad_coordinates(stops: DataFrame) -> DataFrame:
     """Missing coordinates and coordinates outside the valid degrees."""
     lat, lon = F.col("StopLat"), F.col("StopLon")
@@ -234,5 +239,8 @@ def run_checks(feed, plan) -> DataFrame:
 
 def staged_counts(feed) -> DataFrame:
     """Row count per staged table."""
-    names = [n for n in (*FEED_KEYS, "feed_info") if getattr(feed, n, None) is not None]
-    return aggregates.table_counts({n: getattr(feed, n) for n in names})
+    return aggregates.table_counts({name: getattr(feed, name) for name in _staged(feed)})
+
+
+def _staged(feed) -> list[str]:
+    return [name for name in (*FEED_KEYS, "feed_info") if getattr(feed, name, None) is not None]

@@ -207,15 +207,15 @@ def match_events(state: DataFrame, targets: DataFrame, station_map: DataFrame) -
         .join(rivals.filter("_rivals = 1"), "FactTripStopKey")
         .select(*_KEY, "FactTripStopKey", "DateKey")
     )
-    plain = state.columns
-    matched = events.join(paired, _KEY).select(
-        *plain, "FactTripStopKey", "DateKey", F.lit("station + line + planned times").alias("MatchRule")
+    bound = estimated_bytes(live)  # neither table below has more rows
+    matched = lookup_join(events, paired, _KEY, ["DbEventId"], size=bound).select(
+        *state.columns, "FactTripStopKey", "DateKey", F.lit("station + line + planned times").alias("MatchRule")
     )
     seen = live.select(*_KEY, F.lit(True).alias("_seen")).join(
         paired.select(*_KEY, F.lit(True).alias("_paired")), _KEY, "left"
     )
     unmatched = (
-        lookup_join(events, seen, _KEY, ["DbEventId"], "left", size=estimated_bytes(live))
+        lookup_join(events, seen, _KEY, ["DbEventId"], "left", size=bound)
         .filter(F.col("_paired").isNull())
         .select("DbEventId", F.when(F.col("_seen"), "many").otherwise("none").alias("Reason"))
     )

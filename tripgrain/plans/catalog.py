@@ -242,7 +242,7 @@ QUERIES["dq_fact_grain"] = lambda spark, sf: quality.duplicate_count(
 _on_plan("dq_mode_totals", lambda p: quality.mode_reconciliation(
     _keyless_trip_stops(p),
     p.view))
-_on_view("dq_null_profile", "routes", lambda df: quality.null_profile(df, "routes"))
+_on_plan("dq_null_profile", lambda p: quality.staged_null_profile(p.feed))
 _on_view("dq_coordinates", "stops", quality.bad_coordinates)
 _on_view("dq_stop_sequences", "stop_times", quality.bad_stop_sequences)
 

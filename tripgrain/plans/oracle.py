@@ -251,6 +251,17 @@ _CHANGED_TIME = _MINUTE.format("ts + to_minutes(CAST(event_id % 31 AS BIGINT))")
 
 _TOTAL = "SELECT TransportMode, count(*) AS n FROM {0} GROUP BY TransportMode"
 
+_COLUMNS = {
+    "agency": "AgencyId AgencyName",
+    "routes": "RouteId AgencyId RouteType RouteShortName RouteLongName",
+    "trips": "TripId RouteId ServiceId DirectionId TripHeadsign",
+    "stops": "StopId StopName ParentStation PlatformCode StopLat StopLon LocationType WheelchairBoarding",
+    "stop_times": "TripId StopSequence StopId ArrivalTime DepartureTime",
+    "calendar": "ServiceId Monday Tuesday Wednesday Thursday Friday Saturday Sunday StartDate EndDate",
+    "calendar_dates": "ServiceId ServiceDate ExceptionType",
+    "feed_info": "FeedPublisherName FeedPublisherUrl FeedLang FeedStartDate FeedEndDate FeedVersion",
+}
+
 _SELECTS: dict[str, str] = {
     # feed files
     **{f"read_{name}": f"SELECT * REPLACE ({', '.join(f'CAST({c} AS STRING) AS {c}' for c in ids)}) FROM {name}" for name, ids in (
@@ -346,8 +357,8 @@ SELECT o_orderkey, o_custkey % 7 AS Weight, CAST(coalesce(sum(o_custkey % 7) OVE
 SELECT TransportMode, coalesce(w.n, 0) AS WorkRows, coalesce(v.n, 0) AS ViewRows, coalesce(w.n, 0) - coalesce(v.n, 0) AS Difference
 FROM ({_TOTAL.format('trip_stops')}) AS w FULL OUTER JOIN ({_TOTAL.format('view')}) AS v USING (TransportMode)""",
     "dq_null_profile": " UNION ALL ".join(
-        f"SELECT 'routes' AS TableName, '{c}' AS ColumnName, count(*) AS NullCount FROM routes WHERE {c} IS NULL"
-        for c in ("RouteId", "AgencyId", "RouteType", "RouteShortName", "RouteLongName")),
+        f"SELECT '{table}' AS TableName, '{c}' AS ColumnName, count(*) AS NullCount FROM {table} WHERE {c} IS NULL"
+        for table, columns in _COLUMNS.items() for c in columns.split()),
     "dq_coordinates": _count("MissingCoordinates", "stops WHERE StopLat IS NULL OR StopLon IS NULL") + " UNION ALL "
     + _count("InvalidCoordinates", "stops WHERE abs(StopLat) > 90 OR abs(StopLon) > 180"),
     "dq_stop_sequences": _count("NegativeStopSequence", "stop_times WHERE StopSequence < 0") + " UNION ALL "
