@@ -17,11 +17,19 @@ HOT_ROWS = 2_000_000
 UNKNOWN_SIZE = 1 << 62
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate; exact for stored tables, an upper estimate after joins."""
+# Stored columns are compressed, and the estimate of a stored table is the size of its files.
+_UNPACKED = 4
+
+
+def _catalyst_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Size in memory from Catalyst's estimate: near for stored tables, far too high after joins."""
+    return _catalyst_bytes(df) * _UNPACKED
+
+
 def broadcast_limit(df: DataFrame) -> int:
     text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
     if text.startswith("-"):  # broadcasting is switched off
@@ -85,6 +93,6 @@ def lookup_join(
     if (estimated_bytes(small) if size is None else size) <= limit:
         return big.join(F.broadcast(small), keys, how)
     left, right, join_keys = split_hot_keys(big, small, keys, spread_by, hot_rows, heat)
-    if estimated_bytes(right) <= limit:  # Catalyst would broadcast on an estimate known to be low
+    if _catalyst_bytes(right) <= limit:  # Catalyst would broadcast on an estimate known to be low
         right = right.hint("merge")
     return left.join(right, join_keys, how).drop("_piece")

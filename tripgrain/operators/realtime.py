@@ -161,7 +161,8 @@ def _target_keys(targets: DataFrame) -> DataFrame:
         return F.when(present, F.struct(F.lit(name).alias("_kind"), first.alias("_t1"), second.alias("_t2")))
 
     kinds = F.array(kind("both", arr, dep), kind("arrival", arr, arr), kind("departure", dep, dep))
-    return targets.withColumn("_k", F.explode(F.array_compact(kinds))).select("*", "_k.*").drop("_k")
+    found = targets.withColumn("_k", F.explode(kinds)).filter(F.col("_k").isNotNull())
+    return found.select(*targets.columns, "_k.*")
 
 
 def match_events(state: DataFrame, targets: DataFrame, station_map: DataFrame) -> Match:
