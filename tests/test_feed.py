@@ -14,11 +14,11 @@ def test_dialect(spark, tmp_path):
     folder = put(
         tmp_path, "routes",
         'route_id,agency_id,short,long,type,color,text,x\n'
-        'r1,a,"RE1","Köln, Hbf ""Süd""",106,,,\n'
+        'r1,a,"RE1","Süd, Hbf ""Ost""",106,,,\n'
         '"r2",,"",Essen,109,FF0000,,\n',
     )
     out = feed.read_feed(spark, folder, "routes").orderBy("RouteId").collect()
-    assert out[0].RouteLongName == 'Köln, Hbf "Süd"' and out[0].RouteType == 106
+    assert out[0].RouteLongName == 'Süd, Hbf "Ost"' and out[0].RouteType == 106
     assert out[0].RouteColor is None and out[1].AgencyId is None and out[1].RouteShortName is None
     assert out[1].RouteColor == "FF0000"
 
