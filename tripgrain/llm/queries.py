@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgrain.llm import substring
+from tripgrain.llm import neardup, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,8 +19,13 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op9_near_duplicates": op9_near_duplicates,
 }
 
 _OP1 = r"""
@@ -46,6 +51,32 @@ SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT A
 FROM w LEFT JOIN s USING (doc_id)
 """
 
+_OP9 = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+    FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, md5(array_to_string(words[i : i + 4], ' ')) AS h
+    FROM w, unnest(range(1, greatest(len(words) - 3, 2))) AS t(i) WHERE len(words) > 0
+), n AS (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+    FROM s a JOIN s b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY ALL
+), e AS MATERIALIZED (
+    SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+    WHERE 100 * shared >= 75 * (x.n + y.n - shared)
+), r(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM w UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.other
+), c AS (
+    SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id
+)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
 ORACLE = {
+    "op9_near_duplicates": _OP9,
     "op1_substring_dedup": _OP1,
 }
