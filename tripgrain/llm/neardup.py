@@ -7,12 +7,12 @@
    signatures give a collision-corrected similarity by bit counts; what may reach the threshold is
    confirmed on the full sets.
 3. After the first components are known, only pairs of one bucket that lie in different components
-   are left. All of these are estimated and confirmed, so no link between components is skipped, and
-   a large group of copies is never expanded into its pairs.
+   are left. They are estimated inside blocks of a bucket and only what is likely comes out to be
+   confirmed, so no link between components is skipped and a large group is never expanded into pairs.
 
 Groups to confirm are cut into pieces by shingles, so a document that thousands resemble is many tasks.
 With 32 bands of 4 rows a link of similarity 0.75 is missed with probability 5e-6, and the estimate
-rejects one with probability 1e-5; both fall steeply above 0.75.
+rejects one with probability 2e-5; both fall steeply above 0.75.
 """
 
 from __future__ import annotations
@@ -31,11 +31,16 @@ from tripgrain.session import freeze
 
 SHINGLE = 5
 BANDS, ROWS, LOW_BITS = 32, 4, 4
-HASHES = BANDS * ROWS
+#: Minima in the packed signature; the bands use the first ones.
+HASHES = 512
 #: Similarity in percent at which two sets are linked.
 THRESHOLD = 75
 #: An estimate may lie so much below the similarity: over four standard deviations.
-MARGIN = 0.16
+MARGIN = 0.085
+#: Members of a bucket that are compared with each other in one task, about.
+BLOCK = 1024
+#: Rounds of stars before the pairs that are left.
+STARS = 2
 #: Shingles of the members confirmed in one task.
 PIECE_SHINGLES = 400_000
 
@@ -67,8 +72,8 @@ def shingle_sets(texts: pa.Array, k: int = SHINGLE) -> list[np.ndarray]:
 
 def minima(shingles: np.ndarray) -> np.ndarray:
     least = np.full(HASHES, 2**64 - 1, np.uint64)
-    for a in range(0, len(shingles), 2048):
-        least = np.minimum(least, (shingles[a : a + 2048, None] * _A + _B).min(axis=0))
+    for a in range(0, len(shingles), 512):
+        least = np.minimum(least, (shingles[a : a + 512, None] * _A + _B).min(axis=0))
     return least
 
 
@@ -77,7 +82,7 @@ def _sign(batches):
         columns: tuple[list, ...] = ([], [], [], [])
         for found in shingle_sets(batch.column("text")):
             low = minima(found)
-            bands = mix((low.reshape(BANDS, ROWS) * _BAND).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
+            bands = mix((low[: BANDS * ROWS].reshape(BANDS, ROWS) * _BAND).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
             nibbles = (low & np.uint64(15)).astype(np.uint8).reshape(-1, 2)
             packed = (nibbles[:, 0] | (nibbles[:, 1] << 4)).view(np.int64)
             columns[0].append(len(found))
@@ -158,6 +163,60 @@ def components(links: DataFrame) -> DataFrame:
         state = now
 
 
+def _block_pairs(key, group: pa.Table) -> pa.Table:
+    """Likely pairs of one bucket between two of its blocks, members of different parts only.
+
+    A pair that shares several buckets is reported in the first of them.
+    """
+    band, one, two = (k.as_py() for k in key)
+    block, part, ids = (group[c].to_numpy() for c in ("block", "part", "id"))
+    flat = lambda c: group[c].combine_chunks().flatten().to_numpy().reshape(group.num_rows, -1)
+    sig, bands = flat("sig"), flat("bands")
+    left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
+    names, sizes = np.unique(part, return_counts=True)
+    main = names[np.argmax(sizes)]
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    tasks = [(left[part[left] != main], right), (left[part[left] == main], right[part[right] != main])]
+    for some, others in tasks:
+        for at in range(0, len(some) if len(others) else 0, 32):
+            rows = some[at : at + 32]
+            x = sig[rows, None, :] ^ sig[None, others, :]
+            x |= (x >> 1) & 0x7777777777777777
+            x |= (x >> 2) & 0x3333333333333333
+            equal = 1 - np.bitwise_count(x & 0x1111111111111111).sum(axis=2, dtype=np.int64) / HASHES
+            likely = (equal - 2.0**-LOW_BITS) / (1 - 2.0**-LOW_BITS) >= THRESHOLD / 100 - MARGIN
+            a, b = np.nonzero(likely & (part[rows][:, None] != part[others]))
+            a, b = rows[a], others[b]
+            same = bands[a] == bands[b]
+            first = bands[a, same.argmax(axis=1)] == band
+            if one == two:
+                first &= ids[a] > ids[b]
+            found.append((ids[a[first]], ids[b[first]]))
+    a = np.concatenate([x for x, _ in found] or [np.zeros(0, np.int64)])
+    b = np.concatenate([x for _, x in found] or [np.zeros(0, np.int64)])
+    return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+
+
+def _across(divided: DataFrame, classes: DataFrame) -> DataFrame:
+    """Likely pairs (a, b) of different parts in one bucket; large buckets are compared block by block."""
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    member = divided.withColumn("blocks", blocks).withColumn(
+        "block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = member.select("band", "id", "part", "block", other.alias("_other")).select(
+        "band", F.least("block", "_other").alias("one"), F.greatest("block", "_other").alias("two"), "block", "id", "part")
+    signed = dealt.join(classes.select("id", "sig", "bands"), "id")
+    return signed.groupBy("band", "one", "two").applyInArrow(
+        lambda key, group: _block_pairs(key, group), "a long, b long")
+
+
+def _divided(weighed: DataFrame, joined: DataFrame) -> DataFrame:
+    """Rows (band, id, n, weight, part) of buckets that hold more than one component."""
+    member = weighed.join(joined, "id", "left").select("band", "id", "n", "weight", F.coalesce("component", "id").alias("part"))
+    mixed = member.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
+    return freeze(member.join(mixed.select("band"), "band", "left_semi"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
@@ -173,9 +232,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.any_value("n_shingles").alias("n_shingles"))
     classes = freeze(classes)
     banded = classes.select("id", F.explode("bands").alias("band"))
-    hubs = banded.groupBy("band").agg(F.min("id").alias("hub"), F.max("id").alias("other")).where("hub < other").drop("other")
-    shared = freeze(banded.join(hubs, "band").select("band", "id", "hub"))
-    met = freeze(shared.select("id").distinct())
+    crowd = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    shared = freeze(banded.join(crowd, "band"))
+    central = freeze(shared.groupBy("id").agg(F.sum("n").alias("weight")))
+    met = central.select("id")
     texts = freeze(
         docs.join(met.withColumnRenamed("id", "doc_id"), "doc_id")
         .join(some.join(met.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
@@ -190,19 +250,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                 .select("a", "b", similarity(F.col("_a"), F.col("_b")).alias("likely"))
                 .where(F.col("likely") >= THRESHOLD / 100 - MARGIN))
 
-    star = likely(shared.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct())
-    best = star.groupBy("a").agg(F.max_by("b", F.struct("likely", -F.col("b"))).alias("b"))
-    links = freeze(_confirm(best, texts))
-    joined = components(links)
-
-    member = shared.select("band", "id").distinct().join(joined, "id", "left").select(
-        "band", "id", F.coalesce("component", "id").alias("part"))
-    mixed = member.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("band")
-    open_ = freeze(member.join(mixed, "band", "left_semi"))
-    left, right = open_.alias("l"), open_.alias("r")
-    across = left.join(right, F.expr("l.band = r.band AND l.part < r.part")).select(
-        F.expr("greatest(l.id, r.id)").alias("a"), F.expr("least(l.id, r.id)").alias("b")).distinct()
-    more = freeze(_confirm(likely(across).select("a", "b"), texts))
+    # stars around the member that shares most buckets with others; again where a bucket is still divided
+    weighed = freeze(shared.join(central, "id").select("band", "id", "n", "weight"))
+    joined, links, divided = None, None, weighed.withColumn("part", F.col("id"))
+    for _ in range(STARS):
+        hubs = divided.groupBy("band").agg(F.max_by(F.struct("id", "part"), F.struct("weight", -F.col("id"))).alias("hub"))
+        pairs = divided.join(hubs, "band").where("part <> hub.part").select(
+            F.col("id").alias("a"), F.col("hub.id").alias("b")).distinct()
+        best = likely(pairs).groupBy("a").agg(F.max_by("b", F.struct("likely", -F.col("b"))).alias("b"))
+        found = _confirm(best, texts)
+        links = freeze(found if links is None else links.union(found))
+        joined = freeze(components(links))
+        divided = _divided(weighed, joined)
+    across = _across(divided, classes)
+    more = freeze(_confirm(across, texts))
     joined = components(links.union(more)) if more.limit(1).count() else joined
 
     grouped = some.select("digest").distinct().join(classes.select("digest", "id"), "digest").join(joined, "id", "left").select(

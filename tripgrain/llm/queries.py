@@ -5,13 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgrain.llm import neardup, substring
+from tripgrain.llm import automaton, mixing, neardup, packing, quality_crf, rules, substring, syncmers, token_files, toxicity
+
+from tripgrain.llm.words import text_bytes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def remainder(divisor: int):
+    """crc32 of doc_id as text, modulo ``divisor``; a NULL doc_id counts as empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % divisor
+
+
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.remove_repeats(_table(spark, sf_dir, "documents"))
     return out.select(
@@ -19,13 +33,62 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = quality_crf.train(docs, _table(spark, sf_dir, "labels"), remainder(4) != 2)
+    return quality_crf.with_quality(docs, field).select(
+        "doc_id", (remainder(4) == 2).alias("held_out"), "score",
+        (F.col("score") >= quality_crf.CUTOFF).cast("int").alias("predicted"))
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), remainder(5) != 0)
+    return toxicity.with_toxicity(docs, model).select(
+        "doc_id", (remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(_table(spark, sf_dir, "documents"))
+
+
+def op7_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return syncmers.edited_neighbours(docs, text_bytes(docs))
+
+
+def op8_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = automaton.score_texts(_table(spark, sf_dir, "documents"), remainder(5) != 1)
+    return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_quality_crf": op2_quality_crf,
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_toxicity": op4_toxicity,
+    "op5_token_files": op5_token_files,
+    "op6_mix_sources": op6_mix_sources,
+    "op7_syncmer_fingerprints": op7_syncmer_fingerprints,
+    "op8_backoff_automaton": op8_backoff_automaton,
     "op9_near_duplicates": op9_near_duplicates,
+    "op10_risk_controlled_rules": op10_risk_controlled_rules,
 }
 
 _OP1 = r"""
@@ -51,6 +114,24 @@ SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT A
 FROM w LEFT JOIN s USING (doc_id)
 """
 
+_OP6 = """
+WITH n AS (
+    SELECT source, count(*)::BIGINT AS n FROM documents GROUP BY source
+), r AS (
+    SELECT source, pow(n::DOUBLE, 0.7) * sum(n) OVER () / sum(pow(n::DOUBLE, 0.7)) OVER () / n AS rate FROM n
+), c AS (
+    SELECT source, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1.0))) OVER (PARTITION BY source ORDER BY k) AS below
+    FROM r, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 31)::BIGINT)) AS t(k)
+), u AS (
+    SELECT *, (('0x' || md5(doc_id || ':mix-1')[1:13])::BIGINT + 0.5) / pow(2.0, 52) AS draw FROM documents
+), x AS (
+    SELECT u.*, (SELECT count(*) FROM c WHERE c.source IS NOT DISTINCT FROM u.source AND c.below <= u.draw) AS copies FROM u
+)
+SELECT doc_id, text, lang, source, n_chars, copy::INTEGER AS copy,
+       (('0x' || md5(doc_id || ':' || copy || ':mix-1-order')[1:13])::BIGINT + 0.5) / pow(2.0, 52) AS place
+FROM x, unnest(range(0, copies)) AS t(copy)
+"""
+
 _OP9 = r"""
 WITH RECURSIVE w AS (
     SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
@@ -77,6 +158,7 @@ FROM w JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
 ORACLE = {
+    "op6_mix_sources": _OP6,
     "op9_near_duplicates": _OP9,
     "op1_substring_dedup": _OP1,
 }
