@@ -7,6 +7,8 @@ the broadcast limit the join shuffles, and keys that hold many rows are split in
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,8 +54,11 @@ def _pieces():
 
 def mark_pieces(big: DataFrame, hot: DataFrame, on: Sequence[str], spread_by: Sequence[str]) -> DataFrame:
     """Add ``_piece``, which cuts the rows of hot keys by the values of ``spread_by``."""
-    marked = big.join(F.broadcast(hot), list(on), "left")
-    return marked.withColumn("_piece", F.pmod(F.xxhash64(*spread_by), _pieces()).cast("int")).drop("_pieces")
+    named = hot.select(*(F.col(k).alias(f"_hot_{k}") for k in on), "_pieces")
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in on))  # NULL may be the largest key
+    marked = big.join(F.broadcast(named), same, "left")
+    piece = F.pmod(F.xxhash64(*spread_by), _pieces()).cast("int")
+    return marked.withColumn("_piece", piece).drop("_pieces", *(f"_hot_{k}" for k in on))
 
 
 def split_hot_keys(

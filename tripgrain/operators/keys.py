@@ -15,6 +15,7 @@ ONE_TASK_BYTES = 8 * 1024 * 1024
 
 # Stop sequences fit below this, so instance key * span + sequence is unique at trip-stop grain.
 SEQUENCE_SPAN = 1 << 20
+NEGATIVE_SEQUENCES = 1 << 16
 
 
 class DuplicateKeyError(ValueError):
@@ -82,8 +83,15 @@ def add_key(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
 
 
 def trip_stop_key(instance_key: str = "TripInstanceKey", sequence: str = "StopSequence"):
-    """Key of a trip-stop, computed without numbering the largest table of the warehouse."""
-    return F.col(instance_key) * SEQUENCE_SPAN + F.col(sequence)
+    """Key of a trip-stop, computed without numbering the largest table of the warehouse.
+
+    A sequence outside ``SEQUENCE_SPAN`` numbers, of which ``NEGATIVE_SEQUENCES`` are below zero, would share
+    keys with the next trip; it raises instead.
+    """
+    number = F.col(sequence)
+    inside = number.isNull() | number.between(-NEGATIVE_SEQUENCES, SEQUENCE_SPAN - NEGATIVE_SEQUENCES - 1)
+    wrong = F.raise_error(F.concat(F.lit("stop sequence without a key of its own: "), number.cast("string"))).cast("bigint")
+    return F.when(inside, F.col(instance_key) * SEQUENCE_SPAN + number).otherwise(wrong)
 
 
 def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -83,12 +85,13 @@ def with_previous(
     inside = Window.partitionBy(*parts).orderBy(*order)
     tails = cut.groupBy(*parts).agg(F.max_by(F.struct(*values), F.struct(*order)).alias("_tail"))
     across = Window.partitionBy(*keys).orderBy("_bucket")
-    carried = tails.select(*parts, F.lag("_tail").over(across).alias("_carried"))
+    carried = tails.select(*(F.col(p).alias(f"_of_{p}") for p in parts), F.lag("_tail").over(across).alias("_carried"))
+    same = reduce(and_, (F.col(p).eqNullSafe(F.col(f"_of_{p}")) for p in parts))  # a NULL key is a group too
     return (
         cut.withColumn("_near", F.lag(F.struct(*values)).over(inside))
-        .join(carried, parts, "left")
+        .join(carried, same, "left")
         .withColumn(name, F.coalesce("_near", "_carried"))
-        .drop("_bucket", "_near", "_carried")
+        .drop("_bucket", "_near", "_carried", *(f"_of_{p}" for p in parts))
     )
 
 

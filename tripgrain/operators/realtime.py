@@ -73,6 +73,14 @@ def _one_per_capture(events: DataFrame, *first: str) -> DataFrame:
     return kept.select("DbEventId", "CapturedAt", "_row.*")
 
 
+def _merged_changes(change: DataFrame) -> DataFrame:
+    """One change row per event and capture: of each column the value of the first row that has one."""
+    keys = ("DbEventId", "CapturedAt")
+    rest = [c for c in change.columns if c not in keys]
+    first = [F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(*rest))).alias(c) for c in rest]
+    return change.groupBy(*keys).agg(*first)
+
+
 def dedup_events(plan: DataFrame) -> DataFrame:
     """One row per event and capture; of overlapping plan windows the earlier hour wins."""
     return _one_per_capture(plan, "PlanHour")
@@ -80,7 +88,7 @@ def dedup_events(plan: DataFrame) -> DataFrame:
 
 def merge_plan_change(plan: DataFrame, change: DataFrame) -> DataFrame:
     """Planned events with the changes of the same capture; events without a change row stay."""
-    return plan.join(_one_per_capture(change), ["DbEventId", "CapturedAt"], "left")
+    return plan.join(_merged_changes(change), ["DbEventId", "CapturedAt"], "left")
 
 
 def build_snapshots(plan: DataFrame, change: DataFrame) -> DataFrame:
