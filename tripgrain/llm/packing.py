@@ -44,8 +44,8 @@ def token_pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = EN
         for batch in batches:
             rows = []
             texts = batch.column("text").to_pylist()
-            for doc, text in zip(batch.column("doc_id").to_pylist(), texts):
-                ids = encode([text])[0] + tail
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(texts)):
+                ids += tail
                 n = len(ids) // 4
                 first = (n - 1) % length + 1
                 edges = [0, *range(first, n + 1, length)]

@@ -158,8 +158,8 @@ def write_files(docs: DataFrame, path: str, folder: str, end: int = END, ranges:
 
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for doc, text in zip(ids, texts):
-                found = encode([text])[0] + tail
+            for doc, found in zip(ids, encode(texts)):
+                found += tail
                 names.append(doc)
                 counts.append(len(found) // 4)
                 parts.append(found)

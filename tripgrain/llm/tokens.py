@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 
 #: Units that a worker remembers, at most.
 REMEMBER = 240_000
+#: Texts whose new units are encoded in one call.
+TOGETHER = 64
 _SPACED = re.compile(r" (?=\s|$)")
 _WHITE = re.compile(r"[ \n\r\t]+")
 
@@ -58,21 +60,19 @@ class Encoder:
             for unit, found in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 self._new[unit] = np.array(found.ids, "<u4").tobytes()
 
-    def encode(self, texts: Iterable[str | None]) -> list[bytes]:
-        out = []
-        for text in texts:
-            units = self._units(text or "")
-            known = self._new
-            unseen = set(units).difference(known)
-            if unseen:
-                old = self._old
-                again = [unit for unit in unseen if unit in old]
-                known.update((unit, old[unit]) for unit in again)
-                self._learn(sorted(unseen.difference(again)))
-            out.append(b"".join(map(known.__getitem__, units)))
+    def encode(self, texts: Sequence[str | None]) -> Iterator[bytes]:
+        """The ids of each text in order; what several texts have new is learned in one call."""
+        for at in range(0, len(texts), TOGETHER):
+            several = [self._units(text or "") for text in texts[at : at + TOGETHER]]
+            known, old = self._new, self._old
+            unseen = set().union(*several).difference(known)
+            again = [unit for unit in unseen if unit in old]
+            known.update((unit, old[unit]) for unit in again)
+            self._learn(sorted(unseen.difference(again)))
+            for units in several:
+                yield b"".join(map(known.__getitem__, units))
             if len(known) > REMEMBER // 2:
                 self._old, self._new = known, {"": b""}
-        return out
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
