@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 
 #: Units that a worker remembers, at most.
-REMEMBER = 240_000
+REMEMBER = 800_000
 #: Texts whose new units are encoded in one call.
 TOGETHER = 64
 _SPACED = re.compile(r" (?=\s|$)")
