@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator, Sequence
+from itertools import accumulate, chain
 
 import numpy as np
 
@@ -57,8 +58,13 @@ class Encoder:
     def _learn(self, missing: list[str]) -> None:
         for at in range(0, len(missing), 4096):
             part = missing[at : at + 4096]
-            for unit, found in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self._new[unit] = np.array(found.ids, "<u4").tobytes()
+            ids = [found.ids for found in self._tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            together = np.fromiter(chain.from_iterable(ids), "<u4").tobytes()
+            ends = accumulate(4 * len(one) for one in ids)
+            begin = 0
+            for unit, end in zip(part, ends):
+                self._new[unit] = together[begin:end]
+                begin = end
 
     def encode(self, texts: Sequence[str | None]) -> Iterator[bytes]:
         """The ids of each text in order; what several texts have new is learned in one call."""
@@ -68,7 +74,7 @@ class Encoder:
             unseen = set().union(*several).difference(known)
             again = [unit for unit in unseen if unit in old]
             known.update((unit, old[unit]) for unit in again)
-            self._learn(sorted(unseen.difference(again)))
+            self._learn(list(unseen.difference(again)))
             for units in several:
                 yield b"".join(map(known.__getitem__, units))
             if len(known) > REMEMBER // 2:
