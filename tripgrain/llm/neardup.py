@@ -262,7 +262,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = freeze(found if links is None else links.union(found))
         joined = freeze(components(links))
         divided = _divided(weighed, joined)
-    across = _across(divided, classes)
+    across = freeze(_across(divided, classes))  # read twice: for the loads and for the members
     more = freeze(_confirm(across, texts))
     joined = components(links.union(more)) if more.limit(1).count() else joined
 
