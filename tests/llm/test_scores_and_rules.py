@@ -63,6 +63,55 @@ def test_automaton_is_a_distribution_and_agrees_with_counts(rows):
     assert automaton.score_texts(df, F.lit(False)).count() == len(docs)
 
 
+def _by_definition(docs, trains):
+    """Scores of ``docs`` from the definition, with every n-gram that occurs twice."""
+    seqs = lambda t: [*split((t or "").lower()), None]
+    c = [collections.Counter() for _ in range(3)]
+    for d, t in docs:
+        s = seqs(t) if trains(d) else []
+        for k in (1, 2, 3):
+            c[k - 1].update(zip(*(s[j:] for j in range(k))))
+    n, v = sum(c[0].values()), len(c[0])
+    arcs = collections.defaultdict(list)
+    for level in c[1:]:
+        for g, x in level.items():
+            if x >= 2:
+                arcs[g[:-1]].append(g[-1])
+    memo = {}
+
+    def prob(h, w):
+        if not h:
+            return (c[0][(w,)] + 0.5) / (n + 0.5 * (v + 1))
+        if h not in arcs:
+            return prob(h[1:], w)
+        if c[len(h)][(*h, w)] >= 2:
+            return (c[len(h)][(*h, w)] - automaton.DISCOUNT) / c[len(h) - 1][h]
+        if h not in memo:
+            held = sum((c[len(h)][(*h, x)] - automaton.DISCOUNT) / c[len(h) - 1][h] for x in arcs[h])
+            memo[h] = (1 - held) / (1 - sum(prob(h[1:], x) for x in arcs[h]))
+        return prob(h[1:], w) * memo[h]
+
+    return {d: sum(math.log10(prob(tuple(s[max(0, i - 2) : i]), w)) for i, w in enumerate(s)) for d, t in docs for s in [seqs(t)]}
+
+
+def test_automaton_keeps_rare_ngrams_of_a_large_corpus(rows):
+    r = random.Random(9)
+    common = [f"c{i}" for i in range(40)]
+    docs = [(4 * i, " ".join(r.choices(common, k=30_000))) for i in range(40)]
+    docs += [(4, "rare pair here"), (8, "Rare pair here"), (1, "rare pair here"), (5, "c1 rare pair c2 pair here")]
+    docs = [(i if i in (1, 5) else 4 * i + 1000, t) for i, t in docs]
+    df = rows(docs, "doc_id long, text string")
+    got = {x.doc_id: x.score for x in automaton.score_texts(df, F.col("doc_id") % 4 == 0, chunk_bytes=1 << 20).collect()}
+    assert got == pytest.approx(_by_definition(docs, lambda d: d % 4 == 0))
+
+
+def test_automaton_sums_states_that_are_spread(rows):
+    docs = [(i, t) for i, t in _model_texts()]
+    df = rows(docs, "doc_id long, text string")
+    out = automaton.score_texts(df, F.col("doc_id") % 4 != 1, chunk_bytes=400, gram_bucket_bytes=500, hot=3)
+    assert {x.doc_id: x.score for x in out.collect()} == pytest.approx(_by_definition(docs, lambda d: d % 4 != 1))
+
+
 def _hash(*values):
     seed = 42
     for x in values:

@@ -1,23 +1,24 @@
 """Language-model scores by a weighted backoff automaton.
 
-Tokens are words (A-Z lower-cased) and one end per text. The unigram model is additive and exact for
-every word of the corpus. Of longer n-grams those stay that make up at least ``SHARE`` of all training
-tokens (and occur twice), at most 1 / ``SHARE`` of each order, whatever the size of the corpus; as an n-gram is
-never more frequent than its parts, only n-grams of parts that stayed are counted, all of them exactly.
+Tokens are words (A-Z lower-cased) and one end per text. The unigram model is exact and additive for
+every word of the corpus. Of longer n-grams all stay that occur ``LEAST`` times in the training texts, at every
+size of the corpus; as an n-gram is never more frequent than its parts, only n-grams of parts that stayed are counted.
 
 Each n-gram that others extend is a state. An arc from a state carries the discounted log-probability of
 a word; the failure arc leads to the state without the oldest word and carries the weight that makes
-the probabilities of all words add up to one. A text is scored in one pass from left to right.
-
-1. Texts are dealt into chunks. A chunk sends each distinct word once with its training count; the sums go
-   back to the chunk in the same order. Sums also give the vocabulary and the frequent words.
-2. Longer n-grams of frequent words are counted over all training texts, order by order.
-3. The chunk, with the counts of all its words, walks the automaton, which is broadcast.
+the probabilities of all words add up to one. All tokens of a chunk are scored at once, order by order: where
+the state has the arc its weight counts, else the failure weight is added to what the state below gave.
+
+1. Texts are dealt into chunks. A chunk sends each distinct word once with its training count to the word's
+   bucket; the sums go back to the chunk in the same order.
+2. Order by order, a chunk sends its states and its distinct n-grams whose parts stayed to the bucket of
+   the state, and gets their counts and failure weights back. A state with more than ``HOT`` occurrences is
+   spread over several buckets; the weights of these, at most training tokens / ``HOT``, are summed on the driver.
+3. The chunk, with the counts and weights of all it holds, has its own part of the automaton and scores its texts.
 """
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -25,19 +26,28 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripgrain.llm.words import chunk_of, split_words, text_bytes, text_slices, word_hashes
+from tripgrain.llm.words import chunk_of, mix, split_words, text_bytes, text_slices, word_hashes
 from tripgrain.session import freeze
 
 ORDER = 3
-SHARE = 5e-6
+#: Occurrences of an n-gram that stays, at every size.
+LEAST = 2
+#: Share of all training tokens that an n-gram must also make up: none.
+SHARE = 0.0
 DISCOUNT = 0.5
 CHUNK_BYTES = 8 << 20
 #: Distinct words that one bucket holds, about, if each word of the corpus were new.
 BUCKET_BYTES = 32 << 20
+#: The same for longer n-grams.
+GRAM_BUCKET_BYTES = 16 << 20
+#: Occurrences above which the n-grams that extend a state are spread over buckets.
+HOT = 1 << 20
 #: The end of a text as a token.
 END = np.uint64(0x5EED0E4D)
-#: Distinct n-grams that a task gathers before it sends them.
-GATHER = 1 << 21
+#: Bits of a word's hash that tell the n-grams of one state apart.
+_WORD = np.uint64((1 << 48) - 1)
+_SENT = "bucket int, _llm_chunk long, keys binary, known binary, below binary, sizes binary, grams binary, counts binary, lower binary"
+_BACK = "_llm_chunk long, bucket int, level int, counts binary, weights binary, keys binary, held binary, under binary"
 
 
 class Tokens(NamedTuple):
@@ -73,87 +83,43 @@ def _buckets(keys: np.ndarray, n: int):
             yield b, int(edges[b]), int(edges[b + 1])
 
 
-class Automaton(NamedTuple):
-    frequent: np.ndarray  # sorted hashes of frequent words; a word's number is its place + 1, others have 0
-    arcs: dict[int, tuple[float, int]]  # state * (words + 1) + word -> log10 probability, next state
-    fail: list[int]
-    backoff: list[float]
-    start: np.ndarray  # state after one word, by number
-
-    def walk(self, numbers: list[int], unigram: list[float]) -> float:
-        """log10 probability of one text, from its tokens' numbers and unigram log-probabilities."""
-        arcs, fail, backoff, start, size = self.arcs, self.fail, self.backoff, self.start, len(self.frequent) + 1
-        state, total = 0, 0.0
-        for number, alone in zip(numbers, unigram):
-            while state:
-                arc = arcs.get(state * size + number)
-                if arc is not None:
-                    total += arc[0]
-                    state = arc[1]
-                    break
-                total += backoff[state]
-                state = fail[state]
-            else:
-                total += alone
-                state = start[number]
-        return total
-
-
-def build(words: tuple[np.ndarray, np.ndarray], grams: list[tuple[np.ndarray, np.ndarray]], n: int, v: int) -> Automaton:
-    """The automaton of frequent words (sorted hashes, counts) and of n-grams of orders 2, 3, ...
-
-    An n-gram's key is (place of its prefix in the order below) * len(words) + (place of its last word); keys are sorted.
-    """
-    hashes, counts = words
-    size = len(hashes)
-    prob = [(counts + 0.5) / (n + 0.5 * (v + 1))]
-    number_of = [np.arange(size)]  # last word of each n-gram
-    count_of, suffix_of = [counts], [np.full(size, -1)]
-    for keys, found in grams:
-        prefix, last = keys // max(1, size), keys % max(1, size)
-        prob.append((found - DISCOUNT) / count_of[-1][prefix])
-        # the n-gram without its first word: its suffix's prefix, extended by the last word
-        if len(count_of) == 1:
-            suffix_of.append(last)
-        else:
-            lower = suffix_of[-1][prefix] * size + last
-            suffix_of.append(np.searchsorted(below, lower))
-        below = keys
-        count_of.append(found)
-        number_of.append(last)
-    # states: n-grams that are a prefix of a longer one
-    state_of, names = [], 1
-    for k in range(len(prob)):
-        used = np.unique(grams[k][0] // max(1, size)) if k < len(grams) else np.zeros(0, np.int64)
-        mine = np.zeros(len(prob[k]), np.int64)
-        mine[used] = np.arange(names, names + len(used))
-        names += len(used)
-        state_of.append(mine)
-    fail, backoff = np.zeros(names, np.int64), np.zeros(names)
-    arcs: dict[int, tuple[float, int]] = {}
-
-    def longest(k: int, at: np.ndarray) -> np.ndarray:
-        """State of the longest suffix of n-grams ``at`` of order k + 1 that is a state."""
-        state = state_of[k][at]
-        while k > 0 and (state == 0).any():
-            at, k = suffix_of[k][at], k - 1
-            state = np.where(state == 0, state_of[k][at], state)
-        return state
-
-    for k, (keys, _) in enumerate(grams):
-        prefix, last = keys // max(1, size), keys % max(1, size)
-        here = state_of[k][prefix]
-        lower = prob[k][suffix_of[k + 1]] if len(keys) else np.zeros(0)
-        held, below_sum = np.bincount(here, prob[k + 1], names), np.bincount(here, lower, names)
-        mine = np.unique(here)
-        backoff[mine] = np.log10((1 - held[mine]) / np.maximum(1 - below_sum[mine], 1e-12))
-        if k:
-            used = np.flatnonzero(state_of[k])
-            fail[state_of[k][used]] = longest(k - 1, suffix_of[k][used])
-        after = longest(k + 1, np.arange(len(keys)))
-        arcs.update(zip((here * (size + 1) + last + 1).tolist(), zip(np.log10(prob[k + 1]).tolist(), after.tolist())))
-    start = np.r_[0, state_of[0]]
-    return Automaton(hashes, arcs, fail.tolist(), backoff.tolist(), start)
+def _pack(values: np.ndarray, width: int | None = None) -> bytes:
+    """Unsigned values in as few bytes each as hold the largest, first all lowest bytes: planes of zeros compress well."""
+    if width is None:
+        width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def _unpack(data: bytes, n: int) -> np.ndarray:
+    """``n`` packed values."""
+    out = np.zeros((n, 8), np.uint8)
+    if n:
+        planes = np.frombuffer(data, np.uint8).reshape(-1, n)
+        out[:, : len(planes)] = planes.T
+    return out.reshape(-1).view("<i8")
+
+
+def _joined(state: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hashes of n-grams from those of their states and the 48 low bits of their last words."""
+    return mix(state * np.uint64(0x9FB21C651E98DF25) + (word & _WORD))
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    """``freeze``, and the shuffle files of the job go with its end, so that those of the orders do not add up."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, None)
+    conf.set(name, "true")
+    try:
+        return freeze(df.select("*"))
+    finally:
+        conf.unset(name) if before is None else conf.set(name, before)
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [field.split() for field in schema.split(", ")]
+    columns = list(zip(*rows)) if rows else [[]] * len(fields)
+    return pa.table({name: pa.array(list(c), kinds[kind]) for c, (name, kind) in zip(columns, fields)})
 
 
 def _chunk_words(chunk: pa.Table):
@@ -174,144 +140,217 @@ def _send(chunk: pa.Table, buckets: int) -> pa.Table:
         ("bucket", "_llm_chunk", "keys", "counts"), columns, (pa.int32(), pa.int64(), pa.binary(), pa.binary()))})
 
 
-def _sum(bucket: pa.Table, least: float) -> pa.Table:
-    """Counts over all chunks, back to each chunk; a row without chunk has the bucket's vocabulary and frequent words."""
+def _sum(bucket: pa.Table) -> pa.Table:
+    """Counts over all chunks, back to each chunk; a row without chunk has the bucket's training tokens and known words."""
     keys = [np.frombuffer(b, np.uint64) for b in bucket["keys"].to_pylist()]
     ends = np.cumsum([len(k) for k in keys])
     names, place = np.unique(np.concatenate(keys), return_inverse=True)
     counts = np.concatenate([np.frombuffer(b, "<u4") for b in bucket["counts"].to_pylist()])
     total = np.bincount(place, counts, len(names)).astype(np.int64)
     each = total[place]
-    often = total >= least
     number = bucket["bucket"][0].as_py()
-    rows = [(c, number, each[e - len(k) : e].astype("<i8").tobytes(), None, None)
+    rows = [(c, number, 1, each[e - len(k) : e].astype("<i8").tobytes(), None, None, None, None)
             for c, e, k in zip(bucket["_llm_chunk"].to_pylist(), ends, keys)]
-    rows.append((None, number, total[often].astype("<i8").tobytes(), names[often].tobytes(), int((total > 0).sum())))
-    columns = zip(*rows)
-    return pa.table({n: pa.array(list(c), k) for n, c, k in zip(
-        ("_llm_chunk", "bucket", "counts", "keys", "known"), columns,
-        (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64()))})
+    rows.append((None, number, 1, np.array([total.sum(), (total > 0).sum()], "<i8").tobytes(), None, None, None, None))
+    return _table(rows, _BACK)
+
+
+class Level(NamedTuple):
+    """N-grams of one order in a chunk: ``at`` has each token's n-gram or -1, ``state`` the state before it or -1."""
+
+    at: np.ndarray
+    keys: np.ndarray
+    counts: np.ndarray  # in all training texts; 0 of n-grams that did not stay
+    state: np.ndarray
+    weights: np.ndarray  # failure weight of each n-gram of the order below as a state, NaN where none extends it
 
 
-def _numbers(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """Place of each token among the frequent words, or -1."""
-    if not len(frequent):
-        return np.full(len(hashes), -1)
-    at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
-    return np.where(frequent[at] == hashes, at, -1)
+class Asked(NamedTuple):
+    """What a chunk asks about one order: n-grams, and states in buckets; both in the order of their buckets."""
 
+    at: np.ndarray  # each token's n-gram or -1
+    state: np.ndarray  # each token's state, an n-gram of the order below, or -1
+    keys: np.ndarray
+    last: np.ndarray  # hash of each n-gram's last word
+    entry: np.ndarray  # of each n-gram, its state and bucket
+    lower: np.ndarray  # of each n-gram, the one without its first word
+    states: np.ndarray  # of each entry, its state
+    bucket: np.ndarray  # of each entry
 
-def _gram_keys(found: Tokens, frequent: np.ndarray, lower: list[np.ndarray]) -> np.ndarray:
-    """Keys of all n-grams of the next order whose parts are frequent; ``lower`` has the kept keys of orders 2, 3, ..."""
-    number = _numbers(found.hashes, frequent)
-    size, inside = len(frequent), np.ones(len(number), bool)
+
+def _ask(found: Tokens, words: Level, below: Level, least: float, buckets: int, hot: int) -> Asked:
+    inside = np.ones(len(below.at), bool)
     inside[found.first[:-1]] = False  # the first token of a text extends nothing
-    have = number
-    for kept in [*lower, None]:
-        before = np.r_[-1, have[:-1]]
-        ok = inside & (before >= 0) & (number >= 0)
-        keys = before[ok] * size + number[ok]
-        if kept is None:
-            return keys
-        have = np.full(len(number), -1)
-        if len(kept):
-            at = np.minimum(np.searchsorted(kept, keys), len(kept) - 1)
-            have[ok] = np.where(kept[at] == keys, at, -1)
-
-
-def count_grams(train: DataFrame, frequent, lower, least: float, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted keys, counts) of the n-grams of the next order that occur at least ``least`` times."""
-    def gather(batches):
-        held, size = [], 0
-
-        def flush():
-            keys, counts = np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held])
-            names, place = np.unique(keys, return_inverse=True)
-            total = np.bincount(place, counts, len(names)).astype("<i8")
-            bucket = names % buckets
-            parts = [(b, bucket == b) for b in range(buckets)]
-            rows = [(b, names[m].tobytes(), total[m].astype("<u4").tobytes()) for b, m in parts if m.any()]
-            columns = list(zip(*rows)) if rows else [[]] * 3
-            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary()),
-                                               pa.array(columns[2], pa.binary())], ["bucket", "keys", "counts"])
-
-        for batch in batches:
-            for _, texts in text_slices(batch.column("text")):
-                held.append(np.unique(_gram_keys(tokens(texts), frequent.value, lower.value), return_counts=True))
-                size += len(held[-1][0])
-                if size >= GATHER:
-                    yield flush()
-                    held, size = [], 0
-        if held:
-            yield flush()
-
-    def add(bucket: pa.Table) -> pa.Table:
-        names, place = np.unique(np.concatenate([np.frombuffer(b, np.int64) for b in bucket["keys"].to_pylist()]), return_inverse=True)
-        total = np.bincount(place, np.concatenate([np.frombuffer(b, "<u4") for b in bucket["counts"].to_pylist()]), len(names)).astype(np.int64)
-        often = total >= least
-        return pa.table({"keys": pa.array([names[often].tobytes()]), "counts": pa.array([total[often].tobytes()])})
-
-    rows = train.mapInArrow(gather, "bucket int, keys binary, counts binary").groupBy("bucket").applyInArrow(
-        add, "keys binary, counts binary").collect()  # at most 1 / SHARE n-grams in all
-    keys = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r.keys, np.int64) for r in rows)])
-    counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r.counts, np.int64) for r in rows)])
-    order = np.argsort(keys)
-    return keys[order], counts[order]
-
-
-def _score(chunk: pa.Table, back: pa.Table, machine: Automaton, n: int, v: int) -> pa.Table:
+    before = np.r_[-1, below.at[:-1]]
+    stays = np.r_[below.counts >= least, False]  # place -1 is none
+    state = np.where(inside & stays[before], before, -1)
+    ok = (state >= 0) & stays[below.at]
+    codes, first, place = np.unique(state[ok] * len(words.keys) + words.at[ok], return_index=True, return_inverse=True)
+    mine = codes // max(1, len(words.keys))
+    last = words.keys[codes % max(1, len(words.keys))]
+    keys = _joined(below.keys[mine], last)
+    lower = below.at[ok][first]
+    home = ((below.keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    spread = below.counts // hot + 1
+    bucket = (home[mine] + (keys % spread[mine].astype(np.uint64)).astype(np.int64)) % buckets
+    # every state once in its home, also if nothing here extends it, and wherever else its n-grams are
+    used = np.unique(state[state >= 0])
+    pairs, at = np.unique(np.r_[bucket, home[used]] * (len(below.keys) + 1) + np.r_[mine, used], return_inverse=True)
+    entry = at[: len(keys)]
+    order = np.argsort(entry, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    out = np.full(len(state), -1)
+    out[ok] = rank[place]
+    return Asked(out, state, keys[order], last[order], entry[order], lower[order], pairs % (len(below.keys) + 1), pairs // (len(below.keys) + 1))
+
+
+def _levels(chunk: pa.Table, back: pa.Table, order: int, least: float, buckets: int, hot: int, weights: list[dict]):
+    """(tokens, levels of the orders that ``back`` knows, what is asked of the next one up to ``order``)."""
     found, keys, place = _chunk_words(chunk)
-    parts = sorted((b, c) for b, c in zip(back["bucket"].to_pylist(), back["counts"].to_pylist()))
-    counts = np.concatenate([np.zeros(0, "<i8"), *(np.frombuffer(c, "<i8") for _, c in parts)])
-    alone = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))
-    number = _numbers(keys, machine.frequent) + 1
-    alone_at, number_at = alone[place], number[place]
-    base, score = [], []
-    for a, b in zip(found.first[:-1], found.first[1:]):
-        base.append(float(alone_at[a:b].sum()))
-        score.append(machine.walk(number_at[a:b].tolist(), alone_at[a:b].tolist()))
-    known = np.add.reduceat((counts > 0)[place].astype(np.int64), found.first[:-1]) if len(base) else []
+    known: dict[int, list] = {}
+    for level, bucket, counts, failure in zip(*(back[c].to_pylist() for c in ("level", "bucket", "counts", "weights"))):
+        known.setdefault(level, []).append((bucket, counts, failure))
+    parts = [np.frombuffer(c, "<i8") for _, c, _ in sorted(known.get(1, []), key=lambda r: r[0])]
+    counts = np.concatenate([np.zeros(0, np.int64), *parts])
+    levels = [Level(place, keys, counts, np.full(len(place), -1), np.zeros(0))]
+    for k in range(2, order + 1):
+        below = levels[-1]
+        asked = _ask(found, levels[0], below, least, buckets, hot)
+        if k - 2 >= len(weights):
+            return found, levels, asked
+        each = np.bincount(asked.bucket[asked.entry], minlength=buckets)
+        of = {b: (c, w) for b, c, w in known.get(k, [])}
+        at = np.unique(asked.bucket).tolist()
+        counts = np.concatenate([np.zeros(0, np.int64), *(_unpack(of[b][0], int(each[b])) for b in at)])
+        got = np.concatenate([np.zeros(0), *(np.frombuffer(of[b][1], "<f8") for b in at)])
+        failure = np.full(len(below.keys), np.nan)
+        failure[asked.states] = got
+        wide = np.unique(asked.states[below.counts[asked.states] >= hot])
+        failure[wide] = [weights[k - 2].get(key, np.nan) for key in below.keys[wide].tolist()]
+        levels.append(Level(asked.at, asked.keys, counts, asked.state, failure))
+    return found, levels, None
+
+
+def _send_grams(chunk: pa.Table, back: pa.Table, order: int, least: float, buckets: int, hot: int, weights: list[dict]) -> pa.Table:
+    found, levels, asked = _levels(chunk, back, order, least, buckets, hot, weights)
+    below, number = levels[-1], chunk["_llm_chunk"][0].as_py()
+    train = np.repeat(chunk["train"].to_numpy(), np.diff(found.first)) & (asked.at >= 0)
+    counts = np.bincount(asked.at[train], minlength=len(asked.keys))
+    sizes = np.bincount(asked.entry, minlength=len(asked.states))
+    under = np.zeros(len(below.keys), np.int64)  # occurrences of each state without its first word
+    if len(levels) > 1:
+        some = below.at >= 0
+        under[below.at[some]] = levels[-2].counts[levels[-2].at[some]]
+    lower, ends = below.counts[asked.lower], np.r_[0, np.cumsum(sizes)]
+    edges = np.searchsorted(asked.bucket, np.arange(buckets + 1))
+    rows = []
+    for b in np.unique(asked.bucket).tolist():
+        x, y = int(edges[b]), int(edges[b + 1])
+        mine, g, h = asked.states[x:y], int(ends[x]), int(ends[y])
+        rows.append((b, number, below.keys[mine].tobytes(), _pack(below.counts[mine]), _pack(under[mine]), _pack(sizes[x:y]),
+                     _pack(asked.last[g:h] & _WORD, 6), _pack(counts[g:h]), _pack(lower[g:h])))
+    return _table(rows, _SENT)
+
+
+def _sum_grams(bucket: pa.Table, order: int, least: float, hot: int, n: int, v: int) -> pa.Table:
+    """Counts and failure weights back to each chunk; a row without chunk has this bucket's part of the states that are spread."""
+    keys = [np.frombuffer(b, np.uint64) for b in bucket["keys"].to_pylist()]
+    grams = [np.zeros(len(b) // 6, np.uint8) for b in bucket["grams"].to_pylist()]  # their lengths
+
+    def all_of(column: str, like: list[np.ndarray]) -> np.ndarray:
+        return np.concatenate([_unpack(b, len(k)) for b, k in zip(bucket[column].to_pylist(), like)])
+
+    states, one, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    count, under = all_of("known", keys)[one], all_of("below", keys)[one]
+    of = np.repeat(at, all_of("sizes", keys))
+    words = all_of("grams", grams).astype(np.uint64)
+    names, first, place = np.unique(_joined(states[of], words), return_index=True, return_inverse=True)
+    total = np.bincount(place, all_of("counts", grams), len(names)).astype(np.int64)
+    total[total < least] = 0
+    state = of[first]
+    lower = all_of("lower", grams)[first]
+    below = (lower + 0.5) / (n + 0.5 * (v + 1)) if order == 2 else (lower - DISCOUNT) / np.maximum(under[state], 1)
+    stays = total > 0
+    held = np.bincount(state[stays], (total[stays] - DISCOUNT) / count[state[stays]], len(states))
+    left = np.bincount(state[stays], below[stays], len(states))
+    extended = np.bincount(state[stays], minlength=len(states)) > 0
+    failure = np.where(extended, _failure(held, left), np.nan)
+    number, rows = bucket["bucket"][0].as_py(), []
+    x = y = 0
+    for chunk, k, g in zip(bucket["_llm_chunk"].to_pylist(), keys, grams):
+        rows.append((chunk, number, order, _pack(total[place[y : y + len(g)]]), failure[at[x : x + len(k)]].tobytes(), None, None, None))
+        x, y = x + len(k), y + len(g)
+    wide = extended & (count >= hot)
+    if wide.any():
+        rows.append((None, number, order, None, None, states[wide].tobytes(), held[wide].tobytes(), left[wide].tobytes()))
+    return _table(rows, _BACK)
+
+
+def _failure(held, below):
+    return np.log10((1 - held) / np.maximum(1 - below, 1e-12))
+
+
+def _spread_weights(sums: DataFrame) -> dict[int, float]:
+    """Failure weights of the states that are spread over buckets."""
+    parts: dict[int, list[float]] = {}
+    for r in sorted(sums.where("_llm_chunk IS NULL").collect(), key=lambda r: r.bucket):
+        columns = (np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["held"]), np.frombuffer(r["under"]))
+        for key, held, below in zip(*(c.tolist() for c in columns)):
+            have = parts.setdefault(key, [0.0, 0.0])
+            have[0], have[1] = have[0] + held, have[1] + below
+    return {key: float(_failure(*have)) for key, have in parts.items()}
+
+
+def _score(chunk: pa.Table, back: pa.Table, order: int, least: float, buckets: int, hot: int, weights: list[dict], n: int, v: int) -> pa.Table:
+    found, levels, _ = _levels(chunk, back, order, least, buckets, hot, weights)
+    counts, place = levels[0].counts, levels[0].at
+    alone = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))[place]
+    value = alone.copy()
+    for below, level in zip(levels, levels[1:]):
+        failure = np.r_[level.weights, np.nan][level.state]
+        isstate = ~np.isnan(failure)
+        total = np.r_[level.counts, 0][level.at]
+        arc = isstate & (total > 0)
+        value = np.where(isstate, value + failure, value)
+        value[arc] = np.log10((total[arc] - DISCOUNT) / below.counts[level.state[arc]])
+    base, score, known = (np.add.reduceat(x, found.first[:-1]) for x in (alone, value, (counts > 0)[place].astype(np.int64)))
     return pa.table({
         "doc_id": chunk["doc_id"], "train": chunk["train"], "n_tokens": pa.array(np.diff(found.first), pa.int64()),
         "n_known": pa.array(known, pa.int64()), "train_tokens": pa.array([n] * len(base), pa.int64()),
         "base_score": pa.array(base, pa.float64()), "score": pa.array(score, pa.float64())})
 
 
-def _count_tokens(batches):
-    for batch in batches:
-        n = sum(len(split_words(t).starts) + len(t) for _, t in text_slices(batch.column("text")))
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
-
-
-def score_texts(docs: DataFrame, train: Column, order: int = ORDER, share: float = SHARE, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def score_texts(docs: DataFrame, train: Column, order: int = ORDER, share: float = SHARE, chunk_bytes: int = CHUNK_BYTES,
+                gram_bucket_bytes: int = GRAM_BUCKET_BYTES, hot: int = HOT) -> DataFrame:
     """Scores of ``docs`` (doc_id, text): doc_id, train, n_tokens, n_known, train_tokens, base_score, score.
 
     ``train`` says which rows the model learns from. One row per row; NULL and empty texts are the end token
     alone. Rows that share a doc_id or have none are texts of their own. Other columns are ignored. Without
     training rows every token has the same probability; an empty table gives none.
     """
-    spark = docs.sparkSession
     total = text_bytes(docs)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
-    n = rows.where("train").mapInArrow(_count_tokens, "n long").agg(F.sum("n")).first()[0] or 0
-    least = max(2.0, share * n)
-    buckets = max(1, -(-total // BUCKET_BYTES))
+    buckets, wide = max(1, -(-total // BUCKET_BYTES)), max(1, -(-total // gram_bucket_bytes))
     chunks = rows.withColumn("_llm_chunk", chunk_of(F.col("doc_id"), total, chunk_bytes)).groupBy("_llm_chunk")
-    sums = freeze(chunks.applyInArrow(lambda chunk: _send(chunk, buckets), "bucket int, _llm_chunk long, keys binary, counts binary")
-                  .groupBy("bucket").applyInArrow(lambda bucket: _sum(bucket, least),
-                                                  "_llm_chunk long, bucket int, counts binary, keys binary, known long"))
-    words = sums.where("_llm_chunk IS NULL").collect()  # at most 1 / share words in all
-    v = sum(r.known for r in words)
-    hashes = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(r["keys"], np.uint64) for r in words)])
-    counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r["counts"], np.int64) for r in words)])
-    by = np.argsort(hashes)
-    hashes, counts = hashes[by], counts[by]
-    frequent, grams = spark.sparkContext.broadcast(hashes), []
-    for _ in range(order - 1):
-        lower = spark.sparkContext.broadcast([k for k, _ in grams])
-        grams.append(count_grams(rows.where("train").select("text"), frequent, lower, least, buckets))
-    machine = spark.sparkContext.broadcast(build((hashes, counts), grams, n, v))
-    back = sums.where("_llm_chunk IS NOT NULL").select("_llm_chunk", "bucket", "counts")
+    sums = _stored(chunks.applyInArrow(lambda chunk: _send(chunk, buckets), "bucket int, _llm_chunk long, keys binary, counts binary")
+                  .groupBy("bucket").applyInArrow(_sum, _BACK))
+    found = [np.frombuffer(r["counts"], "<i8").tolist() for r in sums.where("_llm_chunk IS NULL").select("counts").collect()]
+    n, v = sum(a for a, _ in found), sum(b for _, b in found)
+    least, weights = max(LEAST, share * n), []
+    back = sums.where("_llm_chunk IS NOT NULL").select("_llm_chunk", "bucket", "level", "counts", "weights")
+
+    def sender(k: int, have: list[dict]):
+        return lambda chunk, mine: _send_grams(chunk, mine, k, least, wide, hot, have)
+
+    def summer(k: int):
+        return lambda bucket: _sum_grams(bucket, k, least, hot, n, v)
+
+    for k in range(2, order + 1):
+        sent = chunks.cogroup(back.groupBy("_llm_chunk")).applyInArrow(sender(k, list(weights)), _SENT)
+        sums = _stored(sent.groupBy("bucket").applyInArrow(summer(k), _BACK))
+        weights.append(_spread_weights(sums))
+        back = back.unionByName(sums.where("_llm_chunk IS NOT NULL").select("_llm_chunk", "bucket", "level", "counts", "weights"))
     return chunks.cogroup(back.groupBy("_llm_chunk")).applyInArrow(
-        lambda chunk, mine: _score(chunk, mine, machine.value, n, v),
+        lambda chunk, mine: _score(chunk, mine, order, least, wide, hot, weights, n, v),
         "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
