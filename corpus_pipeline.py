@@ -43,7 +43,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all pieces in sequences."""
-    return packing.pack(docs, vocabulary("byte_bpe_50k.json"))
+    return packing.pack(docs, vocabulary("byte_bpe_50k.json"), markers=True)
 
 
 STAGES = [

@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tripgrain.llm import packing, token_files, tokens
-from tripgrain.llm.queries import vocabulary
+from tripgrain.llm.queries import op3_best_fit_packing, op5_token_files, vocabulary
 
 TEXTS = [
     "", " ", "  ", "a", " a", "a ", "a  b", "a \n b", "don't  stop\n\n now ", " x   y", "É le cœur\tß \x1c z",
@@ -26,6 +26,19 @@ def test_units_give_the_ids_of_whole_texts(name, words):
     assert list(tokens.encoder(vocabulary(name), words).encode(texts)) == expected
 
 
+MARKED = ["hello <|endoftext|> there", "a<|endoftext|>  b <|startoftext|>c", "<|endoftext|>", " <|ENDOFTEXT|> x ", "plain  text\n", ""]
+
+
+@pytest.mark.parametrize("query, name, tail", [(op3_best_fit_packing, "byte_bpe_50k.json", 0), (op5_token_files, "word_bpe_49k.json", 1)])
+def test_queries_give_the_ids_of_the_library(spark, rows, tmp_path, query, name, tail):
+    whole = Tokenizer.from_file(vocabulary(name))
+    texts = MARKED + TEXTS[:11] + ["z <|endoftext|> " * 3 + t for t in TEXTS[:11]]
+    rows(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    expected = {i: [*whole.encode(t, add_special_tokens=False).ids, tail] for i, t in enumerate(texts)}
+    got = {r.doc_id: r.ids_crc32 for r in query(spark, str(tmp_path)).collect()}
+    assert got == {i: zlib.crc32(np.array(ids, "<u4").tobytes()) for i, ids in expected.items()}
+
+
 def test_cache_stays_bounded(monkeypatch):
     monkeypatch.setattr(tokens, "REMEMBER", 20)
     e = tokens.Encoder(vocabulary("word_bpe_49k.json"), tokens._word_units)

@@ -36,10 +36,10 @@ INJECT = 0.6
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, spot long"
 
 
-def token_pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END) -> DataFrame:
+def token_pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END, markers: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, spot) per piece; ``spot`` is a hash of text and place for dealing."""
     def cut(batches):
-        encode = encoder(path, word_level=False).encode
+        encode = encoder(path, word_level=False, markers=markers).encode
         tail = np.array([end], "<u4").tobytes()
         for batch in batches:
             rows = []
@@ -217,14 +217,15 @@ def _gather(key, group: pa.Table, length: int) -> pa.Table:
                      "sizes": pa.array([blob] * ISLANDS, pa.binary())})
 
 
-def pack(docs: DataFrame, path: str, length: int = LENGTH, end: int = END, shard_pieces: int = SHARD_PIECES) -> DataFrame:
+def pack(docs: DataFrame, path: str, length: int = LENGTH, end: int = END, shard_pieces: int = SHARD_PIECES,
+         markers: bool = False) -> DataFrame:
     """``docs`` (doc_id, text) packed: doc_id, piece, start, length, ids_crc32, sequence_id, offset per piece.
 
     NULL and empty texts are the end id alone. Every row is a document of its own, also where rows share a
-    doc_id or it is NULL (the result then has several pieces of one name, each in its own place). Other
-    columns are ignored; an empty table gives none.
+    doc_id or it is NULL (the result then has several pieces of one name, each in its own place). With ``markers``
+    special tokens that stand in a text have their own ids. Other columns are ignored; an empty table gives none.
     """
-    pieces = freeze(token_pieces(docs, path, length, end))
+    pieces = freeze(token_pieces(docs, path, length, end, markers))
     shards = max(1, -(-pieces.count() // shard_pieces))
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("spot"), F.lit(shards))).drop("spot")
     people = dealt.groupBy("shard").applyInArrow(

@@ -42,7 +42,7 @@ def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    return packing.pack(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), markers=True)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +53,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_files.token_files(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return token_files.token_files(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), markers=True)
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

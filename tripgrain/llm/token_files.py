@@ -123,11 +123,12 @@ def read_segment(data: bytes) -> tuple[int, int, list[int | None], np.ndarray, n
     return part, number, [None if d == none else d for d in docs.tolist()], counts, decode_blocks(*parts)[:n_ids]
 
 
-def write_files(docs: DataFrame, path: str, folder: str, end: int = END, ranges: int | None = None) -> None:
+def write_files(docs: DataFrame, path: str, folder: str, end: int = END, ranges: int | None = None, markers: bool = False) -> None:
     """Write ``docs`` (doc_id, text) as segment files below ``folder``, a URI that every executor reaches.
 
     NULL doc_ids come first, NULL text is empty; rows that share a doc_id are documents of their own, in the
-    order of their texts. An empty table writes no file. Other columns are ignored.
+    order of their texts. With ``markers`` special tokens that stand in a text have their own ids. An empty
+    table writes no file. Other columns are ignored.
     """
     from tripgrain.llm.words import text_bytes
 
@@ -142,7 +143,7 @@ def write_files(docs: DataFrame, path: str, folder: str, end: int = END, ranges:
         store.create_dir(base)
         task = TaskContext.get()
         part = task.partitionId()
-        encode = encoder(path, word_level=True).encode
+        encode = encoder(path, word_level=True, markers=markers).encode
         tail = np.array([end], "<u4").tobytes()
         number, names, counts, parts, held = 0, [], [], [], 0
 
@@ -201,10 +202,10 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def token_files(docs: DataFrame, path: str, end: int = END) -> DataFrame:
+def token_files(docs: DataFrame, path: str, end: int = END, markers: bool = False) -> DataFrame:
     """Write ``docs`` into a new folder below the shared one and read it back."""
     spark = docs.sparkSession
     folder = scratch_path(spark, "tokens")
     spark.createDataFrame([], "nothing int").write.parquet(folder + os.sep + "_made")  # the folder exists, even if empty
-    write_files(docs, path, folder, end)
+    write_files(docs, path, folder, end, markers=markers)
     return read_files(spark, folder)

@@ -4,6 +4,9 @@ Both tokenizers cut a text before they merge anything, and never merge over such
 cut where a cut is certain, every unit is encoded by the tokenizers library on its own and
 remembered as little-endian bytes, and a text is the units' bytes joined. The memory is bounded: the
 older half is forgotten when it is full.
+
+A vocabulary's special tokens, such as ``<|endoftext|>``, may stand in a text literally. Read as ``markers`` they have
+their own id, as the library has it by default, and a text with one is encoded whole; else they are text like any other.
 """
 
 from __future__ import annotations
@@ -45,12 +48,14 @@ def _word_units(text: str) -> list[str]:
 class Encoder:
     """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, units: Callable[[str], list[str]]):
+    def __init__(self, path: str, units: Callable[[str], list[str]], markers: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = not markers
+        special = [re.escape(x.content) for x in self._tokenizer.get_added_tokens_decoder().values()] if markers else []
+        self._marked = re.compile("|".join(special)).search if special else lambda text: None
         self._units = units
         self._new: dict[str, bytes] = {"": b""}
         self._old: dict[str, bytes] = {}
@@ -66,27 +71,32 @@ class Encoder:
                 self._new[unit] = together[begin:end]
                 begin = end
 
+    def _ids(self, text: str) -> bytes:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def encode(self, texts: Sequence[str | None]) -> Iterator[bytes]:
         """The ids of each text in order; what several texts have new is learned in one call."""
         for at in range(0, len(texts), TOGETHER):
-            several = [self._units(text or "") for text in texts[at : at + TOGETHER]]
+            part = [text or "" for text in texts[at : at + TOGETHER]]
+            whole = [self._marked(text) is not None for text in part]
+            several = [[] if one else self._units(text) for one, text in zip(whole, part)]
             known, old = self._new, self._old
             unseen = set().union(*several).difference(known)
             again = [unit for unit in unseen if unit in old]
             known.update((unit, old[unit]) for unit in again)
             self._learn(list(unseen.difference(again)))
-            for units in several:
-                yield b"".join(map(known.__getitem__, units))
+            for one, text, units in zip(whole, part, several):
+                yield self._ids(text) if one else b"".join(map(known.__getitem__, units))
             if len(known) > REMEMBER // 2:
                 self._old, self._new = known, {"": b""}
 
 
-_encoders: dict[tuple[str, bool], Encoder] = {}
+_encoders: dict[tuple[str, bool, bool], Encoder] = {}
 
 
-def encoder(path: str, word_level: bool) -> Encoder:
+def encoder(path: str, word_level: bool, markers: bool = False) -> Encoder:
     """This worker's encoder for a vocabulary file; ``word_level`` for those that drop white space."""
-    key = (path, word_level)
+    key = (path, word_level, markers)
     if key not in _encoders:
-        _encoders[key] = Encoder(path, _word_units if word_level else _byte_units)
+        _encoders[key] = Encoder(path, _word_units if word_level else _byte_units, markers)
     return _encoders[key]
