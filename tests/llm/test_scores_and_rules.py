@@ -161,6 +161,39 @@ def test_syncmers_equal_brute_force(rows, bucket_bytes):
         assert x.near_next == pytest.approx(_like(_sketch(t), _sketch(after)))
 
 
+def _by_place(a, b):
+    """Share of distinct hashes that vote for the most frequent difference of places."""
+    places = []
+    for t in (a, b):
+        h = [_hash(w) for w in split(t)]
+        inner = [_hash(x, y) for x, y in zip(h, h[1:])]
+        found, runs = collections.defaultdict(list), syncmers.GRAM - syncmers.INNER + 1
+        for i in range(len(h) - syncmers.GRAM + 1):
+            if min(inner[i : i + runs]) in (inner[i], inner[i + runs - 1]):
+                found[_hash(*h[i : i + syncmers.GRAM])].append(i)
+        places.append(found)
+    one, two = places
+    votes = collections.Counter(d for x in one for d in {q - p for p, q in zip(one[x], two.get(x, []))})
+    return max(votes.values(), default=0) / len({*one, *two})
+
+
+def test_syncmers_match_long_texts_by_place(rows):
+    r = random.Random(12)
+    words = lambda n: " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+    shared, p, q = words(300), words(2000), words(1500)
+    docs = [(9, f"{words(9000)} {shared} {words(9000)}"), (8, f"{words(5000)} {shared} {words(13000)}"), (7, f"{p} {q}"),
+            (6, f"{q} {p}"), (5, f"{p} {p} {q}"), (4, f"one more {p} {q} {q}"), (3, "line of five or six " * 700)]
+    df = rows(docs, "doc_id long, text string")
+    got = {x.doc_id: x for x in syncmers.edited_neighbours(df, 10**6).collect()}
+    for (d, t), (_, after) in zip(docs, docs[1:] + docs[:1]):
+        third = len(t) // 3
+        assert got[d].near_next == pytest.approx(_by_place(t, after)), d
+        assert got[d].near_edited == pytest.approx(_by_place(t, t[: len(t) - third] + after[:third])), d
+    assert 0 < got[9].near_next < 0.01  # a shared passage of long texts is seen
+    assert 0.5 < got[7].near_next < 0.7  # the other order is not the same text
+    assert len(got[9].fingerprint) > 16 * 8000
+
+
 def test_syncmers_small_tables(rows):
     empty = rows([], "doc_id long, text string")
     assert syncmers.edited_neighbours(empty, 0).count() == 0

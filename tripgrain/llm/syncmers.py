@@ -5,9 +5,10 @@ closed syncmer when its smallest inner hash is that of the first or the last inn
 depends on its own words only, so equal passages have the same anchors wherever they stand, and between
 two anchors there is always a known distance. Texts shorter than a gram are one anchor.
 
-``anchors`` gives (place, hash) of every anchor, for positional matching. The fingerprint of a document
-is the sorted list of its ``KEEP`` smallest distinct anchor hashes as hexadecimal text: of two
-fingerprints the share of common hashes among the smallest of both estimates the likeness of all anchors.
+The fingerprint of a document is the sorted list of all its distinct anchor hashes as hexadecimal text.
+Two texts are matched by place: the n-th anchor of a hash in one belongs to the n-th of it in the other, and
+votes for the difference of their places. The likeness is the share, among the distinct hashes of both, of those that
+vote for the difference with most hashes. Passages in another order, or after an insertion, stand at another difference.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from tripgrain.llm.words import SPACE
 from tripgrain.session import freeze
 
 GRAM, INNER = 5, 2
-KEEP = 128
+#: Hashes that a fingerprint keeps at most: all.
+KEEP = None
 #: Bytes of text in a bucket of neighbouring doc_ids.
 BUCKET_BYTES = 8 << 20
 
@@ -54,9 +56,26 @@ def with_anchors(docs: DataFrame, text: str, name: str) -> DataFrame:
             .withColumn(name, _anchors(hashed, inner)).drop(hashed, inner))
 
 
-def sketch(anchors: Column) -> Column:
-    """The smallest distinct hashes of the anchors, in order."""
-    return F.slice(F.sort_array(F.array_distinct(F.transform(anchors, lambda a: a["hash"]))), 1, KEEP)
+def with_places(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with the anchors ``name`` as (hash, nth, place) in this order, and ``<name>_hashes``, the distinct hashes in order."""
+    ordered, starts, hashes = f"_llm_{name}_ordered", f"_llm_{name}_starts", f"{name}_hashes"
+    n = F.size(ordered)
+    begins = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(ordered, i)["hash"] != F.get(ordered, i - 1)["hash"]))
+
+    def numbered(x: Column, nth: Column) -> Column:
+        return F.struct(x["hash"].alias("hash"), nth.alias("nth"), x["place"].alias("place"))
+
+    def run(start: Column, k: Column) -> Column:
+        size = F.coalesce(F.get(starts, k + 1), n) - start
+        return F.transform(F.slice(ordered, start + 1, size), numbered)
+
+    single = F.transform(ordered, lambda x: numbered(x, F.lit(0)))
+    return (docs.withColumn(ordered, F.sort_array(F.transform(name, lambda x: F.struct(x["hash"].alias("hash"), x["place"].alias("place")))))
+            .withColumn(starts, F.when(n > 0, begins).otherwise(F.array().cast("array<int>")))
+            .withColumn(hashes, F.transform(starts, lambda i: F.get(ordered, i)["hash"]))
+            # most texts repeat nothing
+            .withColumn(name, F.when(F.size(starts) == n, single).otherwise(F.flatten(F.transform(starts, run))))
+            .drop(ordered, starts))
 
 
 def fingerprint(hashes: Column) -> Column:
@@ -64,12 +83,34 @@ def fingerprint(hashes: Column) -> Column:
     return F.array_join(F.transform(hashes, lambda h: F.lpad(F.hex(h), 16, "0")), "")
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Estimate from two sketches; two empty ones are alike, an empty and another are not."""
-    smallest = F.slice(F.sort_array(F.array_union(a, b)), 1, KEEP)
-    both = F.size(F.array_intersect(smallest, F.array_intersect(a, b)))
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).when(
-        (F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(both / F.size(smallest))
+def with_likeness(docs: DataFrame, a: str, b: str, name: str) -> DataFrame:
+    """``docs`` and the likeness ``name`` of two columns of places; two empty ones are alike, an empty and another are not."""
+    common, merged, votes = (f"_llm_{name}_{x}" for x in ("common", "merged", "votes"))
+
+    def side(places: str, sign: int) -> Column:
+        return F.transform(places, lambda x: F.struct(x["hash"].alias("hash"), x["nth"].alias("nth"), F.lit(sign).alias("sign"), x["place"].alias("place")))
+
+    def paired(x: Column, i: Column) -> Column:
+        after = F.get(merged, i + 1)
+        return F.coalesce((after["hash"] == x["hash"]) & (after["nth"] == x["nth"]), F.lit(False))
+
+    # of a pair the first row is that of ``a``
+    firsts = F.filter(F.transform(merged, lambda x, i: F.when(paired(x, i), F.struct(
+        (F.get(merged, i + 1)["place"] - x["place"]).alias("by"), x["hash"].alias("hash")))), lambda x: x.isNotNull())
+    start = F.struct(F.lit(None).cast("int").alias("by"), F.lit(None).cast("bigint").alias("hash"), F.lit(0).alias("run"), F.lit(0).alias("best"))
+
+    def count(have: Column, x: Column) -> Column:
+        same = have["by"].eqNullSafe(x["by"])
+        run = F.when(~same, 1).when(have["hash"] == x["hash"], have["run"]).otherwise(have["run"] + 1)
+        return F.struct(x["by"].alias("by"), x["hash"].alias("hash"), run.alias("run"), F.greatest(have["best"], run).alias("best"))
+
+    sizes = [F.size(f"{x}_hashes") for x in (a, b)]
+    out = docs.withColumn(common, F.size(F.array_intersect(f"{a}_hashes", f"{b}_hashes")))
+    out = out.withColumn(merged, F.when(F.col(common) > 0, F.sort_array(F.concat(side(a, 0), side(b, 1)))))
+    out = out.withColumn(votes, F.when(F.col(common) > 0, F.sort_array(firsts)))
+    best = F.coalesce(F.aggregate(votes, start, count)["best"], F.lit(0))
+    return out.withColumn(name, F.when((sizes[0] == 0) & (sizes[1] == 0), 1.0).when(
+        (sizes[0] == 0) | (sizes[1] == 0), 0.0).otherwise(best / (sizes[0] + sizes[1] - F.col(common)))).drop(common, merged, votes)
 
 
 def _bucket(key: Column, bounds: list[int]) -> Column:
@@ -124,15 +165,14 @@ def edited_neighbours(docs: DataFrame, total: int, bucket_bytes: int = BUCKET_BY
     single document follows itself. Other columns are ignored; an empty table gives none.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = with_anchors(rows, "text", "anchors").select("doc_id", "text", sketch(F.col("anchors")).alias("sketch"))
-    rows = with_next(rows, ["text", "sketch"], max(1, -(-total // bucket_bytes)))
+    rows = with_next(rows, ["text"], max(1, -(-total // bucket_bytes)))
     n = F.char_length("text")
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - third), F.substring(F.col("next_text"), F.lit(1), third))
-    rows = rows.withColumn("n_chars", n.cast("long")).withColumn("edited", edited).drop("text", "next_text")
-    rows = with_anchors(rows, "edited", "anchors").withColumn("edited_sketch", sketch(F.col("anchors"))).drop("anchors")
+    rows = rows.withColumn("n_chars", n.cast("long")).withColumn("edited", edited)
+    for text, name in (("text", "own"), ("edited", "changed"), ("next_text", "next")):
+        rows = with_places(with_anchors(rows, text, name), name).drop(*[text] * (text != "edited"))
+    rows = with_likeness(with_likeness(rows, "own", "changed", "near_edited"), "own", "next", "near_next")
     return rows.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("sketch")).alias("fingerprint"),
-        fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("own_hashes")).alias("fingerprint"),
+        fingerprint(F.col("changed_hashes")).alias("edited_fingerprint"), "near_edited", "near_next")
