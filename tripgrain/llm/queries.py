@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgrain.llm import automaton, mixing, neardup, packing, quality_crf, rules, substring, syncmers, token_files, toxicity
+from tripgrain.llm import (
+    automaton, mixing, neardup, packing, quality_crf, rules, secrets, substring, syncmers, token_files, toxicity,
+)
 
 from tripgrain.llm.words import text_bytes
 
@@ -78,6 +80,10 @@ def op10_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_crf": op2_quality_crf,
@@ -89,6 +95,7 @@ QUERIES = {
     "op8_backoff_automaton": op8_backoff_automaton,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_risk_controlled_rules": op10_risk_controlled_rules,
+    "op12_secret_ownership": op12_secret_ownership,
 }
 
 _OP1 = r"""
@@ -157,7 +164,56 @@ SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, w.doc_id
 FROM w JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
+def _op12_sql() -> str:
+    """Candidates of each kind with their places, ownership of their values, and the digests of each row."""
+    quoted = lambda pattern: "'" + pattern.replace("'", "''") + "'"
+    kinds = []
+    for rank, kind in enumerate(secrets.KINDS):
+        pattern = quoted(kind.pattern)
+        needs = "".join(f" AND regexp_matches(value, {quoted(need)})" for need in kind.needs)
+        kinds.append(f"""
+    SELECT * FROM (
+        SELECT row, {rank} AS kind, '{kind.name}' AS name, value,
+               sum(length(piece) + length(match)) OVER (PARTITION BY row ORDER BY i) AS last, length(match) AS size
+        FROM (SELECT row, unnest(string_split_regex(text, {pattern})) AS piece,
+                     unnest(regexp_extract_all(text, {pattern}, 0)) AS match,
+                     unnest(regexp_extract_all(text, {pattern}, {kind.group})) AS value,
+                     unnest(range(1, len(regexp_extract_all(text, {pattern}, 0)) + 1)) AS i
+              FROM d WHERE regexp_matches(text, {pattern}))
+        WHERE match IS NOT NULL
+    ) WHERE length(value) >= {kind.least}{needs}""")
+    return f"""
+WITH d AS (
+    SELECT row_number() OVER () AS row, doc_id, source, coalesce(text, '') AS text FROM documents
+), a AS ({" UNION ALL ".join(kinds)}
+), s AS MATERIALIZED (
+    SELECT row, kind, name, value, (last - size)::BIGINT AS start, last::BIGINT AS stop FROM a
+), k AS MATERIALIZED (
+    SELECT * FROM s WHERE kind < {len(secrets.BASE)}
+    UNION ALL
+    SELECT * FROM s WHERE kind >= {len(secrets.BASE)} AND NOT EXISTS (
+        SELECT 1 FROM s e WHERE e.row = s.row AND e.kind < s.kind AND e.start < s.stop AND s.start < e.stop)
+), o AS (
+    SELECT value, count(DISTINCT coalesce('=' || source, '')) <= {secrets.MOST_OWNERS}
+           AND count(DISTINCT [coalesce('=' || source, ''), coalesce('=' || doc_id, '')]) <= {secrets.MOST_REPOSITORIES} AS own
+    FROM k JOIN d USING (row) GROUP BY value
+), j AS (
+    SELECT row, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+           string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind) FILTER (kind < {len(secrets.BASE)}) AS base,
+           string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind)
+               FILTER (kind < {len(secrets.BASE)} OR own) AS spans,
+           count(*) FILTER (own) AS n_own, count(*) FILTER (NOT own) AS n_copied
+    FROM k JOIN o USING (value) GROUP BY row
+)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(n_own, 0)::BIGINT AS n_own, coalesce(n_copied, 0)::BIGINT AS n_copied
+FROM d LEFT JOIN j USING (row)
+"""
+
+
 ORACLE = {
+    "op12_secret_ownership": _op12_sql(),
     "op6_mix_sources": _OP6,
     "op9_near_duplicates": _OP9,
     "op1_substring_dedup": _OP1,
