@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripgrain.llm import (
-    automaton, mixing, neardup, packing, quality_crf, rules, secrets, substring, syncmers, token_files, toxicity,
+    alignment, automaton, mixing, neardup, packing, quality_crf, rules, secrets, substring, syncmers, token_files, toxicity,
 )
 
 from tripgrain.llm.words import text_bytes
@@ -80,6 +80,11 @@ def op10_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_pointer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(
+        _table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 def op12_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")))
 
@@ -95,6 +100,7 @@ QUERIES = {
     "op8_backoff_automaton": op8_backoff_automaton,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_risk_controlled_rules": op10_risk_controlled_rules,
+    "op11_pointer_alignment": op11_pointer_alignment,
     "op12_secret_ownership": op12_secret_ownership,
 }
 
