@@ -71,8 +71,7 @@ def test_equals_brute_force(rows):
     assert run(df) == brute(CASES)
 
 
-def test_equals_brute_force_on_documents_in_small_slices(spark, monkeypatch):
-    monkeypatch.setattr(alignment, "BIG_GROUP", 3)
+def test_equals_brute_force_on_documents_in_several_chunks(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     docs = [tuple(r) for r in df.collect()]
     assert run(df.repartition(7)) == brute(docs)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripgrain.llm import (
-    alignment, automaton, mixing, neardup, packing, quality_crf, rules, secrets, substring, syncmers, token_files, toxicity,
+    alignment, automaton, mixing, neardup, packing, phrases, quality_crf, rules, secrets, substring, syncmers, token_files, toxicity,
 )
 
 from tripgrain.llm.words import text_bytes
@@ -89,6 +89,10 @@ def op12_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")))
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_crf": op2_quality_crf,
@@ -102,6 +106,7 @@ QUERIES = {
     "op10_risk_controlled_rules": op10_risk_controlled_rules,
     "op11_pointer_alignment": op11_pointer_alignment,
     "op12_secret_ownership": op12_secret_ownership,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 _OP1 = r"""
@@ -218,8 +223,40 @@ FROM d LEFT JOIN j USING (row)
 """
 
 
+_OP13 = r"""
+WITH p AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), w AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p
+), f AS MATERIALIZED (
+    SELECT lang, w[i : i + k - 1] AS g, count(*)::BIGINT AS f
+    FROM w, unnest(range(1, 6)) AS t(k), unnest(range(1, len(w) - k + 2)) AS u(i) GROUP BY ALL HAVING f >= 100
+), n AS (
+    SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang
+), c AS (
+    SELECT c.lang, c.g, c.f AS a, n, k, l.f AS l, r.f AS r,
+           ((1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+    FROM (SELECT *, unnest(range(1, len(g))) AS k FROM f WHERE len(g) > 1) c
+    JOIN f l ON l.lang = c.lang AND l.g = c.g[1 : k] JOIN f r ON r.lang = c.lang AND r.g = c.g[k + 1 :] JOIN n ON n.lang = c.lang
+), b AS (
+    SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), inside AS (
+    SELECT lang, g[i : j] AS g, max(f) AS f
+    FROM f, unnest(range(1, len(g) + 1)) AS t(i), unnest(range(i + 1, len(g) + 1)) AS u(j)
+    WHERE j - i + 1 < len(g) GROUP BY ALL
+), o AS (
+    SELECT b.*, array_to_string(b.g, ' ') AS phrase FROM b LEFT JOIN inside x ON x.lang = b.lang AND x.g = b.g
+    WHERE x.f IS NULL OR 100 * x.f < 100 * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM o QUALIFY rank <= 2000
+"""
+
 ORACLE = {
     "op12_secret_ownership": _op12_sql(),
+    "op13_phrase_collocations": _OP13,
     "op6_mix_sources": _OP6,
     "op9_near_duplicates": _OP9,
     "op1_substring_dedup": _OP1,
