@@ -140,9 +140,9 @@ def test_spilled_runs_merge_to_exact_counts(monkeypatch, parts):
     monkeypatch.setattr(phrases, "FULL", 500)
     given = streams(4, n=12)
     table = pa.table({
-        "ids": pa.array([phrases._narrow(s) for s in given], pa.binary()),
-        "numbers": pa.array([[{"place": i - 1, "_number": i} for i in range(1, 41)]] * len(given),
-                            pa.list_(pa.struct([("place", pa.int64()), ("_number", pa.int64())]))),
+        "ids": pa.array([phrases._pack(s) for s in given], pa.binary()),
+        "numbers": pa.array([[{"places": phrases._pack(np.arange(a, a + 20)), "numbers": phrases._pack(np.arange(a, a + 20))}
+                              for a in (1, 21)]] * len(given), pa.list_(pa.struct([("places", pa.binary()), ("numbers", pa.binary())]))),
     })
     runs = pa.Table.from_batches(list(phrases._count(iter(table.to_batches(max_chunksize=2)), parts)))
     assert runs.num_rows > parts * 3 - 1
@@ -161,6 +161,17 @@ def test_spilled_runs_merge_to_exact_counts(monkeypatch, parts):
     assert {g: f for g, f in found.items() if f >= 20} == {g: f for g, f in exact.items() if f >= 20}
 
 
+def test_packed_numbers_come_back():
+    for values in ([], [0], [255], [256, 0, 7], [2**40, 1, 2**63 - 1], list(range(70_000))):
+        assert phrases._unpack(phrases._pack(np.array(values, np.int64))).tolist() == values
+
+
+def test_words_meet_in_several_blocks(rows, monkeypatch):
+    monkeypatch.setattr(phrases, "BLOCK_BYTES", 500)
+    docs = corpus(7)
+    assert run(rows, docs, least=5) == brute(docs, 5)
+
+
 def test_a_container_takes_colliding_batches():
     one, two = phrases.Container(), np.random.default_rng(5)
     expected = Counter()

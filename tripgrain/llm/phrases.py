@@ -7,8 +7,8 @@ is halved, or, when it holds one word only, a trie node of the next word takes i
 is full, whole subtrees leave it as sorted runs.
 
 1. Texts become chunks of local word numbers with the chunk's words and counts: one pass, without a shuffle.
-2. Words are counted per language. Frequent ones get numbers, which return to the chunks, one row per word and
-   chunk.
+2. Blocks of the chunks' words meet by hash. Each language's words are added up there; frequent ones get numbers,
+   which return to the chunks in blocks as well.
 3. Each task counts its chunks' windows of ``LONGEST`` words, stopped at the end of a piece or before a rare word.
    Every phrase is the beginning of a window, so each place is stored once for all lengths.
 4. Runs are merged per prefix partition. A prefix is two words, and further words while all before are very
@@ -23,11 +23,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripgrain.llm.words import mix, split_words, text_slices, word_hashes
+from tripgrain.llm.words import mix, split_words, text_bytes, text_slices, word_hashes
 from tripgrain.operators.joins import lookup_join
 from tripgrain.session import freeze
 
@@ -35,16 +36,19 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 SLICE_BYTES = 8 << 20
+#: Bytes of text whose words meet in one block, about.
+BLOCK_BYTES = 16 << 20
 #: Entries of a container that bursts, and of a task's trie that is full.
-BURST, FULL = 1 << 16, 1 << 21
+BURST, FULL = 1 << 16, 1 << 20
 #: Trie nodes stand for the first words of a window only, so many at most.
 DEEPEST = 2
 #: Windows of one prefix partition, about, and of one prefix at most.
 PART_WORDS = 2_000_000
-#: Groups that numbers are dealt in, and that a language's best phrases are first sought in.
-NUMBER_GROUPS, BEST_GROUPS = 1024, 64
+#: Groups that a language's best phrases are first sought in.
+BEST_GROUPS = 64
 _BARRIER = np.zeros(256, bool)
 _BARRIER[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
+_ZSTD = pa.Codec("zstd", compression_level=1)
 _LOW = np.uint64(0xFFFFFFFF)
 _HALF = np.uint64(32)
 
@@ -54,17 +58,22 @@ Keys = tuple[np.ndarray, np.ndarray, np.ndarray]  # words 1 and 2, 3 and 4, and
 # --- chunks of local word numbers ---
 
 
-def _narrow(values: np.ndarray) -> bytes:
-    kind = next(k for k in ("<u1", "<u2", "<u4") if not len(values) or int(values.max()) <= np.iinfo(k).max)
-    return kind.encode() + values.astype(kind).tobytes()
+def _pack(values: np.ndarray) -> bytes:
+    """Numbers from 0 on as compressed planes of bytes."""
+    width = max(1, -(-int(values.max()).bit_length() // 8)) if len(values) else 1
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return len(values).to_bytes(8, "little") + bytes([width]) + _ZSTD.compress(planes, asbytes=True)
 
 
-def _wide(blob: bytes) -> np.ndarray:
-    return np.frombuffer(blob, blob[:3].decode(), offset=3).astype(np.int64)
+def _unpack(blob: bytes) -> np.ndarray:
+    n, width = int.from_bytes(blob[:8], "little"), blob[8]
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(_ZSTD.decompress(blob[9:], n * width, asbytes=True), np.uint8).reshape(width, n).T
+    return out.view("<i8").ravel()
 
 
-def _slice_words(texts: pa.Array, langs: np.ndarray) -> Iterator[tuple[int, np.ndarray, list[str], np.ndarray]]:
-    """(language, local numbers with 0 between pieces, words from number 1 on, their counts) per language of a slice."""
+def _slice_words(texts: pa.Array, langs: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[str], np.ndarray]]:
+    """Per language of a slice: language, local numbers with 0 between pieces, and of number 1 on hash, word and count."""
     _, offsets, data = texts.buffers()
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     ends_piece = _BARRIER[raw]
@@ -81,24 +90,82 @@ def _slice_words(texts: pa.Array, langs: np.ndarray) -> Iterator[tuple[int, np.n
     lang = langs[words.row]
     for one in np.unique(lang):
         mine = np.flatnonzero(lang == one)
-        _, first, back, n = np.unique(hashes[mine], return_index=True, return_inverse=True, return_counts=True)
+        distinct, first, back, n = np.unique(hashes[mine], return_index=True, return_inverse=True, return_counts=True)
         numbers = np.zeros(len(mine) + int(new[mine].sum()), np.int64)
         numbers[np.arange(len(mine)) + np.cumsum(new[mine])] = back + 1
-        yield int(one), numbers, [words.bytes_of(i).decode() for i in mine[first]], n
+        yield int(one), numbers, distinct, [words.bytes_of(i).decode() for i in mine[first]], n
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_CHUNK = pa.schema([
+    ("chunk", pa.int64()), ("lang", pa.string()), ("ids", pa.binary()), ("total", pa.int64()),
+    ("block", pa.int64()), ("first", pa.int64()), ("words", pa.list_(pa.string())), ("n", pa.binary()),
+])
+_CHUNK_DDL = "chunk long, lang string, ids binary, total long, block long, first long, words array<string>, n binary"
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.RecordBatch]:
+    """Per slice and language one row with the numbers of its text and one per block of its words."""
     task, number = TaskContext.get().partitionId(), 0
     for batch in batches:
         names = batch["lang"].dictionary_encode()
-        langs, names = names.indices.to_numpy(zero_copy_only=False), names.dictionary
-        for first, texts in text_slices(batch["text"], SLICE_BYTES):
-            for lang, ids, words, n in _slice_words(texts, langs[first : first + len(texts)]):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([(task << 32) + number], pa.int64()), names.slice(lang, 1), pa.array([_narrow(ids)]),
-                     pa.array([words], pa.list_(pa.string())), pa.array([n], pa.list_(pa.int64()))],
-                    ["chunk", "lang", "ids", "words", "n"])
+        langs, names = names.indices.to_numpy(zero_copy_only=False), names.dictionary.to_pylist()
+        for start, texts in text_slices(batch["text"], SLICE_BYTES):
+            for lang, ids, hashes, words, n in _slice_words(texts, langs[start : start + len(texts)]):
+                chunk = (task << 32) + number
                 number += 1
+                rows = [(chunk, names[lang], _pack(ids), int(n.sum()), None, None, None, None)]
+                block = (hashes >> _HALF) * np.uint64(blocks) >> _HALF
+                edges = np.flatnonzero(np.diff(block.astype(np.int64), prepend=-1))
+                for a, b in zip(edges.tolist(), np.r_[edges[1:], len(n)].tolist()):
+                    rows.append((chunk, names[lang], None, None, int(block[a]), a + 1, words[a:b], _pack(n[a:b])))
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _CHUNK)], schema=_CHUNK)
+
+
+_NUMBERED = pa.schema([
+    ("lang", pa.string()), ("word", pa.string()), ("f", pa.int64()), ("number", pa.int64()),
+    ("chunk", pa.int64()), ("places", pa.binary()), ("numbers", pa.binary()),
+])
+_NUMBERED_DDL = "lang string, word string, f long, number long, chunk long, places binary, numbers binary"
+
+
+def _number(rows: pa.Table, blocks: int, least: int, hot: int) -> pa.Table:
+    """A block's frequent words with their numbers (odd: more than ``hot``), then per chunk the numbers of its words."""
+    sizes = pc.list_value_length(rows["words"]).to_numpy()
+    langs = rows["lang"].combine_chunks().dictionary_encode()
+    every = pa.table({
+        "lang": np.repeat(langs.indices.to_numpy(), sizes), "word": pc.list_flatten(rows["words"]),
+        "f": np.concatenate([_unpack(x.as_py()) for x in rows["n"]]),
+    }).combine_chunks()
+    key = pc.binary_join_element_wise(pc.cast(every["lang"], pa.string()), every["word"], " ").combine_chunks().dictionary_encode()
+    code = key.indices.to_numpy()
+    f = np.zeros(len(key.dictionary), np.int64)
+    np.add.at(f, code, every["f"].to_numpy())
+    frequent = np.flatnonzero(f >= least)
+    order = pc.sort_indices(key.dictionary.take(pa.array(frequent))).to_numpy()
+    frequent = frequent[order]
+    number = np.zeros(len(f), np.int64)
+    block = rows["block"][0].as_py()
+    number[frequent] = ((np.arange(len(frequent)) + 1) * blocks + block) * 2 + (f[frequent] > hot)
+    if len(frequent) and number[frequent].max() >= 1 << 32:
+        raise OverflowError("more frequent words than numbers")
+    example = np.zeros(len(f), np.int64)
+    example[code] = np.arange(len(code))
+    of = pa.array(example[frequent])
+    words = pa.table([
+        langs.dictionary.take(every["lang"].take(of)), every["word"].take(of), pa.array(f[frequent]), pa.array(number[frequent]),
+        *(pa.nulls(len(frequent), _NUMBERED.field(c).type) for c in ("chunk", "places", "numbers")),
+    ], schema=_NUMBERED)
+    numbers, edges, back = number[code], np.r_[0, np.cumsum(sizes)], []
+    for i, (chunk, first) in enumerate(zip(rows["chunk"].to_pylist(), rows["first"].to_pylist())):
+        mine = numbers[edges[i] : edges[i + 1]]
+        at = np.flatnonzero(mine)
+        if len(at):
+            back.append((chunk, _pack(at + first), _pack(mine[at])))
+    chunks, places, packed = zip(*back) if back else ((), (), ())
+    return pa.concat_tables([words, pa.table([
+        *(pa.nulls(len(chunks), _NUMBERED.field(c).type) for c in ("lang", "word", "f", "number")),
+        pa.array(chunks, pa.int64()), pa.array(places, pa.binary()), pa.array(packed, pa.binary()),
+    ], schema=_NUMBERED)])
 
 
 # --- the trie ---
@@ -144,7 +211,7 @@ class Container:
         if 2 * (self.used + len(n)) > len(self._n):
             at = np.flatnonzero(self._n)
             old, counts = _take(self._keys, at), self._n[at]
-            self._make(1 << int(4 * (self.used + len(n)) - 1).bit_length())
+            self._make(1 << int(2 * (self.used + len(n)) - 1).bit_length())
             self.used = 0
             self._put(old, counts)
         self._put(keys, n)
@@ -283,12 +350,12 @@ def _runs(keys: Keys, n: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
     order = np.argsort(part, kind="stable")
     part, keys, n = part[order], _take(keys, order), n[order]
     edges = np.flatnonzero(np.diff(part, prepend=-1))
-    columns = [_word(keys, k).astype("<u4") for k in range(LONGEST)]
+    columns = [_word(keys, k) for k in range(LONGEST)]
     for at in range(0, len(edges), 256):
         cuts = [(a, b) for a, b in zip(edges[at : at + 256], np.r_[edges, len(part)][at + 1 : at + 257])]
         yield pa.RecordBatch.from_arrays([
-            pa.array(part[[a for a, _ in cuts]]), *(pa.array([c[a:b].tobytes() for a, b in cuts], pa.binary()) for c in columns),
-            pa.array([_narrow(n[a:b]) for a, b in cuts], pa.binary()),
+            pa.array(part[[a for a, _ in cuts]]), *(pa.array([_pack(c[a:b]) for a, b in cuts], pa.binary()) for c in columns),
+            pa.array([_pack(n[a:b]) for a, b in cuts], pa.binary()),
         ], schema=_RUN)
 
 
@@ -297,10 +364,10 @@ def _count(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordB
     trie = Trie()
     for batch in batches:
         for ids, numbers in zip(batch["ids"], batch["numbers"]):
-            local = _wide(ids.as_py())
-            known = numbers.values.flatten()  # pairs of place and number
+            local = _unpack(ids.as_py())
             table = np.zeros(int(local.max()) + 1, np.int64)
-            table[known[0].to_numpy() + 1] = known[1].to_numpy()
+            for block in numbers.as_py():
+                table[_unpack(block["places"])] = _unpack(block["numbers"])
             keys = windows(table[local])
             trie.add(*_sorted(keys, np.ones(len(keys[0]), np.int64)))
             if trie.used > FULL:
@@ -313,8 +380,8 @@ def _merge(rows: pa.Table, least: int) -> pa.Table:
 
     Rare phrases go where the partition has all their windows.
     """
-    words = [np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in rows[f"w{k}"]]).astype(np.uint64) for k in range(LONGEST)]
-    n = np.concatenate([_wide(x.as_py()) for x in rows["n"]])
+    words = [np.concatenate([_unpack(x.as_py()) for x in rows[f"w{k}"]]).astype(np.uint64) for k in range(LONGEST)]
+    n = np.concatenate([_unpack(x.as_py()) for x in rows["n"]])
     keys, n = _sorted((words[0] << _HALF | words[1], words[2] << _HALF | words[3], words[4]), n)
     depth = prefix_words(keys)
     words = [_word(keys, k) for k in range(LONGEST)]
@@ -346,28 +413,26 @@ def count_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
 
     A key is 4 bytes per word; n counts all words of the language. Both are stored.
     """
+    blocks = max(1, -(-text_bytes(docs) // BLOCK_BYTES))
     chunks = freeze(docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang")).mapInArrow(
-        _chunks, "chunk long, lang string, ids binary, words array<string>, n array<long>"))
-    each = chunks.select("lang", F.explode(F.arrays_zip("words", "n")).alias("x"))
-    counted = freeze(each.select("lang", F.col("x.words").alias("word"), "x.n").groupBy("lang", "word").agg(F.sum("n").alias("f")))
-    totals = freeze(counted.groupBy("lang").agg(F.sum("f").alias("n")))
+        lambda batches: _chunks(batches, blocks), _CHUNK_DDL))
+    texts = chunks.where("ids IS NOT NULL").select("chunk", "lang", "ids", "total")
+    totals = freeze(texts.groupBy("lang").agg(F.sum("total").alias("n")))
     total = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    group = F.pmod(F.xxhash64("lang", "word"), F.lit(NUMBER_GROUPS))
-    numbered = counted.where(F.col("f") >= least).withColumn("_group", group).withColumn(
-        "_number", F.row_number().over(Window.partitionBy("_group").orderBy("lang", "word")).cast("long") * NUMBER_GROUPS + F.col("_group"))
-    numbered = numbered.withColumn("_number", F.when(F.col("_number") < 1 << 31, F.col("_number") * 2 + (
-        F.col("f") > PART_WORDS).cast("long")).otherwise(F.raise_error(F.lit("too many frequent words"))))
-    words = freeze(lookup_join(numbered, totals, ["lang"], ["word"]).select(
-        "lang", "word", "f", "n", "_number", _binary(F.col("_number")).alias("key")))
-    places = chunks.select("chunk", "lang", F.posexplode("words").alias("place", "word"))
-    numbers = places.join(words.select("lang", "word", "_number"), ["lang", "word"]).groupBy("chunk").agg(
-        F.collect_list(F.struct(F.col("place").cast("long"), "_number")).alias("numbers"))
+    hot = PART_WORDS
+    met = chunks.where("ids IS NULL").select("chunk", "lang", "block", "first", "words", "n")
+    numbered = freeze(met.repartition(blocks, "block").groupBy("block").applyInArrow(
+        lambda rows: _number(rows, blocks, least, hot), _NUMBERED_DDL))
+    words = freeze(lookup_join(numbered.where("chunk IS NULL").select("lang", "word", "f", "number"), totals, ["lang"], ["word"]).select(
+        "lang", "word", "f", "n", _binary(F.col("number")).alias("key")))
+    numbers = numbered.where("chunk IS NOT NULL").groupBy("chunk").agg(
+        F.collect_list(F.struct("places", "numbers")).alias("numbers"))
     parts = max(1, -(-total // PART_WORDS))
-    runs = chunks.select("chunk", "ids").join(numbers, "chunk").select("ids", "numbers").mapInArrow(
+    runs = texts.select("chunk", "ids").join(numbers, "chunk").select("ids", "numbers").mapInArrow(
         lambda batches: _count(batches, parts), _RUN_DDL)
     merged = runs.repartition(parts, "part").groupBy("part").applyInArrow(lambda rows: _merge(rows, least), "key binary, f long")
     phrases = freeze(merged.groupBy("key").agg(F.sum("f").alias("f")).where(F.col("f") >= least))
-    return words.drop("_number"), phrases
+    return words, phrases
 
 
 def _part(key: str, first, count) -> F.Column:
