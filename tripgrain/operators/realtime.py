@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,7 @@ from tripgrain.operators.joins import broadcast_limit, estimated_bytes, lookup_j
 from tripgrain.schemas import TIMETABLE
 from tripgrain.session import freeze
 
+# Columns of an observation row.
 SNAPSHOT_COLUMNS = (
     "DbEventId", "StationEva", "LineName", "TrainName", "PlannedArrival", "ChangedArrival",
     "ArrivalDelayMinutes", "IsArrivalCancelled", "PlannedDeparture", "ChangedDeparture",
@@ -26,44 +28,91 @@ class RebindError(ValueError):
 # ---------------------------------------------------------------- documents
 
 
-def _events(documents: DataFrame) -> DataFrame:
-    """One row per ``s`` element; absent attributes and children are NULL."""
-    parsed = documents.withColumn("_doc", F.from_xml("Document", TIMETABLE))
-    return parsed.select(
-        "PlanHour", "CapturedAt", F.col("StationEva").alias("_station"), F.inline("_doc.s")
+REASONS = ("no document", "not readable", "no event id", "no capture time")
+
+
+def parse_documents(documents: DataFrame) -> DataFrame:
+    """One row per ``s`` element, with ``Rejected`` where something cannot be used.
+
+    A document without text or capture time, or that is no timetable, gives one row with the reason and no event, and an element
+    without an id a row with that reason, so nothing disappears. A timetable without elements gives one row
+    with neither.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    parsed = documents.withColumn("_doc", F.from_xml("Document", f"{TIMETABLE}, _corrupt string", options))
+    broken = F.col("_doc").isNull() | F.col("_doc._corrupt").isNotNull() | ~F.col("Document").rlike(_TIMETABLE_START)
+    unreadable = F.when(F.coalesce(F.trim("Document"), F.lit("")) == "", REASONS[0]).when(broken, REASONS[1]).when(
+        F.col("CapturedAt").isNull(), REASONS[3])
+    kept = [c for c in documents.columns if c not in ("StationEva", "Document")]
+    rows = parsed.select(
+        *kept, "Document", F.col("StationEva").alias("_station"), unreadable.alias("_unreadable"),
+        F.inline_outer(F.when(unreadable.isNull(), F.col("_doc.s"))),
     )
+    has_event = F.col("tl").isNotNull() | F.col("ar").isNotNull() | F.col("dp").isNotNull() | F.col("_eva").isNotNull()
+    reason = F.coalesce("_unreadable", F.when(F.col("_id").isNull() & has_event, REASONS[2]))
+    return rows.withColumns({
+        "Rejected": reason, "Document": F.when(reason.isNotNull(), F.col("Document")),  # not with every element
+    }).drop("_unreadable")
+
+
+# Declarations and comments, then the root element.
+_TIMETABLE_START = r"^\s*(<\?[^>]*\?>\s*|<!--(?s:.*?)-->\s*)*<timetable[\s/>]"
+
+
+def rejected_documents(documents: DataFrame) -> DataFrame:
+    """What :func:`parse_documents` cannot use: station, kind, hour, capture, the reason and the document's text."""
+    return rejected_rows(parse_documents(documents))
+
+
+def rejected_rows(parsed: DataFrame) -> DataFrame:
+    return parsed.filter("Rejected IS NOT NULL").select(
+        F.col("_station").alias("StationEva"), "Kind", "PlanHour", "CapturedAt", F.col("Rejected").alias("Reason"), "Document")
+
+
+def _events(documents: DataFrame) -> DataFrame:
+    """The usable ``s`` elements; absent attributes and children are NULL."""
+    return parse_documents(documents).filter("Rejected IS NULL AND _id IS NOT NULL")
+
+
+def plan_columns() -> dict[str, Column]:
+    """Columns of a planned event, from a parsed element."""
+    return {
+        "StationEva": F.coalesce("_eva", "_station"),
+        "TrainCategory": F.col("tl._c"),
+        "TrainNumber": F.col("tl._n"),
+        "LineName": F.coalesce("ar._l", "dp._l"),
+        "TrainName": F.coalesce("ar._fb", "dp._fb"),
+        "PlannedArrival": compact_timestamp(F.col("ar._pt")),
+        "PlannedDeparture": compact_timestamp(F.col("dp._pt")),
+        "PlannedPlatform": F.coalesce("ar._pp", "dp._pp"),
+        "ArrivalPath": F.col("ar._ppth"),
+        "DeparturePath": F.col("dp._ppth"),
+    }
+
+
+def change_columns() -> dict[str, Column]:
+    """Columns of a changed event, from a parsed element."""
+    return {
+        "ChangedArrival": compact_timestamp(F.col("ar._ct")),
+        "ChangedDeparture": compact_timestamp(F.col("dp._ct")),
+        "ChangedPlatform": F.coalesce("ar._cp", "dp._cp"),
+        "ArrivalStatus": F.col("ar._cs"),
+        "DepartureStatus": F.col("dp._cs"),
+    }
+
+
+def _named(columns: dict[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in columns.items()]
 
 
 def flatten_plan(documents: DataFrame) -> DataFrame:
     """Planned events of plan documents."""
-    return _events(documents).select(
-        F.col("_id").alias("DbEventId"),
-        F.coalesce("_eva", "_station").alias("StationEva"),
-        F.col("tl._c").alias("TrainCategory"),
-        F.col("tl._n").alias("TrainNumber"),
-        F.coalesce("ar._l", "dp._l").alias("LineName"),
-        F.coalesce("ar._fb", "dp._fb").alias("TrainName"),
-        compact_timestamp(F.col("ar._pt")).alias("PlannedArrival"),
-        compact_timestamp(F.col("dp._pt")).alias("PlannedDeparture"),
-        F.coalesce("ar._pp", "dp._pp").alias("PlannedPlatform"),
-        F.col("ar._ppth").alias("ArrivalPath"),
-        F.col("dp._ppth").alias("DeparturePath"),
-        "PlanHour",
-        "CapturedAt",
-    )
+    return _events(documents).select(F.col("_id").alias("DbEventId"), *_named(plan_columns()), "PlanHour", "CapturedAt")
 
 
 def flatten_change(documents: DataFrame) -> DataFrame:
     """Changed times, platforms and status of change documents."""
-    return _events(documents).select(
-        F.col("_id").alias("DbEventId"),
-        compact_timestamp(F.col("ar._ct")).alias("ChangedArrival"),
-        compact_timestamp(F.col("dp._ct")).alias("ChangedDeparture"),
-        F.coalesce("ar._cp", "dp._cp").alias("ChangedPlatform"),
-        F.col("ar._cs").alias("ArrivalStatus"),
-        F.col("dp._cs").alias("DepartureStatus"),
-        "CapturedAt",
-    )
+    return _events(documents).select(F.col("_id").alias("DbEventId"), *_named(change_columns()), "CapturedAt")
 
 
 def _one_per_capture(events: DataFrame, *first: str) -> DataFrame:
@@ -93,7 +142,11 @@ def merge_plan_change(plan: DataFrame, change: DataFrame) -> DataFrame:
 
 def build_snapshots(plan: DataFrame, change: DataFrame) -> DataFrame:
     """Complete observation rows from planned and changed events."""
-    merged = merge_plan_change(dedup_events(plan), change)
+    return observed(merge_plan_change(dedup_events(plan), change))
+
+
+def observed(merged: DataFrame) -> DataFrame:
+    """Observation rows from planned events beside their changes."""
     return merged.withColumns({
         "ArrivalDelayMinutes": delay_minutes(F.col("PlannedArrival"), F.col("ChangedArrival")),
         "DepartureDelayMinutes": delay_minutes(F.col("PlannedDeparture"), F.col("ChangedDeparture")),
@@ -108,6 +161,28 @@ def snapshots_from_documents(documents: DataFrame) -> DataFrame:
     return build_snapshots(plan, change)
 
 
+def complete_captures(parsed: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """Observation rows from parsed elements of both kinds: one aggregation, so that a stream can keep it as its state.
+
+    Equal to :func:`snapshots_from_documents`: the plan row of the earliest hour, and of each changed column the
+    value of the first change row that has one. Events without a plan row in their capture give none. ``also``
+    names further columns of the key (a watermarked time).
+    """
+    plan, change = plan_columns(), change_columns()
+    is_plan, is_change = F.col("Kind") == "plan", F.col("Kind") == "change"
+    usable = F.expr("Rejected IS NULL AND _id IS NOT NULL AND Kind IN ('plan', 'change')")
+    for key in also:  # a condition on the watermarked time is not moved below the watermark, which must see all rows
+        usable = F.when(usable, F.col(key)).isNotNull()
+    rows = parsed.filter(usable).select(
+        F.col("_id").alias("DbEventId"), "CapturedAt", "Kind", *also,
+        F.when(is_plan, F.struct("PlanHour", *_named(plan))).alias("_plan"),
+        F.when(is_change, F.struct(*_named(change))).alias("_change"),
+    )
+    first = [F.min_by(f"_change.{c}", F.when(F.col(f"_change.{c}").isNotNull(), F.col("_change"))).alias(c) for c in change]
+    done = rows.groupBy("DbEventId", "CapturedAt", *also).agg(F.min("_plan").alias("_plan"), *first)
+    return observed(done.filter("_plan IS NOT NULL").select("DbEventId", "CapturedAt", "_plan.*", *change))
+
+
 def explode_path(plan: DataFrame, separator: str, path: str = "DeparturePath") -> DataFrame:
     """One row per station on the planned path, in order, counting from 1."""
     stations = F.split(F.col(path), F.concat(F.lit("\\Q"), F.lit(separator), F.lit("\\E")))
@@ -173,6 +248,36 @@ def _target_keys(targets: DataFrame) -> DataFrame:
     return found.select(*targets.columns, "_k.*")
 
 
+def _stops(targets: DataFrame) -> DataFrame:
+    return targets.select(
+        "FactTripStopKey", "DateKey", F.col("StationId").alias("_station"),
+        _line(F.col("LineName")).alias("_line"),
+        F.col("ScheduledArrivalDateTime").alias("_arr"), F.col("ScheduledDepartureDateTime").alias("_dep"),
+    )
+
+
+def match_neighbourhood(
+    changed: list[DataFrame], others: DataFrame, targets: DataFrame, station_map: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """What must be matched again when events change: (rows of ``others``, rows of ``targets``).
+
+    ``changed`` are the events' states before and after. A result can only change at trip-stops that have one of
+    their comparison keys; of these all keys count, since rivals are counted over them. So the neighbours
+    are the other events with such a key, and the trip-stops are all with such a key. Matching them together with
+    the changed events gives for each what matching everything would give.
+    """
+    keys = [_keyed_events(state, station_map).select(*_KEY).dropna() for state in changed]
+    touched = freeze(reduce(DataFrame.unionByName, keys).distinct())
+    held = freeze(_target_keys(_stops(targets)).select("FactTripStopKey", *_KEY))
+    spread = ["FactTripStopKey"]
+    near = lookup_join(held, touched, _KEY, spread, "left_semi", size=estimated_bytes(touched)).select(*spread).distinct()
+    near_keys = freeze(held.join(near, spread, "left_semi").select(*_KEY).distinct())
+    size = estimated_bytes(near_keys)
+    stops = lookup_join(held, near_keys, _KEY, spread, "left_semi", size=size).select(*spread).distinct()
+    events = lookup_join(_keyed_events(others, station_map), near_keys, _KEY, ["DbEventId"], "left_semi", size=size)
+    return events.select(*others.columns), targets.join(stops, spread, "left_semi")
+
+
 def match_events(state: DataFrame, targets: DataFrame, station_map: DataFrame) -> Match:
     """One-to-one match of events to trip-stops.
 
@@ -182,11 +287,7 @@ def match_events(state: DataFrame, targets: DataFrame, station_map: DataFrame) -
     are stored once, because three later steps read them.
     """
     events = _keyed_events(state, station_map)
-    stops = targets.select(
-        "FactTripStopKey", "DateKey", F.col("StationId").alias("_station"),
-        _line(F.col("LineName")).alias("_line"),
-        F.col("ScheduledArrivalDateTime").alias("_arr"), F.col("ScheduledDepartureDateTime").alias("_dep"),
-    )
+    stops = _stops(targets)
     places = events.select("_station", "_line").distinct()
     if estimated_bytes(places) <= broadcast_limit(places):
         stops = stops.join(F.broadcast(places), ["_station", "_line"], "left_semi")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgrain.operators.joins import hot_keys, mark_pieces
+from tripgrain.session import remove
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
@@ -62,15 +62,32 @@ def read_observations(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def land_raw(documents: DataFrame, path: str, hot_rows: int = 100_000) -> None:
-    """Append source documents.
+def land_raw(documents: DataFrame, path: str) -> None:
+    """Append source documents. Those of one capture may lie in several files and come at different times."""
+    documents.write.mode("append").parquet(path)
 
-    Those of one capture go to one file and become visible together; only a capture of more than
-    ``hot_rows`` documents is cut into several.
-    """
-    capture = ["StationEva", "CapturedAt"]
-    marked = mark_pieces(documents, hot_keys(documents, capture, hot_rows), capture, ["Kind", "Document"])
-    marked.repartition(*capture, "_piece").drop("_piece").write.mode("append").parquet(path)
+
+def stored_once(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The table at ``path``, written now unless a write of it has come to its end."""
+    return spark.read.parquet(path) if is_complete(spark, path) else write_table(build(), path)
+
+
+def partition_folders(spark: SparkSession, path: str) -> dict[str, str]:
+    """Value and path of the first-level partition folders below ``path``."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return {}
+    found = [status.getPath() for status in files.listStatus(target) if status.isDirectory()]
+    return {p.getName().split("=", 1)[1]: p.toString() for p in found if "=" in p.getName()}
+
+
+def drop_partitions(spark: SparkSession, path: str, gone: Callable[[str], bool]) -> list[str]:
+    """Delete the first-level partitions whose value is ``gone``; returns their values."""
+    values = [(value, folder) for value, folder in sorted(partition_folders(spark, path).items()) if gone(value)]
+    for _, folder in values:
+        remove(spark, folder)
+    return [value for value, _ in values]
 
 
 def exists(spark: SparkSession, path: str) -> bool:
