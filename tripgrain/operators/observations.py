@@ -143,25 +143,32 @@ def change_frequency(obs: DataFrame) -> DataFrame:
     )
 
 
-def observation_summary(obs: DataFrame) -> DataFrame:
-    """Conditional counts over observations, in one pass."""
-    def counted(condition: Column, name: str) -> Column:
-        return F.count_if(condition).alias(name)
-
-    columns = obs.columns
-    parts = [F.count("*").alias("TotalRows")]
-    for column, name in (("PlannedArrival", "WithArrival"), ("PlannedDeparture", "WithDeparture")):
-        if column in columns:
-            parts.append(counted(F.col(column).isNotNull(), name))
-    for column, name in (
-        ("IsArrivalCancelled", "ArrivalCancelled"), ("IsDepartureCancelled", "DepartureCancelled"),
-    ):
-        if column in columns:
-            parts.append(counted(F.col(column), name))
-    parts.append(counted(F.col("ChangedPlatform").isNotNull(), "WithChangedPlatform"))
-    moved = platform_changed(F.col("PlannedPlatform"), F.col("ChangedPlatform")) == 1
-    parts.append(counted(moved, "PlatformChanged"))
-    return obs.agg(*parts)
+# The measures of the summary, with the column each needs.
+MEASURES = {
+    "TotalRows": None,
+    "WithArrival": "PlannedArrival",
+    "WithDeparture": "PlannedDeparture",
+    "ArrivalCancelled": "IsArrivalCancelled",
+    "DepartureCancelled": "IsDepartureCancelled",
+    "WithChangedPlatform": "ChangedPlatform",
+    "PlatformChanged": "ChangedPlatform",
+}
+
+
+def observation_summary(obs: DataFrame, measures: Sequence[str] = tuple(MEASURES)) -> DataFrame:
+    """Conditional counts over observations, in one pass. A measure whose column is missing raises."""
+    missing = sorted({MEASURES[m] for m in measures if MEASURES[m] and MEASURES[m] not in obs.columns})
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} for the measures asked for")
+
+    def condition(measure: str) -> Column:
+        column = F.col(MEASURES[measure])
+        if measure == "PlatformChanged":
+            return platform_changed(F.col("PlannedPlatform"), column) == 1
+        return column if measure.endswith("Cancelled") else column.isNotNull()
+
+    return obs.agg(*[
+        (F.count("*") if MEASURES[m] is None else F.count_if(condition(m))).alias(m) for m in measures])
 
 
 def retain(obs: DataFrame, days: int, as_of: datetime) -> DataFrame:

@@ -21,20 +21,29 @@ PUNCTUAL_MINUTES = 5
 
 
 def performance_view(realtime_fact: DataFrame, view: DataFrame) -> DataFrame:
-    """Realtime facts with the schedule attributes the reports group by."""
+    """Realtime facts with the schedule attributes the reports group by.
+
+    Where both have ``DateKey``, only the facts' days of the schedule are read: they are literals, one per day,
+    so that a schedule in folders by day is pruned, and the day is part of the join key.
+    """
+    on = ["FactTripStopKey"]
+    if "DateKey" in realtime_fact.columns and "DateKey" in view.columns:
+        days = [row[0] for row in realtime_fact.select("DateKey").distinct().dropna().collect()]
+        view = view.filter(F.col("DateKey").isin(days))
+        on = ["DateKey", *on]
     facts = realtime_fact.select(
         "DbEventId",
-        "FactTripStopKey",
+        *on,
         F.coalesce("PlannedArrival", "PlannedDeparture").alias("PlannedTime"),
         F.coalesce("ArrivalDelayMinutes", "DepartureDelayMinutes").alias("DelayMinutes"),
         (F.col("IsArrivalCancelled") | F.col("IsDepartureCancelled")).alias("IsCancelled"),
         platform_changed(F.col("PlannedPlatform"), F.col("ChangedPlatform")).alias("PlatformChanged"),
     )
     schedule = view.select(
-        "FactTripStopKey", "TripInstanceKey", "StopSequence", "ServiceDate", "RouteShortName",
+        *on, "TripInstanceKey", "StopSequence", "ServiceDate", "RouteShortName",
         "TransportMode", "OperatorName", station_name().alias("StationName"),
     )
-    return facts.join(schedule, "FactTripStopKey")
+    return facts.join(schedule, on).drop(*on[:-1])
 
 
 def _rate(condition: Column) -> Column:

@@ -136,6 +136,31 @@ def bad_service_ranges(calendar: DataFrame, calendar_dates: DataFrame, first: st
     ])
 
 
+def feed_bounds(feed_info: DataFrame) -> DataFrame:
+    """First and last day of each feed version; unreadable bounds are NULL and bound nothing."""
+    return feed_info.groupBy("FeedVersion").agg(
+        F.min(text_date(F.col("FeedStartDate"))).alias("FeedStart"), F.max(text_date(F.col("FeedEndDate"))).alias("FeedEnd"))
+
+
+def outside_feed(calendar: DataFrame, calendar_dates: DataFrame, feed_info: DataFrame) -> DataFrame:
+    """Calendar ranges and exceptions outside their feed, per feed version: not wholly inside, and wholly outside.
+
+    The versions are the rows of feed_info, one or a few; every range is compared with each of them.
+    """
+    start, end = text_date(F.col("StartDate")), text_date(F.col("EndDate"))
+    day = text_date(F.col("ServiceDate"))
+    parts = []
+    for version in feed_bounds(feed_info).orderBy("FeedVersion").collect():
+        low, high = F.lit(version.FeedStart), F.lit(version.FeedEnd)
+        for name, rows, condition in (
+            ("CalendarOutsideFeed", calendar, (end < low) | (start > high)),
+            ("CalendarBeyondFeed", calendar, (start < low) | (end > high)),
+            ("ExceptionOutsideFeed", calendar_dates, (day < low) | (day > high)),
+        ):
+            parts.append(_check(name, rows, F.count_if(condition)).select(F.lit(version.FeedVersion).alias("FeedVersion"), "*"))
+    return _union(parts)
+
+
 # ---------------------------------------------------------------- profiles
 
 
@@ -169,6 +194,11 @@ def dim_route_checks(dim_route: DataFrame) -> DataFrame:
     ])
 
 
+def routes_per_mode(dim_route: DataFrame) -> DataFrame:
+    """Routes of the dimension per transport mode."""
+    return dim_route.groupBy("TransportMode").agg(F.count("*").alias("RouteCount"))
+
+
 def dim_stop_checks(dim_stop: DataFrame) -> DataFrame:
     missing = F.col("Latitude").isNull() | F.col("Longitude").isNull()
     return _union([
@@ -200,13 +230,13 @@ def mode_reconciliation(work: DataFrame, view: DataFrame) -> DataFrame:
 
 
 def summary_difference(source: DataFrame, table: DataFrame, summary: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """A one-row summary of both inputs side by side, one line per measure."""
+    """A one-row summary of both inputs side by side, one line per measure; one that a side lacks counts as 0 in it."""
     def melted(df: DataFrame, name: str) -> DataFrame:
         row = summary(df)
         return row.unpivot([], row.columns, "Measure", name)
 
-    return melted(source, "SourceValue").join(melted(table, "TableValue"), "Measure").withColumn(
-        "Difference", F.col("SourceValue") - F.col("TableValue")
+    return melted(source, "SourceValue").join(melted(table, "TableValue"), "Measure", "full_outer").withColumn(
+        "Difference", F.coalesce("SourceValue", F.lit(0)) - F.coalesce("TableValue", F.lit(0))
     )
 
 

@@ -26,10 +26,16 @@ from tripgrain.plans.adapter import load, view
 from tripgrain.plans.scheduled import ScheduledPlan
 from tripgrain.schemas import FEED, feed_columns
 from tripgrain.session import scratch_path
+from tripgrain.sources import documents
 from tripgrain.sources import feed as feed_source
 from tripgrain.sources import tables
 from tripgrain.streaming import realtime as stream
 from tripgrain.streaming import windows
+from tripgrain.streaming.retention import apply_retention
+
+SHORT_FEED_TEXT = """
+SELECT FeedVersion, CASE FeedVersion WHEN '1' THEN '20260720' ELSE FeedStartDate END AS FeedStartDate,
+ CASE FeedVersion WHEN '2' THEN '20260725' WHEN '3' THEN 'open' ELSE FeedEndDate END AS FeedEndDate FROM {feed_info}"""
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -260,6 +266,16 @@ def _dq_service_ranges(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("dq_outside_feed")
+def _dq_outside_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """Ranges and exceptions against the feed's own bounds, and against versions that end earlier or begin later."""
+    info = spark.sql(SHORT_FEED_TEXT, feed_info=view(spark, sf, "feed_info"))
+    return quality.outside_feed(view(spark, sf, "calendar"), view(spark, sf, "calendar_dates"), info)
+
+
+_on_plan("dq_routes_per_mode", lambda p: quality.routes_per_mode(p.dim_route))
+
+
 @query("dq_feed_duplicates")
 def _dq_feed_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return quality.feed_duplicates({n: view(spark, sf, n) for n in quality.FEED_KEYS})
@@ -280,7 +296,8 @@ _CUT = datetime(2024, 1, 2)
 
 _on_view("latest_per_event", "observations", observations.latest_per_event)
 _on_view("event_state", "observations", observations.event_state)
-_on_view("observation_summary", "observations", observations.observation_summary)
+_KNOWN = ("TotalRows", "ArrivalCancelled", "WithChangedPlatform", "PlatformChanged")  # the view has the columns of these
+_on_view("observation_summary", "observations", lambda df: observations.observation_summary(df, _KNOWN))
 _on_view("delay_evolution", "observations", observations.delay_evolution)
 _on_view("first_change", "observations", observations.first_change)
 _on_view("change_frequency", "observations", observations.change_frequency)
@@ -311,8 +328,44 @@ def _summary_difference(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "history")
     tables.append_observations(obs, path, 0)
     return quality.summary_difference(
-        obs, tables.read_observations(spark, path), observations.observation_summary
+        obs, tables.read_observations(spark, path), lambda df: observations.observation_summary(df, _KNOWN)
+    )
+
+
+@query("summary_difference_cut")
+def _summary_difference_cut(spark: SparkSession, sf: str) -> DataFrame:
+    """All measures of the observations built from documents, against a table that lacks some of them."""
+    snapshots = realtime.snapshots_from_documents(_documents(spark, sf))
+    stored = tables.write_table(snapshots, scratch_path(spark, "snapshots"))
+    return quality.summary_difference(stored, stored.filter("CAST(DbEventId AS BIGINT) % 3 > 0"), observations.observation_summary)
+
+
+@query("retention_rewrite")
+def _retention_rewrite(spark: SparkSession, sf: str) -> DataFrame:
+    """The history, written in three batches, after days have been dropped, one has been cut and others compacted."""
+    paths = stream.RealtimePaths(scratch_path(spark, "realtime"))
+    obs = view(spark, sf, "observations")
+    for batch in range(3):
+        tables.append_observations(obs.filter(F.col("ObservationKey") % 3 == batch), paths.history, batch)
+    apply_retention(spark, paths, datetime(2024, 1, 31, 12), 10)
+    return tables.read_observations(spark, paths.history).select("ObservationKey", "DbEventId", "CapturedAt")
+
+
+@query("delay_windows_upserted")
+def _delay_windows_upserted(spark: SparkSession, sf: str) -> DataFrame:
+    """Open and closed windows that a stream keeps up to date."""
+    path = scratch_path(spark, "windows")
+    events = (
+        spark.readStream.schema(load(spark, sf, "events").schema)
+        .option("pathGlobFilter", "events.parquet").parquet(sf)
+    )
+    obs = events.select(
+        F.col("ts").alias("CapturedAt"),
+        F.when(F.col("event_type") != "error", (F.col("event_id") % 31).cast("int")).alias("ArrivalDelayMinutes"),
+        (F.col("event_id") % 5).cast("string").alias("PlannedPlatform"),
     )
+    windows.run_delay_windows(obs, path, "15 minutes", "30 minutes", ["PlannedPlatform"]).awaitTermination()
+    return spark.read.parquet(path).drop("WindowDay")
 
 
 @query("delay_windows_stream")
@@ -401,6 +454,55 @@ def _explode_path(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _folder_documents(spark: SparkSession, sf: str) -> str:
+    """A folder with one file per kind, hour and day that holds all elements of that capture."""
+    folder = scratch_path(spark, "xml")
+    inner = F.regexp_extract("Document", "(?s)<timetable[^>]*>(.*)</timetable>", 1)
+    named = F.concat(F.lit('<s eva="'), F.col("StationEva"), F.lit('" '), F.substring(inner, 4, 1 << 20))
+    whole = _documents(spark, sf).groupBy("Kind", "PlanHour", "CapturedAt").agg(
+        F.concat(F.lit("<timetable>"), F.array_join(F.collect_list(named), ""), F.lit("</timetable>")).alias("value"))
+    whole.withColumn("Captured", F.date_format("CapturedAt", "yyyyMMdd'T'HHmmss")).drop("CapturedAt").write.partitionBy(
+        "Kind", "PlanHour", "Captured").text(folder)
+    return folder
+
+
+@query("read_plan_xml")
+def _read_plan_xml(spark: SparkSession, sf: str) -> DataFrame:
+    return documents.read_plan_xml(spark, _folder_documents(spark, sf), documents.PARTITIONS).select(
+        "DbEventId", "StationEva", "TrainCategory", "TrainNumber", "LineName", "PlannedArrival",
+        "PlannedDeparture", "PlannedPlatform", "PlanHour")
+
+
+@query("read_change_xml")
+def _read_change_xml(spark: SparkSession, sf: str) -> DataFrame:
+    return documents.read_change_xml(spark, _folder_documents(spark, sf), documents.PARTITIONS).select(
+        "DbEventId", "ChangedArrival", "ChangedPlatform", "ArrivalStatus", "CapturedAt")
+
+
+@query("rejected_documents")
+def _rejected_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents of which every 7th is cut, every 11th empty and every 13th without an id: usable elements and rejects."""
+    number = F.regexp_extract("Document", 's id="([0-9]+)"', 1).cast("long")
+    text = F.col("Document")
+    spoiled = F.when(number % 7 == 0, F.substring(text, 1, 40)).when(number % 11 == 0, "").when(
+        number % 13 == 0, F.regexp_replace(text, ' id="[0-9]+"', "")).otherwise(text)
+    parsed = realtime.parse_documents(_documents(spark, sf).withColumn("Document", spoiled))
+    return parsed.groupBy("Kind", F.coalesce("Rejected", F.lit("usable")).alias("Reason")).agg(F.count("*").alias("RowCount"))
+
+
+@query("rejected_lines_warehouse")
+def _rejected_lines_warehouse(spark: SparkSession, sf: str) -> DataFrame:
+    """Exception lines of the feed written as CSV, some with a type that is no number: kept and rejected lines."""
+    folder = scratch_path(spark, "feed")
+    kind, key = F.col("ExceptionType").cast("string"), F.col("ServiceId") % 10
+    spoiled = F.when(key == 3, F.concat(kind, F.lit("x"))).when(key == 7, F.concat(kind, F.lit(",1"))).otherwise(kind)
+    view(spark, sf, "calendar_dates").withColumn("ExceptionType", spoiled).write.option("header", True).csv(
+        f"{folder}/calendar_dates.txt")
+    rows, rejects = feed_source.split_lines(spark, folder, "calendar_dates")
+    return rows.select(F.lit("row").alias("Part")).unionByName(rejects.select(F.lit("reject").alias("Part"))).groupBy(
+        "Part").agg(F.count("*").alias("LineCount"))
+
+
 @query("land_raw")
 def _land_raw(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "raw")
@@ -496,6 +598,55 @@ def _conflicts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("snapshots_split_batches")
+def _snapshots_split_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The history that the stream writes when plan and change of a capture land in different batches."""
+    root = scratch_path(spark, "realtime")
+    paths, every = stream.RealtimePaths(root), _documents(spark, sf)
+    middle = every.agg(F.expr("timestampadd(DAY, cast(datediff(max(CapturedAt), min(CapturedAt)) / 2 as int), min(CapturedAt))")).first()[0]
+    early = F.col("CapturedAt") < wall_literal(middle)
+    plan = F.col("Kind") == "plan"
+    landings = [every.filter(early & plan), every.filter(early & ~plan | ~early & plan), every.filter(~early & ~plan)]
+    close = every.agg((F.max("CapturedAt") + F.expr("INTERVAL 1000 DAYS")).alias("CapturedAt")).select(
+        F.lit("0").alias("StationEva"), F.lit("plan").alias("Kind"), F.lit("00").alias("PlanHour"), "CapturedAt",
+        F.lit("<timetable/>").alias("Document"))
+    nowhere = spark.createDataFrame([], "FactTripStopKey long, DateKey int, StationId string, LineName string, "
+                                    "ScheduledArrivalDateTime timestamp_ntz, ScheduledDepartureDateTime timestamp_ntz")
+    stations = spark.createDataFrame([], "StationEva string, ParentStationId string")
+    for landing in (*landings, close):
+        tables.land_raw(landing, f"{root}/raw")
+        stream.run_realtime(spark, f"{root}/raw", paths, stations, lambda: nowhere, wait="500 days").awaitTermination()
+    return tables.read_observations(spark, paths.history).select(*realtime.SNAPSHOT_COLUMNS)
+
+
+@query("realtime_two_cycles")
+def _realtime_two_cycles(spark: SparkSession, sf: str) -> DataFrame:
+    """Events that gain and lose rivals between cycles, loaded cycle by cycle; the fact comes back.
+
+    First come the events of all trip-stops that have no copy, then the copies, which are rivals; then every
+    second copy is planned for another time, which is no trip-stop's, and so stops being a rival.
+    """
+    root = scratch_path(spark, "realtime")
+    paths, targets = stream.RealtimePaths(root), _targets(spark, sf)
+    events = tables.write_table(spark.sql(EVENTS_TEXT, targets=targets), f"{root}/events")
+    copy = F.col("DbEventId").endswith("-d")
+    away = F.expr("INTERVAL 13 SECONDS")
+    gone = events.filter(copy & (F.col("DbEventId").substr(F.lit(1), F.length("DbEventId") - 2).cast("long") % 2 == 0)).withColumns(
+        {c: F.col(c) + away for c in ("PlannedArrival", "PlannedDeparture")})
+    stations = spark.sql(_STATION_MAP, stops=view(spark, sf, "stops"))
+    absent = {
+        **{c: F.lit(None).cast("string") for c in ("TrainName", "PlannedPlatform", "ChangedPlatform")},
+        **{c: F.lit(None).cast("timestamp_ntz") for c in ("ChangedArrival", "ChangedDeparture")},
+        **{c: F.lit(None).cast("int") for c in ("ArrivalDelayMinutes", "DepartureDelayMinutes")},
+        **{c: F.lit(False) for c in ("IsArrivalCancelled", "IsDepartureCancelled")},
+    }
+    for batch, rows in enumerate((events.filter(~copy), events.filter(copy), gone)):
+        captured = wall_literal(datetime(2026, 7, 1, 12 + batch))
+        snapshots = rows.withColumns({**absent, "CapturedAt": captured}).select(*realtime.SNAPSHOT_COLUMNS)
+        stream.load_snapshots(snapshots, batch, paths, stations, lambda: targets, strict=False)
+    return spark.read.parquet(paths.fact).select("DbEventId", "FactTripStopKey", "DateKey", "ObservationCount")
+
+
 @query("realtime_cycle")
 def _realtime_cycle(spark: SparkSession, sf: str) -> DataFrame:
     """Documents of every trip-stop event through the stream: history, match, upsert; the fact comes back."""

@@ -521,6 +521,48 @@ SELECT TripId, CASE WHEN a.s IS NULL THEN 'added' WHEN b.s IS NULL THEN 'removed
 WHERE a.s IS DISTINCT FROM b.s""",
 }
 
+_SNAPSHOT_MEASURES = {
+    "TotalRows": "true", "WithArrival": "PlannedArrival IS NOT NULL", "WithDeparture": "PlannedDeparture IS NOT NULL",
+    "ArrivalCancelled": "IsArrivalCancelled", "DepartureCancelled": "IsDepartureCancelled",
+    "WithChangedPlatform": "ChangedPlatform IS NOT NULL", "PlatformChanged": "ChangedPlatform <> PlannedPlatform",
+}
+_FEED_VERSIONS = {  # bounds of SHORT_FEED_TEXT
+    str(version): ("20260720" if version == 1 else "20260701", {2: "20260725", 3: "99991231"}.get(version, "20261231"))
+    for version in range(5)
+}
+_SELECTS |= {
+    "realtime_two_cycles": """
+SELECT DbEventId, FactTripStopKey, DateKey, CAST(1 AS BIGINT) AS ObservationCount FROM candidates
+WHERE NOT (ends_with(DbEventId, '-d') AND CAST(replace(DbEventId, '-d', '') AS BIGINT) % 2 = 0)
+QUALIFY count(*) OVER (PARTITION BY DbEventId) = 1 AND count(*) OVER (PARTITION BY FactTripStopKey) = 1""",
+    "snapshots_split_batches": _SELECTS["snapshots"],
+    "read_plan_xml": _SELECTS["flatten_plan"],
+    "read_change_xml": _SELECTS["flatten_change"].replace(
+        "AS ArrivalStatus", "AS ArrivalStatus, CAST(date_trunc('day', ts) AS TIMESTAMP) AS CapturedAt"),
+    "rejected_documents": """
+SELECT Kind, CASE WHEN event_id % 7 = 0 THEN 'not readable' WHEN event_id % 11 = 0 THEN 'no document'
+ WHEN event_id % 13 = 0 THEN 'no event id' ELSE 'usable' END AS Reason, count(*) AS RowCount
+FROM (SELECT 'plan' AS Kind, event_id FROM plan_rows
+ UNION ALL SELECT 'change', event_id FROM events WHERE event_type <> 'signup') AS d GROUP BY ALL""",
+    "rejected_lines_warehouse": """
+SELECT CASE WHEN ServiceId % 10 IN (3, 7) THEN 'reject' ELSE 'row' END AS Part, count(*) AS LineCount
+FROM calendar_dates GROUP BY Part""",
+    "retention_rewrite": """
+SELECT ObservationKey, DbEventId, CapturedAt FROM observations WHERE CapturedAt >= TIMESTAMP '2024-01-21 12:00:00'""",
+    "delay_windows_upserted": _WINDOWS,
+    "dq_routes_per_mode": "SELECT TransportMode, count(*) AS RouteCount FROM dim_route GROUP BY TransportMode",
+    "dq_outside_feed": " UNION ALL ".join(
+        f"SELECT '{version}' AS FeedVersion, * FROM ({_count(name, where)}) AS c"
+        for version, (low, high) in _FEED_VERSIONS.items() for name, where in (
+            ("CalendarOutsideFeed", f"calendar WHERE EndDate < '{low}' OR StartDate > '{high}'"),
+            ("CalendarBeyondFeed", f"calendar WHERE StartDate < '{low}' OR EndDate > '{high}'"),
+            ("ExceptionOutsideFeed", f"calendar_dates WHERE ServiceDate < '{low}' OR ServiceDate > '{high}'"))),
+    "summary_difference_cut": " UNION ALL ".join(f"""
+SELECT '{m}' AS Measure, count(*) FILTER ({c}) AS SourceValue, count(*) FILTER (({c}) AND CAST(DbEventId AS BIGINT) % 3 > 0) AS TableValue,
+ count(*) FILTER ({c}) - count(*) FILTER (({c}) AND CAST(DbEventId AS BIGINT) % 3 > 0) AS Difference FROM ({_SELECTS['snapshots']}) AS s"""
+        for m, c in _SNAPSHOT_MEASURES.items()),
+}
+
 _REPORT = (
     _orphans("MissingTripReferences", "stop_times", "trips", "TripId"),
     _orphans("MissingStopReferences", "stop_times", "stops", "StopId"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +12,9 @@ from tripgrain.functions.times import date_key, service_seconds
 from tripgrain.operators import calendar, facts, routes, stops, trips
 from tripgrain.operators.joins import estimated_bytes, lookup_join
 from tripgrain.operators.keys import require_unique, trip_stop_key
+from tripgrain.operators.realtime import match_targets
 from tripgrain.schemas import FEED
-from tripgrain.sources.feed import read_feed
+from tripgrain.sources.feed import read_feed, split_lines
 from tripgrain.sources.tables import write_fact, write_table
 
 
@@ -34,6 +35,13 @@ class Feed:
     def read(cls, spark: SparkSession, folder: str, strict: bool = False) -> Feed:
         return cls(**{name: read_feed(spark, folder, name, strict=strict) for name in FEED})
 
+    @classmethod
+    def read_split(cls, spark: SparkSession, folder: str) -> tuple[Feed, DataFrame]:
+        """The lines that fit their schema, and the others (TableName, Line); each file is parsed once."""
+        parts = {name: split_lines(spark, folder, name) for name in FEED}
+        return cls(**{name: rows for name, (rows, _) in parts.items()}), reduce(
+            DataFrame.unionByName, [rejects for _, rejects in parts.values()])
+
 
 class ScheduledPlan:
     """Lazy tables of the scheduled side.
@@ -199,10 +207,14 @@ class ScheduledPlan:
         return facts.trip_stop_analytics(self.fact, self.dim_date, self.dim_route, self.dim_stop)
 
 
-def build_warehouse(spark: SparkSession, feed: Feed, folder: str, check_keys: bool = True) -> dict[str, DataFrame]:
+def build_warehouse(
+    spark: SparkSession, feed: Feed, folder: str, check_keys: bool = True, rejects: DataFrame | None = None
+) -> dict[str, DataFrame]:
     """Write every table of the scheduled side below ``folder`` and return the stored tables.
 
     Each stage reads the stored result of the one before, so sizes are known when joins are planned.
+    ``rejects`` (see :meth:`Feed.read_split`) become the table ``stg/rejected_lines``. ``match_targets`` is what the
+    realtime side compares events with.
     """
 
     def store(name: str, df: DataFrame) -> DataFrame:
@@ -224,7 +236,11 @@ def build_warehouse(spark: SparkSession, feed: Feed, folder: str, check_keys: bo
     plan.dim_stop = store("dw/dim_stop", stops.build_dim_stop(plan.trip_stops, staged.stops))
     fact = facts.resolve_keys(trips.normalize_times(plan.trip_stops), plan.dim_date, plan.dim_route, plan.dim_stop)
     plan.fact = write_fact(fact, f"{folder}/dw/fact_trip_stop")
+    extra = {"match_targets": store("dw/match_targets", match_targets(plan.fact, plan.dim_route, plan.dim_stop))}
+    if rejects is not None:
+        extra["rejected_lines"] = store("stg/rejected_lines", rejects)
     return {
+        **extra,
         "service_dates": plan.service_dates,
         "route_classification": plan.classification,
         "trip_instances": plan.trip_instances,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripgrain.schemas import FEED
+from tripgrain.session import freeze
 
 REJECTED = "_rejected_line"
 
@@ -46,5 +47,20 @@ def rejected_lines(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return rows.filter(F.col(REJECTED).isNotNull())
 
 
+def split_lines(spark: SparkSession, folder: str, table: str, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """A feed file parsed once, as (rows, rejects): lines that fit the schema, and the text of those that do not.
+
+    The parsed file is stored, so both parts come from the same reading and together have all its lines.
+    """
+    parsed = freeze(
+        _reader(spark, f"{FEED[table]}, {REJECTED} string", False, multi_line)
+        .option("columnNameOfCorruptRecord", REJECTED)
+        .csv(f"{folder}/{table}.txt")
+    )
+    rejects = parsed.filter(F.col(REJECTED).isNotNull()).select(
+        F.lit(table).alias("TableName"), F.col(REJECTED).alias("Line"))
+    return parsed.filter(F.col(REJECTED).isNull()).drop(REJECTED), rejects
+
+
 def with_load_stamp(df: DataFrame) -> DataFrame:
     return df.withColumn("LoadDateTime", F.localtimestamp())
