@@ -185,3 +185,26 @@ def test_reports_read_the_facts_days_of_the_schedule_only(spark, rows, tmp_path)
     plan = perf._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(DateKey" in plan and "(DateKey#" in plan.split("PartitionFilters: ")[1].split("]")[0]
     assert [(r.StationName, r.DelayMinutes) for r in perf.collect()] == [("stop1", 3)]
+
+
+def test_one_trip_is_found_in_a_bounded_number_of_row_groups(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    fact = spark.range(0, 400_000, 1, 8).select(
+        (F.col("id") % 20_000).alias("TripInstanceKey"), (F.col("id") / 20_000).cast("int").alias("StopSequence"),
+        F.sha2(F.col("id").cast("string"), 256).alias("Filler"))
+    path = str(tmp_path / "by_trip")
+    stored = tables.write_by_trip(fact, path, group_bytes=1 << 20)
+    groups = []
+    for file in glob.glob(f"{path}/*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        column = meta.schema.names.index("TripInstanceKey")
+        groups += [meta.row_group(g).column(column).statistics for g in range(meta.num_row_groups)]
+    assert len(groups) >= 8
+    for key in (0, 7, 9_999, 19_999):
+        assert sum(g.min <= key <= g.max for g in groups) <= 2
+    found = stored.filter(F.col("TripInstanceKey") == 7)
+    assert "EqualTo(TripInstanceKey,7)" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.StopSequence for r in found.collect()) == list(range(20))

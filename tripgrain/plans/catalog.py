@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripgrain.functions.times import platform_changed, wall_literal
+from tripgrain.functions.times import date_key, platform_changed, wall_literal
 from tripgrain.operators import (
     aggregates,
     calendar,
@@ -78,7 +78,7 @@ def _round_trip(table: str) -> Query:
         present = set(source.columns)
         columns = [F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in names]
         source.select(*columns).write.option("header", True).option("escape", '"').csv(f"{folder}/{table}.txt")
-        return feed_source.read_feed(spark, folder, table).select(*[c for c in names if c in present])
+        return feed_source.read_feed(spark, folder, table)
 
     return run
 
@@ -145,7 +145,7 @@ def _fact_layout(spark: SparkSession, sf: str) -> DataFrame:
 @query("trip_itinerary")
 def _trip_itinerary(spark: SparkSession, sf: str) -> DataFrame:
     """The stops of the first trip instance that stops anywhere in scope."""
-    fact = tables.write_table(_fact(spark, sf), scratch_path(spark, "fact"))
+    fact = tables.write_by_trip(_fact(spark, sf), scratch_path(spark, "fact"))
     first = fact.agg(F.min("TripInstanceKey")).first()[0]
     return facts.trip_itinerary(fact, first)
 
@@ -448,8 +448,8 @@ def _snapshots(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("explode_path")
 def _explode_path(spark: SparkSession, sf: str) -> DataFrame:
-    documents = _documents(spark, sf).filter("Kind = 'plan' AND PlanHour = '01'")
-    return realtime.explode_path(realtime.flatten_plan(documents), "|", "ArrivalPath").select(
+    plan = realtime.flatten_plan(_documents(spark, sf).filter("Kind = 'plan'"))
+    return realtime.explode_path(plan, "|", "ArrivalPath").select(
         "DbEventId", "PathPosition", "PathStation"
     )
 
@@ -529,11 +529,13 @@ FROM (SELECT *, '' AS Suffix FROM {targets}
 
 
 def _targets(spark: SparkSession, sf: str) -> DataFrame:
-    """Stored comparison rows, as the realtime side finds them in the warehouse."""
-    p = _plan(spark, sf).store_star(scratch_path(spark, "dw"))
-    return tables.write_table(
-        realtime.match_targets(p.fact, p.dim_route, p.dim_stop), scratch_path(spark, "targets")
+    """Stored comparison rows: what ``match_targets`` gives for the star, straight from the packed calls."""
+    rows = _plan(spark, sf).keyed_view.select(
+        "FactTripStopKey", date_key(F.col("ServiceDate")).alias("DateKey"),
+        F.coalesce("ParentStation", "StopId").alias("StationId"), F.col("RouteShortName").alias("LineName"),
+        "ScheduledArrivalDateTime", "ScheduledDepartureDateTime",
     )
+    return tables.write_table(rows, scratch_path(spark, "targets"))
 
 
 def _match(spark: SparkSession, sf: str) -> realtime.Match:

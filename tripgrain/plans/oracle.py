@@ -6,6 +6,7 @@ import re
 
 from tripgrain.plans.adapter import VIEWS, duckdb_text
 from tripgrain.plans.catalog import EVENTS_TEXT, OFFICIAL_TEXT, PERFORMANCE_TEXT
+from tripgrain.schemas import FEED
 
 TABLES: dict[str, str] = {name: duckdb_text(name) for name in VIEWS}
 
@@ -275,9 +276,17 @@ _COLUMNS = {
     "feed_info": "FeedPublisherName FeedPublisherUrl FeedLang FeedStartDate FeedEndDate FeedVersion",
 }
 
+
+
+def _unfilled(table: str) -> str:
+    """The columns of a feed table that its view leaves out, as NULLs of their types."""
+    kinds = re.findall(r"(\w+) ([a-z]+(?:\(\d+,\d+\))?)", FEED[table])
+    return "".join(f", CAST(NULL AS {kind}) AS {c}" for c, kind in kinds if c not in _COLUMNS[table].split())
+
+
 _SELECTS: dict[str, str] = {
     # feed files
-    **{f"read_{name}": f"SELECT * REPLACE ({', '.join(f'CAST({c} AS STRING) AS {c}' for c in ids)}) FROM {name}" for name, ids in (
+    **{f"read_{name}": f"SELECT * REPLACE ({', '.join(f'CAST({c} AS STRING) AS {c}' for c in ids)}){_unfilled(name)} FROM {name}" for name, ids in (
         ("agency", ("AgencyId",)), ("routes", ("RouteId", "AgencyId")), ("trips", ("TripId", "RouteId", "ServiceId")),
         ("stops", ("StopId", "ParentStation")), ("stop_times", ("TripId", "StopId")), ("calendar", ("ServiceId",)),
         ("calendar_dates", ("ServiceId",)), ("feed_info", ("FeedVersion",)))},
@@ -442,7 +451,7 @@ SELECT CAST(event_id AS STRING) AS DbEventId, CAST(user_id AS STRING) AS Station
     "explode_path": """
 SELECT CAST(event_id AS STRING) AS DbEventId, n.i AS PathPosition,
  CASE n.i WHEN 1 THEN 'A' WHEN 2 THEN 'B' ELSE CAST(event_id % 3 AS STRING) END AS PathStation
-FROM events, (SELECT unnest([1, 2, 3]) AS i) AS n""",
+FROM plan_rows, (SELECT unnest([1, 2, 3]) AS i) AS n""",
     "land_raw": """
 SELECT Kind, CapturedAt, count(*) AS DocumentCount FROM (
  SELECT 'plan' AS Kind, CAST(date_trunc('day', ts) AS TIMESTAMP) AS CapturedAt FROM plan_rows
