@@ -60,7 +60,7 @@ def test_changes(rows):
 
 
 def test_summary(rows):
-    row = obs.observation_summary(history(rows)).first()
+    row = obs.observation_summary(history(rows), ("TotalRows", "ArrivalCancelled", "WithChangedPlatform", "PlatformChanged")).first()
     assert (row.TotalRows, row.ArrivalCancelled, row.WithChangedPlatform, row.PlatformChanged) == (5, 2, 4, 3)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripgrain.functions.times import compact_timestamp, delay_minutes, is_cancelled
-from tripgrain.operators.joins import broadcast_limit, estimated_bytes, lookup_join
+from tripgrain.operators.joins import HOT_ROWS, broadcast_limit, estimated_bytes, lookup_join
 from tripgrain.schemas import TIMETABLE
 from tripgrain.session import freeze
 
@@ -293,7 +293,7 @@ def match_events(state: DataFrame, targets: DataFrame, station_map: DataFrame) -
         stops = stops.join(F.broadcast(places), ["_station", "_line"], "left_semi")
 
     stop_values = ["FactTripStopKey", "DateKey", "_arr", "_dep"]
-    event_side = events.select(*_KEY, F.lit(1).alias("_e"), F.lit(0).alias("_s"))
+    event_side = events.select(*_KEY, F.lit(1).alias("_e"), F.lit(0).alias("_s"), "DbEventId")
     stop_side = _target_keys(stops).select(*_KEY, F.lit(0).alias("_e"), F.lit(1).alias("_s"), *stop_values)
     live = freeze(
         event_side.unionByName(stop_side, allowMissingColumns=True)
@@ -301,24 +301,25 @@ def match_events(state: DataFrame, targets: DataFrame, station_map: DataFrame) -
         .groupBy(*_KEY)
         .agg(
             F.sum("_e").alias("_events"), F.sum("_s").alias("_stops"),
-            *[F.min(c).alias(c) for c in stop_values],  # the values of the stop where there is one
+            *[F.min(c).alias(c) for c in (*stop_values, "DbEventId")],  # the stop and the event where there is one
         )
         .filter("_events > 0 AND _stops > 0")
     )
     single = live.filter("_stops = 1")
     candidates = single.select(*stop_values, "_station", "_line").distinct()
-    rivals = (
-        lookup_join(_target_keys(candidates), live.select(*_KEY, "_events"), _KEY, ["FactTripStopKey"])
-        .groupBy("FactTripStopKey")
-        .agg(F.sum("_events").alias("_rivals"))
-    )
+    counted = live.select(*_KEY, "_events")
+    if live.filter(F.col("_stops") > HOT_ROWS).isEmpty():  # no key of a trip-stop has many rows
+        shared = _target_keys(candidates).join(counted, _KEY)
+    else:
+        shared = lookup_join(_target_keys(candidates), counted, _KEY, ["FactTripStopKey"])
+    rivals = shared.groupBy("FactTripStopKey").agg(F.sum("_events").alias("_rivals"))
     paired = (
         single.filter("_events = 1")
         .join(rivals.filter("_rivals = 1"), "FactTripStopKey")
-        .select(*_KEY, "FactTripStopKey", "DateKey")
+        .select(*_KEY, "FactTripStopKey", "DateKey", "DbEventId")
     )
-    bound = estimated_bytes(live)  # neither table below has more rows
-    matched = lookup_join(events, paired, _KEY, ["DbEventId"], size=bound).select(
+    bound = estimated_bytes(live)  # the table below has no more rows
+    matched = state.join(paired.select("DbEventId", "FactTripStopKey", "DateKey"), "DbEventId").select(
         *state.columns, "FactTripStopKey", "DateKey", F.lit("station + line + planned times").alias("MatchRule")
     )
     seen = live.select(*_KEY, F.lit(True).alias("_seen")).join(

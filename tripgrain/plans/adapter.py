@@ -38,7 +38,7 @@ SELECT DISTINCT o_custkey AS ServiceId,
  replace(CAST(DATE '2026-07-01' + CAST(o_orderkey % 90 AS INT) AS STRING),'-','') AS ServiceDate,
  CAST(1 + o_orderkey % 2 AS INT) AS ExceptionType FROM {orders}
  UNION SELECT o_custkey, replace(CAST(DATE '2026-07-01' + CAST(o_orderkey % 90 AS INT) AS STRING),'-',''),
- CAST(2 - o_orderkey % 2 AS INT) FROM {orders} WHERE o_orderpriority = '1-URGENT'""",
+ CAST(2 - o_orderkey % 2 AS INT) FROM {orders} WHERE o_orderstatus = 'P'""",
     "trips": """
 SELECT o_orderkey AS TripId, o_orderkey % 200 AS RouteId, o_custkey AS ServiceId,
  CAST(o_orderkey % 2 AS INT) AS DirectionId, o_orderpriority AS TripHeadsign FROM {orders}""",
