@@ -17,9 +17,14 @@ from collections.abc import Callable, Iterator, Sequence
 from itertools import accumulate, chain
 
 import numpy as np
+import pyarrow as pa
+
+from tripgrain.llm.words import split_words, text_slices, word_hashes
 
 #: Units that a worker remembers, at most.
 REMEMBER = 800_000
+#: Characters of new words that are encoded in one call.
+JOINED = 1 << 16
 #: Texts whose new units are encoded in one call.
 TOGETHER = 64
 _SPACED = re.compile(r" (?=\s|$)")
@@ -91,12 +96,71 @@ class Encoder:
                 self._old, self._new = known, {"": b""}
 
 
-_encoders: dict[tuple[str, bool, bool], Encoder] = {}
+class WordEncoder:
+    """As :class:`Encoder`, for vocabularies that drop white space: words are found and told apart as arrays.
+
+    Each distinct word of a slice of texts, by its 64-bit hash, is looked up once; those that the worker does not
+    know are encoded together, separated by spaces, and cut apart by where their tokens begin. Ids are then
+    gathered for all words at once, so no step is taken per word.
+    """
+
+    def __init__(self, path: str, markers: bool = False):
+        one = Encoder(path, _word_units, markers)
+        self._tokenizer, self._marked, self._whole = one._tokenizer, one._marked, one._ids
+        self._forget()
+
+    def _forget(self) -> None:
+        self._hash, self._at = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted; number of each
+        self._flat, self._ends = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+
+    def _learn(self, units: list[str]) -> None:
+        size = np.array([len(unit) + 1 for unit in units], np.int64)
+        batches = np.cumsum(size) // JOINED
+        ids, counts = [self._flat], []
+        for a, b in zip(*(lambda e: (e, [*e[1:], len(units)]))(np.flatnonzero(np.diff(batches, prepend=-1)).tolist())):
+            found = self._tokenizer.encode(" ".join(units[a:b]), add_special_tokens=False)
+            begins = np.cumsum(size[a:b]) - size[a:b]
+            of = np.searchsorted(begins, np.array([start for start, _ in found.offsets], np.int64), "right") - 1
+            ids.append(np.array(found.ids, "<u4"))
+            counts.append(np.bincount(of, minlength=b - a))
+        self._flat = np.concatenate(ids)
+        self._ends = np.r_[self._ends, self._ends[-1] + np.cumsum(np.concatenate(counts))]
+
+    def _slice(self, texts: pa.Array) -> Iterator[bytes]:
+        words = split_words(texts)
+        distinct, first, back = np.unique(word_hashes(words), return_index=True, return_inverse=True)
+        if len(self._at) > REMEMBER:
+            self._forget()
+        place = np.minimum(np.searchsorted(self._hash, distinct), max(len(self._hash) - 1, 0))
+        new = self._hash[place] != distinct if len(self._hash) else np.ones(len(distinct), bool)
+        if new.any():
+            number = len(self._at) + np.arange(int(new.sum()))
+            self._learn([words.bytes_of(i).decode() for i in first[new]])
+            order = np.argsort(np.r_[self._hash, distinct[new]], kind="stable")
+            self._hash, self._at = np.r_[self._hash, distinct[new]][order], np.r_[self._at, number][order]
+        number = self._at[np.searchsorted(self._hash, distinct)][back] if len(distinct) else np.zeros(0, np.int64)
+        begin, n = self._ends[number], self._ends[number + 1] - self._ends[number]
+        ends = np.r_[0, np.cumsum(n)]
+        ids = self._flat[np.repeat(begin - ends[:-1], n) + np.arange(ends[-1])]
+        cuts = ends[words.first]
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            yield ids[a:b].tobytes()
+
+    def encode(self, texts: Sequence[str | None]) -> Iterator[bytes]:
+        """The ids of each text in order."""
+        whole = {i for i, text in enumerate(texts) if text and self._marked(text) is not None}
+        plain = pa.array([None if i in whole else text for i, text in enumerate(texts)], pa.large_string())
+        for first, some in text_slices(plain):
+            for i, raw in enumerate(self._slice(some), first):
+                yield self._whole(texts[i]) if i in whole else raw
+
+
+_encoders: dict[tuple[str, bool, bool], Encoder | WordEncoder] = {}
 
 
-def encoder(path: str, word_level: bool, markers: bool = False) -> Encoder:
+def encoder(path: str, word_level: bool, markers: bool = False) -> Encoder | WordEncoder:
     """This worker's encoder for a vocabulary file; ``word_level`` for those that drop white space."""
     key = (path, word_level, markers)
     if key not in _encoders:
-        _encoders[key] = Encoder(path, _word_units if word_level else _byte_units, markers)
+        _encoders[key] = WordEncoder(path, markers) if word_level else Encoder(path, _byte_units, markers)
     return _encoders[key]
