@@ -114,3 +114,19 @@ def test_packing_places_every_token(rows):
     plain = len(np.unique(packing.packed(sizes, range(len(sizes)), 64)))  # best fit of everything in one place
     assert len(by) <= plain + len(out) // 60 + 1
     assert packing.pack(df.limit(0), vocabulary("byte_bpe_50k.json")).count() == 0
+
+
+@pytest.mark.parametrize("markers", [True, False])
+def test_words_found_as_arrays_give_the_library_s_ids(markers, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBER", 5)  # forgets between slices
+    monkeypatch.setattr(tokens, "JOINED", 20)
+    path = vocabulary("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = not markers
+    texts = ["", "  ", None, "a\x0bb\x0cc\x1cd", "İstanbul ẞ ŉ", "é é ﬁ ①", "x y z　w", "<|endoftext|> a",
+             "a<|startoftext|>b c", "\x00 a \x01b", "it's we'll '", "12 3,4", "漢字 かな", "😀😀 a", "́a ́ b", "A" * 3000, "a\x85b"]
+    encoder = tokens.WordEncoder(path, markers)
+    for _ in range(2):
+        for text, raw in zip(texts, encoder.encode(texts)):
+            assert np.frombuffer(raw, "<u4").tolist() == library.encode(text or "", add_special_tokens=False).ids
+    assert list(encoder.encode([])) == []
