@@ -54,7 +54,7 @@ STAGES = [
     ("best-fit packing", pack),
 ]
 
-#: The classifier, the token ids and the packing have no SQL form; the stages are tested one by one.
+#: The classifier, the token ids and the packing have no SQL form; tests/llm/test_pipeline.py compares each stage with brute force.
 ORACLE_SQL = None
 
 
