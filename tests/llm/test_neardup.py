@@ -3,7 +3,9 @@ from __future__ import annotations
 import random
 import re
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tripgrain.llm import neardup
 
@@ -66,3 +68,62 @@ def test_chain_is_one_component(rows):
     links = rows([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100)], "u long, v long")
     found = {r.id: r.component for r in neardup.components(links).collect()}
     assert found == {i: 0 for i in range(61)} | {100: 100, 101: 100}
+
+
+def near_copies(n, seed=5):
+    """Texts that differ from one base in some words: some pairs are links, others fall short, one component."""
+    r = random.Random(seed)
+    base = [f"w{i}" for i in range(120)]
+    docs = []
+    for i in range(n):
+        w = list(base)
+        for _ in range(r.randrange(1, 4)):
+            w[r.randrange(len(w))] = f"v{r.randrange(10_000)}"
+        docs.append((i, " ".join(w)))
+    return docs
+
+
+def signed(rows, docs):
+    df = rows(docs, "doc_id long, text string")
+    found = df.mapInArrow(neardup._sign, "doc_id long, n_shingles long, digest binary, sig array<long>, bands array<long>")
+    return df.selectExpr("doc_id AS id", "text"), found.withColumnRenamed("doc_id", "id")
+
+
+@pytest.mark.parametrize("block", [1024, 64])
+def test_blocks_give_out_fewer_links_than_members(rows, monkeypatch, block):
+    """Every text its own part, as if no star had met: the blocks' forests hold all components."""
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    docs = near_copies(400)
+    texts, classes = signed(rows, docs)
+    banded = classes.selectExpr("id", "n_shingles", "explode(bands) AS band")
+    crowd = banded.groupBy("band").agg(F.count("id").alias("n"), F.sum("n_shingles").alias("mass")).where("n > 1")
+    divided = banded.drop("n_shingles").join(crowd, "band").withColumn("part", F.col("id"))
+    links = neardup._across(divided, classes, texts)
+    found = [(r.u, r.v) for r in links.collect()]
+    blocks = -(-400 // block)
+    assert len(found) < neardup.BANDS * 400 * blocks
+    s = dict((d, sets(t)) for d, t in docs)
+    assert all(100 * len(s[a] & s[b]) >= 75 * len(s[a] | s[b]) for a, b in found)
+    joined = {r.id: r.component for r in neardup.components(rows(found, "u long, v long")).collect()}
+    assert [joined.get(d, d) for d, _ in docs] == [r[2] for r in brute(docs)]
+
+
+def test_one_block_gives_a_forest():
+    """In one bucket each link joins two parts that were apart."""
+    docs = near_copies(300)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [d for d, _ in docs], "text": [t for _, t in docs]})
+    signed = next(neardup._sign([batch]))
+    band = signed["bands"][0][0].as_py()
+    keep = [i for i in range(300) if signed["bands"][i][0].as_py() == band]
+    group = pa.table({
+        "block": pa.array([0] * len(keep), pa.int32()), "id": pa.array(keep, pa.int64()), "part": pa.array(keep, pa.int64()),
+        "sig": signed["sig"].take(pa.array(keep)), "bands": signed["bands"].take(pa.array(keep)),
+        "text": pa.array([docs[i][1] for i in keep])})
+    key = [pa.scalar(band), pa.scalar(0), pa.scalar(0)]
+    assert len(keep) > 100 and neardup._block_members(key, group).num_rows == len(keep)
+    assert neardup._block_links(key, group).num_rows == len(keep) - 1
+
+
+def test_an_id_with_and_without_words(rows):
+    docs = near_copies(40) + [(3, None), (5, ""), (5, "other words than those of the rest here")]
+    assert run(rows, docs) == brute(docs)

@@ -7,8 +7,8 @@
    signatures give a collision-corrected similarity by bit counts; what may reach the threshold is
    confirmed on the full sets.
 3. After the first components are known, only pairs of one bucket that lie in different components
-   are left. They are estimated inside blocks of a bucket and only what is likely comes out to be
-   confirmed, so no link between components is skipped and a large group is never expanded into pairs.
+   are left. Inside blocks of a bucket they are estimated, confirmed on the full sets, and a spanning
+   forest of the links comes out: no link between components is skipped, no pair leaves its block.
 
 Groups to confirm are cut into pieces by shingles, so a document that thousands resemble is many tasks.
 With 32 bands of 4 rows a link of similarity 0.75 is missed with probability 5e-6, and the estimate
@@ -18,6 +18,7 @@ rejects one with probability 2e-5; both fall steeply above 0.75.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from functools import reduce
 from operator import add
 
@@ -39,6 +40,8 @@ THRESHOLD = 75
 MARGIN = 0.085
 #: Members of a bucket that are compared with each other in one task, about.
 BLOCK = 1024
+#: Shingles of such members, about.
+BLOCK_SHINGLES = 1_000_000
 #: Rounds of stars before the pairs that are left.
 STARS = 2
 #: Shingles of the members confirmed in one task.
@@ -163,21 +166,18 @@ def components(links: DataFrame) -> DataFrame:
         state = now
 
 
-def _block_pairs(key, group: pa.Table) -> pa.Table:
-    """Likely pairs of one bucket between two of its blocks, members of different parts only.
+def _pairs(band: int, group: pa.Table, inside: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """Row numbers of likely pairs between the two blocks of a group, members of different parts only.
 
-    A pair that shares several buckets is reported in the first of them.
+    One row comes with all its partners. A pair that shares several buckets comes in the first of them.
     """
-    band, one, two = (k.as_py() for k in key)
     block, part, ids = (group[c].to_numpy() for c in ("block", "part", "id"))
     flat = lambda c: group[c].combine_chunks().flatten().to_numpy().reshape(group.num_rows, -1)
     sig, bands = flat("sig"), flat("bands")
-    left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
+    left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
     names, sizes = np.unique(part, return_counts=True)
     main = names[np.argmax(sizes)]
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    tasks = [(left[part[left] != main], right), (left[part[left] == main], right[part[right] != main])]
-    for some, others in tasks:
+    for some, others in ((left[part[left] != main], right), (left[part[left] == main], right[part[right] != main])):
         for at in range(0, len(some) if len(others) else 0, 32):
             rows = some[at : at + 32]
             x = sig[rows, None, :] ^ sig[None, others, :]
@@ -185,34 +185,91 @@ def _block_pairs(key, group: pa.Table) -> pa.Table:
             x |= (x >> 2) & 0x3333333333333333
             equal = 1 - np.bitwise_count(x & 0x1111111111111111).sum(axis=2, dtype=np.int64) / HASHES
             likely = (equal - 2.0**-LOW_BITS) / (1 - 2.0**-LOW_BITS) >= THRESHOLD / 100 - MARGIN
-            a, b = np.nonzero(likely & (part[rows][:, None] != part[others]))
-            a, b = rows[a], others[b]
-            same = bands[a] == bands[b]
-            first = bands[a, same.argmax(axis=1)] == band
-            if one == two:
-                first &= ids[a] > ids[b]
-            found.append((ids[a[first]], ids[b[first]]))
-    a = np.concatenate([x for x, _ in found] or [np.zeros(0, np.int64)])
-    b = np.concatenate([x for _, x in found] or [np.zeros(0, np.int64)])
-    return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
-
-
-def _across(divided: DataFrame, classes: DataFrame) -> DataFrame:
-    """Likely pairs (a, b) of different parts in one bucket; large buckets are compared block by block."""
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    member = divided.withColumn("blocks", blocks).withColumn(
-        "block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+            likely &= part[rows][:, None] != part[others]
+            if inside:
+                likely &= ids[rows][:, None] > ids[others]
+            for row, chosen in zip(rows, likely):
+                met = others[chosen]
+                met = met[bands[row][(bands[met] == bands[row]).argmax(axis=1)] == band]
+                if len(met):
+                    yield row, met
+
+
+def _alone(group: pa.Table, one: int, two: int) -> bool:
+    """One of the two blocks has no row here: nothing to compare."""
+    return one != two and len(np.unique(group["block"].to_numpy())) < 2
+
+
+def _block_members(key, group: pa.Table) -> pa.Table:
+    """The members that a likely pair of the group has; the pairs themselves do not leave the task."""
+    band, one, two = (k.as_py() for k in key)
+    seen = np.zeros(group.num_rows, bool)
+    if not _alone(group, one, two):
+        for row, met in _pairs(band, group, one == two):
+            seen[row] = True
+            seen[met] = True
+    return group.filter(pa.array(seen))
+
+
+def _block_links(key, group: pa.Table) -> pa.Table:
+    """A spanning forest of the links between parts in the group, confirmed on the full sets.
+
+    A pair whose ends are connected by then is not looked at, and every link given out connects two
+    parts that were apart, so there are fewer of them than members.
+    """
+    band, one, two = (k.as_py() for k in key)
+    u: list[int] = []
+    v: list[int] = []
+    if not _alone(group, one, two):
+        sets = shingle_sets(group["text"])
+        size = np.array([len(s) for s in sets])
+        start = np.concatenate([[0], np.cumsum(size)])
+        names, words = np.unique(np.concatenate(sets), return_inverse=True)
+        ids, part = group["id"].to_numpy(), group["part"].to_numpy().copy()
+        mark = np.zeros(len(names), bool)
+        for row, met in _pairs(band, group, one == two):
+            own = words[start[row] : start[row + 1]]
+            mark[own] = True
+            met = met[size[met] > 0] if size[row] else met[:0]  # an id may have rows without words too
+            for at in range(0, len(met), 256):
+                some = met[at : at + 256]
+                some = some[part[some] != part[row]]
+                if not len(some):
+                    continue
+                both = np.add.reduceat(
+                    mark[np.concatenate([words[start[m] : start[m + 1]] for m in some])],
+                    np.concatenate([[0], np.cumsum(size[some])[:-1]]), dtype=np.int64)
+                for m in some[100 * both >= THRESHOLD * (size[row] + size[some] - both)]:
+                    if part[m] != part[row]:
+                        u.append(int(ids[m]))
+                        v.append(int(ids[row]))
+                        part[part == part[m]] = part[row]
+            mark[own] = False
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+
+def _across(divided: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (u, v) that join different parts of a bucket; large buckets are compared block by block.
+
+    A block holds about ``BLOCK`` members and ``BLOCK_SHINGLES`` shingles. Signatures choose its members
+    that may have a link, only their texts are sent to be confirmed, and at most one link per member comes out.
+    """
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("mass") / BLOCK_SHINGLES)).cast("int")
+    member = divided.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = member.select("band", "id", "part", "block", other.alias("_other")).select(
         "band", F.least("block", "_other").alias("one"), F.greatest("block", "_other").alias("two"), "block", "id", "part")
-    signed = dealt.join(classes.select("id", "sig", "bands"), "id")
-    return signed.groupBy("band", "one", "two").applyInArrow(
-        lambda key, group: _block_pairs(key, group), "a long, b long")
+    signed = dealt.join(classes.select("id", "sig", "bands"), "id").select(
+        "band", "one", "two", "block", "id", "part", "sig", "bands")
+    columns = "band long, one int, two int, block int, id long, part long, sig array<long>, bands array<long>"
+    chosen = signed.groupBy("band", "one", "two").applyInArrow(lambda key, group: _block_members(key, group), columns)
+    return chosen.join(texts.select("id", "text"), "id").groupBy("band", "one", "two").applyInArrow(
+        lambda key, group: _block_links(key, group), "u long, v long")
 
 
 def _divided(weighed: DataFrame, joined: DataFrame) -> DataFrame:
-    """Rows (band, id, n, weight, part) of buckets that hold more than one component."""
-    member = weighed.join(joined, "id", "left").select("band", "id", "n", "weight", F.coalesce("component", "id").alias("part"))
+    """Rows (band, id, n, mass, weight, part) of buckets that hold more than one component."""
+    member = weighed.join(joined, "id", "left").select("band", "id", "n", "mass", "weight", F.coalesce("component", "id").alias("part"))
     mixed = member.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
     return freeze(member.join(mixed.select("band"), "band", "left_semi"))
 
@@ -231,9 +288,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("id"), F.any_value("sig").alias("sig"), F.any_value("bands").alias("bands"),
         F.any_value("n_shingles").alias("n_shingles"))
     classes = freeze(classes)
-    banded = classes.select("id", F.explode("bands").alias("band"))
-    crowd = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    shared = freeze(banded.join(crowd, "band"))
+    banded = classes.select("id", "n_shingles", F.explode("bands").alias("band"))
+    crowd = banded.groupBy("band").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("mass")).where("n > 1")
+    shared = freeze(banded.drop("n_shingles").join(crowd, "band"))
     central = freeze(shared.groupBy("id").agg(F.sum("n").alias("weight")))
     met = central.select("id")
     texts = freeze(
@@ -251,7 +308,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                 .where(F.col("likely") >= THRESHOLD / 100 - MARGIN))
 
     # stars around the member that shares most buckets with others; again where a bucket is still divided
-    weighed = freeze(shared.join(central, "id").select("band", "id", "n", "weight"))
+    weighed = freeze(shared.join(central, "id").select("band", "id", "n", "mass", "weight"))
     joined, links, divided = None, None, weighed.withColumn("part", F.col("id"))
     for _ in range(STARS):
         hubs = divided.groupBy("band").agg(F.max_by(F.struct("id", "part"), F.struct("weight", -F.col("id"))).alias("hub"))
@@ -262,8 +319,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = freeze(found if links is None else links.union(found))
         joined = freeze(components(links))
         divided = _divided(weighed, joined)
-    across = freeze(_across(divided, classes))  # read twice: for the loads and for the members
-    more = freeze(_confirm(across, texts))
+    more = freeze(_across(divided, classes, texts))
     joined = components(links.union(more)) if more.limit(1).count() else joined
 
     grouped = some.select("digest").distinct().join(classes.select("digest", "id"), "digest").join(joined, "id", "left").select(
