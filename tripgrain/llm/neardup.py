@@ -278,7 +278,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
     Words are lower-cased (A-Z). Documents without words (NULL, empty, only space) have no shingles, are
-    linked with nothing and kept. Rows that share a doc_id are one vertex and share a component. A NULL
+    linked with nothing and kept. Rows with words that share a doc_id are one vertex and share a component. A NULL
     doc_id joins no group: component_id NULL, kept. An empty table gives none; other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
