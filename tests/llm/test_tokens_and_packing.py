@@ -130,3 +130,46 @@ def test_words_found_as_arrays_give_the_library_s_ids(markers, monkeypatch):
         for text, raw in zip(texts, encoder.encode(texts)):
             assert np.frombuffer(raw, "<u4").tolist() == library.encode(text or "", add_special_tokens=False).ids
     assert list(encoder.encode([])) == []
+
+
+@pytest.mark.parametrize("markers", [True, False])
+def test_units_found_as_arrays_give_the_library_s_ids(markers, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBER", 5)
+    path = vocabulary("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = not markers
+    r = random.Random(6)
+    texts = [None, *TEXTS, *MARKED, "a\x85 \x85b", "a 　b   c  d", " \x1c x \x1f", "«a» “b” ¿c?", "w" * 70_000 + " " + "v" * 70_000]
+    texts += ["".join(r.choice(["a", " ", "\n", " ", "\x1d", "é", " ", "7", "!", "  "]) for _ in range(30)) for _ in range(300)]
+    encoder = tokens.ByteEncoder(path, markers)
+    for _ in range(2):
+        for text, raw in zip(texts, encoder.encode(texts)):
+            assert np.frombuffer(raw, "<u4").tolist() == library.encode(text or "", add_special_tokens=False).ids
+    assert list(encoder.encode([])) == []
+
+
+def test_search_beats_falling_best_fit_where_that_is_not_least():
+    rng = np.random.default_rng(5)
+    gained = 0
+    for _ in range(4):
+        pairs = rng.integers(20, 45, (60, 2))
+        sizes = np.c_[pairs, 100 - pairs.sum(axis=1)].ravel()  # 60 bins hold them exactly
+        seed = np.argsort(-sizes, kind="stable")
+        people = [packing.packed(sizes, np.argsort(-(sizes * rng.uniform(1 - x, 1 + x, len(sizes)))).tolist(), 100) for x in (0, 0.04, 0.08, 0.12)]
+        best = packing.evolve(sizes, people, 100, rng)[0]
+        fill = np.bincount(best, sizes)
+        assert fill.max() <= 100 and 60 <= len(fill)
+        gained += packing.fitness(sizes, packing.packed(sizes, seed.tolist(), 100), 100)[0] - len(fill)
+    assert gained >= 3
+    assert len(packing.evolve(np.array([100]), [np.array([0])], 100, rng)) == 1
+    assert packing.evolve(np.zeros(0, np.int64), [np.zeros(0, np.int32)] * 2, 100, rng)[0].size == 0
+
+
+def test_equal_rows_without_id_are_dealt_evenly(rows):
+    docs = [(None, "same text here")] * 400 + [(7, "again the same")] * 400
+    path = vocabulary("byte_bpe_50k.json")
+    df = rows(docs, "doc_id long, text string").repartition(3)
+    spots = packing.token_pieces(df, path).select("spot").distinct().count()
+    out = packing.pack(df, path, length=64, shard_pieces=100).collect()
+    assert spots == len(out) == 800
+    assert len({r.sequence_id >> 32 for r in out}) == 8

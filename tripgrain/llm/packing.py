@@ -6,7 +6,8 @@ packed by several islands, each a population of whole packings in one group of r
 
 * a child takes the best-filled bins of one parent whole, then those bins of the other that
   share no piece with them, and best-fits the displaced pieces, largest first;
-* the worse half of an island gives way to children, every generation;
+* the worse half of an island gives way to children, every generation, until ``STALL`` generations bring
+  no better packing, ``GENERATIONS`` are over, or no fewer sequences could hold the tokens;
 * after each epoch the best packing of an island is copied to the next island of its shard, as rows.
 
 A packing is a row (one bin number per piece), so an epoch is a grouping and no state stays in a worker.
@@ -30,15 +31,20 @@ from tripgrain.session import freeze
 LENGTH = 2048
 END = 0
 SHARD_PIECES = 8192
-ISLANDS, PEOPLE, EPOCHS, GENERATIONS = 2, 4, 2, 3
+ISLANDS, PEOPLE, EPOCHS, GENERATIONS, STALL = 2, 4, 2, 24, 6
+#: Tasks that islands are dealt to, at most.
+ISLAND_TASKS = 4096
 #: Share of the first parent's bins that a child takes, best-filled first.
 INJECT = 0.6
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, spot long"
 
 
 def token_pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END, markers: bool = False) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32, spot) per piece; ``spot`` is a hash of text and place for dealing."""
+    """(doc_id, piece, start, length, ids_crc32, spot) per piece; ``spot`` tells rows apart for dealing."""
     def cut(batches):
+        from pyspark import TaskContext
+
+        part, number = TaskContext.get().partitionId(), 0
         encode = encoder(path, word_level=False, markers=markers).encode
         tail = np.array([end], "<u4").tobytes()
         for batch in batches:
@@ -51,7 +57,8 @@ def token_pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = EN
                 edges = [0, *range(first, n + 1, length)]
                 for k, (a, b) in enumerate(zip(edges, edges[1:])):
                     crc = zlib.crc32(ids[4 * a : 4 * b])
-                    rows.append((doc, k, a, b - a, crc, hash((doc or 0, k, crc))))
+                    rows.append((doc, k, a, b - a, crc, part << 40 | number))
+                    number += 1
             columns = list(zip(*rows)) if rows else [[]] * 6
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
@@ -147,15 +154,27 @@ def _epoch(key, group: pa.Table, length: int, epoch: int) -> pa.Table:
     shard, island = (k.as_py() for k in key)
     sizes, rng = _sizes(group), np.random.default_rng([abs(shard), island, 2 + epoch])
     people = [np.frombuffer(b, np.int32) for b in sorted(group["bins"].to_pylist())]
-    if len(sizes) > 1:
-        for _ in range(GENERATIONS):
-            people = sorted(people, key=lambda p: fitness(sizes, p, length))[:PEOPLE]
-            half = max(1, PEOPLE // 2)
-            for _ in range(half):
-                a, b = rng.permutation(len(people))[:2] if len(people) > 1 else (0, 0)
-                people.append(crossover(sizes, people[a], people[b], length, rng))
-    people = sorted(people, key=lambda p: fitness(sizes, p, length))[:PEOPLE]
-    return _people(shard, island, group["sizes"][0].as_py(), people)
+    return _people(shard, island, group["sizes"][0].as_py(), evolve(sizes, people, length, rng))
+
+
+def evolve(sizes: np.ndarray, people: list[np.ndarray], length: int, rng) -> list[np.ndarray]:
+    """The best ``PEOPLE`` packings after some generations, best first."""
+    def rank(p):
+        return fitness(sizes, p, length)
+
+    people = sorted(people, key=rank)[:PEOPLE]
+    least = -(-int(sizes.sum()) // length)
+    best, since = rank(people[0]), 0
+    for _ in range(GENERATIONS if len(people) > 1 else 0):
+        if best[0] <= least or since == STALL:
+            break
+        for _ in range(max(1, PEOPLE // 2)):
+            a, b = rng.permutation(PEOPLE if len(people) > PEOPLE else len(people))[:2]
+            people.append(crossover(sizes, people[a], people[b], length, rng))
+        people = sorted(people, key=rank)[:PEOPLE]
+        since = 0 if rank(people[0]) < best else since + 1
+        best = min(best, rank(people[0]))
+    return people
 
 
 def _generations(length: int, epoch: int):
@@ -231,10 +250,16 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, end: int = END, shard
     people = dealt.groupBy("shard").applyInArrow(
         lambda key, group: _gather(key, group, length), "shard long, island int, sizes binary")
     schema = "shard long, island int, sizes binary, bins binary"
-    people = freeze(people.groupBy("shard", "island").applyInArrow(lambda key, group: _settle(key, group, length), schema))
+    # few bytes and much work: by number, since sizes would put all islands into one task
+    tasks = min(shards * ISLANDS, ISLAND_TASKS)
+
+    def islands(rows):
+        return rows.repartition(tasks, "shard", "island").groupBy("shard", "island")
+
+    people = freeze(islands(people).applyInArrow(lambda key, group: _settle(key, group, length), schema))
     for epoch in range(EPOCHS):
         moved = _elite(people, length) if epoch else people
-        people = freeze(moved.groupBy("shard", "island").applyInArrow(_generations(length, epoch), schema))
+        people = freeze(islands(moved).applyInArrow(_generations(length, epoch), schema))
     return dealt.groupBy("shard").cogroup(people.groupBy("shard")).applyInArrow(
         lambda shard, people: _assign(shard, people, length),
         "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

@@ -1,9 +1,8 @@
 """Token ids of whole texts, with each distinct unit encoded once per worker.
 
 Both tokenizers cut a text before they merge anything, and never merge over such a cut. So a text is
-cut where a cut is certain, every unit is encoded by the tokenizers library on its own and
-remembered as little-endian bytes, and a text is the units' bytes joined. The memory is bounded: the
-older half is forgotten when it is full.
+cut where a cut is certain, every distinct unit is encoded once by the tokenizers library and its ids are
+remembered, and a text is the ids of its units. The memory is bounded: it is emptied when it is full.
 
 A vocabulary's special tokens, such as ``<|endoftext|>``, may stand in a text literally. Read as ``markers`` they have
 their own id, as the library has it by default, and a text with one is encoded whole; else they are text like any other.
@@ -19,7 +18,7 @@ from itertools import accumulate, chain
 import numpy as np
 import pyarrow as pa
 
-from tripgrain.llm.words import split_words, text_slices, word_hashes
+from tripgrain.llm.words import Words, split_words, text_slices, word_hashes
 
 #: Units that a worker remembers, at most.
 REMEMBER = 800_000
@@ -29,6 +28,8 @@ JOINED = 1 << 16
 TOGETHER = 64
 _SPACED = re.compile(r" (?=\s|$)")
 _WHITE = re.compile(r"[ \n\r\t]+")
+#: First bytes of characters that may be white space outside 0x20 and 0x09-0x0D.
+_MAY_BE_SPACE = np.isin(np.arange(256), [0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3])
 
 
 def _byte_units(text: str) -> list[str]:
@@ -104,6 +105,8 @@ class WordEncoder:
     gathered for all words at once, so no step is taken per word.
     """
 
+    _split = staticmethod(split_words)
+
     def __init__(self, path: str, markers: bool = False):
         one = Encoder(path, _word_units, markers)
         self._tokenizer, self._marked, self._whole = one._tokenizer, one._marked, one._ids
@@ -127,7 +130,7 @@ class WordEncoder:
         self._ends = np.r_[self._ends, self._ends[-1] + np.cumsum(np.concatenate(counts))]
 
     def _slice(self, texts: pa.Array) -> Iterator[bytes]:
-        words = split_words(texts)
+        words = self._split(texts)
         distinct, first, back = np.unique(word_hashes(words), return_index=True, return_inverse=True)
         if len(self._at) > REMEMBER:
             self._forget()
@@ -155,12 +158,45 @@ class WordEncoder:
                 yield self._whole(texts[i]) if i in whole else raw
 
 
-_encoders: dict[tuple[str, bool, bool], Encoder | WordEncoder] = {}
+def byte_units(texts: pa.Array) -> Words:
+    """Units of a byte-level vocabulary: a space begins the word after it; all other white space stays where it is.
+
+    No cut is made before bytes that may begin white space outside ASCII, where a space need not belong to what follows.
+    """
+    words = split_words(texts)
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    offsets = offsets - offsets[0]
+    inside = words.starts[words.starts > offsets[words.row]]
+    cuts = inside[(words.data[inside - 1] == 0x20) & ~_MAY_BE_SPACE[words.data[inside]]] - 1
+    begins = np.zeros(len(words.data), bool)
+    begins[cuts] = begins[offsets[:-1][np.diff(offsets) > 0]] = True
+    starts = np.flatnonzero(begins)
+    first = np.searchsorted(starts, offsets)
+    return Words(words.data, starts, np.r_[starts[1:], offsets[-1:]][: len(starts)],
+                 np.repeat(np.arange(len(texts)), np.diff(first)), first)
+
+
+class ByteEncoder(WordEncoder):
+    """As :class:`WordEncoder`, for byte-level vocabularies, which keep white space: new units are encoded one by one."""
+
+    _split = staticmethod(byte_units)
+
+    def _learn(self, units: list[str]) -> None:
+        ids, counts = [self._flat], []
+        for at in range(0, len(units), 4096):
+            found = [one.ids for one in self._tokenizer.encode_batch_fast(units[at : at + 4096], add_special_tokens=False)]
+            counts.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter(chain.from_iterable(found), "<u4", int(counts[-1].sum())))
+        self._flat = np.concatenate(ids)
+        self._ends = np.r_[self._ends, self._ends[-1] + np.cumsum(np.concatenate(counts))]
+
+
+_encoders: dict[tuple[str, bool, bool], WordEncoder] = {}
 
 
-def encoder(path: str, word_level: bool, markers: bool = False) -> Encoder | WordEncoder:
+def encoder(path: str, word_level: bool, markers: bool = False) -> WordEncoder:
     """This worker's encoder for a vocabulary file; ``word_level`` for those that drop white space."""
     key = (path, word_level, markers)
     if key not in _encoders:
-        _encoders[key] = WordEncoder(path, markers) if word_level else Encoder(path, _byte_units, markers)
+        _encoders[key] = WordEncoder(path, markers) if word_level else ByteEncoder(path, markers)
     return _encoders[key]
