@@ -25,15 +25,54 @@ def brute_marginals(logits, moves):
     return good, pairs
 
 
-def test_forward_backward_equals_all_paths():
+def test_marginals_of_chains_end_to_end_equal_all_paths():
     rng = np.random.default_rng(1)
-    moves, logits = rng.normal(size=(2, 2)), rng.normal(size=(3, 5))
-    lengths = np.array([5, 3, 1])
-    p, pairs = quality_crf.forward_backward(logits, lengths, moves)
-    for i, n in enumerate(lengths):
-        good, moved = brute_marginals(logits[i, :n], moves)
-        assert np.allclose(p[i, :n], good)
-        assert np.allclose(pairs[i], moved)
+    for scale in (1, 3):  # moves are held within 15
+        moves, logits = scale * rng.normal(size=(2, 2)), [scale * rng.normal(size=n) for n in (5, 3, 1, 1, 9, 2)]
+        starts = quality_crf._starts([len(x) for x in logits])
+        p, pairs = quality_crf.chain_moves(np.concatenate(logits), starts, moves)
+        assert np.allclose(p, quality_crf.chain_marginals(np.concatenate(logits), starts, moves))
+        at = moved_at = 0
+        for x in logits:
+            good, moved = brute_marginals(x, moves)
+            assert np.allclose(p[at : at + len(x)], good)
+            assert np.allclose(pairs[:, :, moved_at : moved_at + len(x) - 1].sum(axis=2), moved)
+            at, moved_at = at + len(x), moved_at + len(x) - 1
+    assert len(quality_crf.chain_marginals(np.zeros(0), np.zeros(0, bool), moves)) == 0
+
+
+def test_scores_equal_all_paths_over_the_features_of_each_line():
+    rng = np.random.default_rng(7)
+    field = quality_crf.Field(rng.normal(size=quality_crf.N_FEATURES), rng.normal(size=(2, 2)), 0.25,
+                              rng.normal(size=quality_crf.N_FEATURES), rng.uniform(0.5, 2, quality_crf.N_FEATURES))
+    texts = ["one line", None, f"{GOOD}\n{PIPES}\n\nAGAIN again again!\n{PIPES}", "", "a\nb\n" + GOOD, " \n"]
+    expected = []
+    for text in texts:
+        own, size = quality_crf.line_measures(text)
+        if not len(own):
+            expected.append(0.25)
+            continue
+        none = np.zeros(quality_crf.N_OWN)
+        rows = [[*own[t], *(own[t - 1] if t else none), *(own[t + 1] if t + 1 < len(own) else none), t > 0, t + 1 < len(own), 1]
+                for t in range(len(own))]
+        logits = ((np.array(rows, float) - field.centre) / field.spread) @ field.weights
+        good, _ = brute_marginals(logits, field.moves)
+        expected.append(np.average(good, weights=size))
+    assert np.allclose(quality_crf.score(texts, field), expected)
+
+
+def test_a_block_takes_memory_by_its_lines(monkeypatch):
+    import tracemalloc
+
+    field = quality_crf.Field(np.ones(quality_crf.N_FEATURES), np.zeros((2, 2)), 0.5, np.zeros(quality_crf.N_FEATURES), np.ones(quality_crf.N_FEATURES))
+    texts = ["short text"] * 255 + ["a line\n" * 60_000]
+    alone = [quality_crf.score([t], field)[0] for t in (texts[0], texts[-1])]
+    tracemalloc.start()
+    got = quality_crf.score(texts, field)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60_000 * 1000
+    assert np.allclose(got, [alone[0]] * 255 + [alone[1]])
 
 
 def test_quality_learns_lines_and_scores_every_text(rows, spark):

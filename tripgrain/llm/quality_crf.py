@@ -6,13 +6,17 @@ being good, and their mean, weighted by the lines' lengths, is the document's sc
 
 Labels are of documents. Fitting starts with every line labelled like its document; lines of bad
 documents that the fitted field calls good are then relabelled, and it is fitted again. The fit sees a
-bounded sample (``TRAIN_DOCS`` per label, drawn by hash, and of each document at most ``TRAIN_PARTS``
-runs of ``PART_LINES`` lines spread over the whole text); scoring covers every line of every text.
+bounded sample of whole documents (``TRAIN_DOCS`` per label, drawn by hash); in its gradient a document of
+more than ``EVEN_LINES`` lines weighs as much as one of that many. Scoring covers every line of every text.
+
+Chains are laid end to end and both passes are products of 2 x 2 matrices by doubling, so nothing is padded
+and a block of texts takes memory by its lines alone, however unlike their lengths are.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from typing import NamedTuple
 
 import numpy as np
@@ -22,14 +26,16 @@ from pyspark.sql import functions as F
 
 #: Expected number of documents of each label that the fit sees at most.
 TRAIN_DOCS = 1500
-TRAIN_PARTS, PART_LINES = 8, 16
+EVEN_LINES = 128
 ROUNDS, STEPS = 3, 80
 #: Score from which a document counts as good.
 CUTOFF = 0.7
 _MARKS = re.compile(r"[#*$%&|<>~^_=@{}\\]|!!|\?\?")
 N_OWN = 12
 N_FEATURES = 3 * N_OWN + 3
-_PART_OF_BLOCK = 256
+#: Lines that are scored at once; a longer text is scored alone.
+BLOCK_LINES = 1 << 14
+_LINES_AT_ONCE = 4096
 
 
 class Field(NamedTuple):
@@ -42,7 +48,7 @@ class Field(NamedTuple):
 
 def line_measures(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Measures of each line that has a word, and the lines' lengths in characters."""
-    rows, lengths, seen = [], [], set()
+    parts, rows, lengths, seen = [], [], array("d"), set()
     for line in (text or "").split("\n"):
         words = line.split()
         n = len(words)
@@ -61,114 +67,170 @@ def line_measures(text: str | None) -> tuple[np.ndarray, np.ndarray]:
         ))
         lengths.append(chars)
         seen.add(line)
-    return np.array(rows, np.float64).reshape(-1, N_OWN), np.array(lengths, np.float64)
+        if len(rows) == _LINES_AT_ONCE:
+            parts.append(np.array(rows, np.float64))
+            rows = []
+    parts.append(np.array(rows, np.float64).reshape(-1, N_OWN))
+    return np.concatenate(parts), np.array(lengths, np.float64)
+
+
+def _starts(lengths) -> np.ndarray:
+    """Whether a line begins a chain, for chains of ``lengths`` lines (at least one each) laid end to end."""
+    lengths = np.asarray(lengths, np.int64)
+    out = np.zeros(int(lengths.sum()), bool)
+    out[(np.cumsum(lengths) - lengths)[lengths > 0]] = True
+    return out
 
 
-def features(own: np.ndarray) -> np.ndarray:
-    """Own measures, those of the line before and after, and whether there is one."""
+def features(own: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Own measures, those of the line before and after in the chain, and whether there is one."""
     n = len(own)
     out = np.zeros((n, N_FEATURES))
+    linked = np.flatnonzero(~starts)
     out[:, :N_OWN] = own
-    out[1:, N_OWN : 2 * N_OWN] = own[:-1]
-    out[:-1, 2 * N_OWN : 3 * N_OWN] = own[1:]
-    out[1:, -3] = out[:-1, -2] = out[:, -1] = 1
+    out[linked, N_OWN : 2 * N_OWN] = own[linked - 1]
+    out[linked - 1, 2 * N_OWN : 3 * N_OWN] = own[linked]
+    out[linked, -3] = out[linked - 1, -2] = out[:, -1] = 1
     return out
 
 
-def forward_backward(logits: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probability of "good" per line and expected moves per chain, for padded chains (rows) of ``lengths`` lines."""
-    n, steps = logits.shape
-    emit = np.stack([np.ones_like(logits), np.exp(np.clip(logits, -30, 30))], axis=2)
-    emit /= emit.sum(axis=2, keepdims=True)
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of 2 x 2 matrices, scaled to sum to one; the last axis counts matrices."""
+    out = np.empty_like(a)
+    for i in (0, 1):
+        for j in (0, 1):
+            out[i, j] = a[i, 0] * b[0, j] + a[i, 1] * b[1, j]
+    out /= out.sum(axis=(0, 1))
+    return out
+
+
+def _passes(logits: np.ndarray, starts: np.ndarray, moves: np.ndarray):
+    """Emissions, moves, and the messages from before and after each line, states first."""
+    n = len(logits)
+    emit = np.stack([np.ones(n), np.exp(np.clip(logits, -30, 30))])
+    emit /= emit.sum(axis=0)
     go = np.exp(np.clip(moves, -15, 15))
-    ahead, back = np.empty((n, steps, 2)), np.ones((n, steps, 2))
-    ahead[:, 0] = emit[:, 0] / emit[:, 0].sum(axis=1, keepdims=True)
-    for t in range(1, steps):
-        a = (ahead[:, t - 1] @ go) * emit[:, t]
-        ahead[:, t] = a / a.sum(axis=1, keepdims=True)
-    for t in range(steps - 2, -1, -1):
-        b = (emit[:, t + 1] * back[:, t + 1]) @ go.T
-        b /= b.sum(axis=1, keepdims=True)
-        back[:, t] = np.where((t + 1 < lengths)[:, None], b, 1.0)
+    longest = int(np.diff(np.flatnonzero(np.r_[starts, True])).max())
+    # a matrix whose rows (columns) are equal forgets all before (after) it: there the chains are apart
+    ahead = go[:, :, None] * emit[None, :, :]
+    ahead[:, :, starts] = emit[None, :, starts]
+    back = np.ones_like(ahead)
+    linked = np.flatnonzero(~starts)
+    back[:, :, linked - 1] = ahead[:, :, linked]
+    step = 1
+    while step < longest:
+        ahead[:, :, step:] = _times(ahead[:, :, :-step], ahead[:, :, step:])
+        back[:, :, :-step] = _times(back[:, :, :-step], back[:, :, step:])
+        step *= 2
+    return emit, go, ahead[0] / ahead[0].sum(axis=0), back[:, 0] / back[:, 0].sum(axis=0)
+
+
+def chain_marginals(logits: np.ndarray, starts: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """Probability of "good" per line of chains laid end to end."""
+    if not len(logits):
+        return np.zeros(0)
+    _, _, ahead, back = _passes(logits, starts, moves)
     both = ahead * back
-    both /= both.sum(axis=2, keepdims=True)
-    pair = ahead[:, :-1, :, None] * go * (emit * back)[:, 1:, None, :]
-    pair /= pair.sum(axis=(2, 3), keepdims=True)
-    pair *= (np.arange(1, steps) < lengths[:, None])[:, :, None, None]
-    return both[:, :, 1], pair.sum(axis=1)
+    return both[1] / both.sum(axis=0)
 
 
-def _padded(chains: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    lengths = np.array([len(c) for c in chains])
-    out = np.zeros((len(chains), lengths.max(), *chains[0].shape[1:]))
-    for i, c in enumerate(chains):
-        out[i, : len(c)] = c
-    return out, lengths
+def chain_moves(logits: np.ndarray, starts: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`chain_marginals`, and for each line that follows another the probabilities of the move into it."""
+    emit, go, ahead, back = _passes(logits, starts, moves)
+    both = ahead * back
+    linked = np.flatnonzero(~starts)
+    pair = ahead[:, None, linked - 1] * go[:, :, None] * (emit * back)[None, :, linked]
+    return both[1] / both.sum(axis=0), pair / pair.sum(axis=(0, 1))
 
 
 def fit(chains: list[np.ndarray], good: list[int], empty: float) -> Field:
-    """Fit to runs of line measures and their documents' labels."""
+    """Fit to the line measures of whole documents (at least one line each) and their labels."""
     if not chains:
         return Field(np.zeros(N_FEATURES), np.zeros((2, 2)), empty, np.zeros(N_FEATURES), np.ones(N_FEATURES))
-    x, lengths = _padded([features(c) for c in chains])
-    inside = np.arange(x.shape[1]) < lengths[:, None]
-    centre, spread = x[inside].mean(axis=0), x[inside].std(axis=0)
+    lengths = np.array([len(c) for c in chains])
+    starts = _starts(lengths)
+    begins, linked = np.flatnonzero(starts), np.flatnonzero(~starts)
+    x = features(np.concatenate(chains), starts)
+    centre, spread = x.mean(axis=0), x.std(axis=0)
     centre[-1], spread = 0, np.where(spread < 1e-6, 1.0, spread)
-    x = (x - centre) / spread * inside[:, :, None]
-    label = np.array(good, float)[:, None] * np.ones(x.shape[:2])
+    x -= centre
+    x /= spread
+    good = np.array(good, float)
+    label = np.repeat(good, lengths)
+    bad = label == 0
     # either label has the same weight
-    share = np.where(label[:, 0] > 0, 0.5 / max(1, label[:, 0].sum()), 0.5 / max(1, (1 - label[:, 0]).sum()))
+    share = np.where(good > 0, 0.5 / max(1, good.sum()), 0.5 / max(1, (1 - good).sum()))
+    share = np.repeat(share * np.minimum(1.0, EVEN_LINES / lengths), lengths)
     weights, moves = np.zeros(N_FEATURES), np.zeros((2, 2))
     for _ in range(ROUNDS):
         slope, square = np.zeros(N_FEATURES + 4), np.zeros(N_FEATURES + 4)
-        states = np.stack([1 - label, label], axis=2)
-        pairs = states[:, :-1, :, None] * states[:, 1:, None, :] * inside[:, 1:, None, None]
-        pairs = pairs.sum(axis=1)
+        states = np.stack([1 - label, label])
+        pairs = states[:, None, linked - 1] * states[None, :, linked]
         for step in range(1, STEPS + 1):
-            p, moved = forward_backward(x @ weights, lengths, moves)
-            by_line = ((label - p) * inside * share[:, None])[:, :, None] * x
-            g = np.r_[by_line.sum(axis=(0, 1)) - 1e-3 * weights,
-                      ((pairs - moved) * share[:, None, None]).sum(axis=0).ravel() - 1e-3 * moves.ravel()]
+            p, moved = chain_moves(x @ weights, starts, moves)
+            g = np.r_[((label - p) * share) @ x - 1e-3 * weights, ((pairs - moved) @ share[linked]).ravel() - 1e-3 * moves.ravel()]
             slope, square = 0.9 * slope + 0.1 * g, 0.99 * square + 0.01 * g * g
             move = 0.08 * slope / (1 - 0.9**step) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
             weights, moves = weights + move[:N_FEATURES], moves + move[N_FEATURES:].reshape(2, 2)
-        p, _ = forward_backward(x @ weights, lengths, moves)
-        worst = np.where(inside, p, 2.0).min(axis=1, keepdims=True)
-        bad = np.array(good)[:, None] == 0
+        p = chain_marginals(x @ weights, starts, moves)
+        worst = np.repeat(np.minimum.reduceat(p, begins), lengths)
         label = np.where(bad, ((p > 0.5) & (p > worst)).astype(float), label)
     return Field(weights, moves, empty, centre, spread)
 
 
+def _logits(own: np.ndarray, starts: np.ndarray, field: Field) -> np.ndarray:
+    """Weights times :func:`features`, without laying these out."""
+    weights = field.weights / field.spread
+    before, after = own @ weights[N_OWN : 2 * N_OWN] + weights[-3], own @ weights[2 * N_OWN : 3 * N_OWN] + weights[-2]
+    linked = np.flatnonzero(~starts)
+    out = own @ weights[:N_OWN] + (weights[-1] - field.centre @ weights)
+    out[linked] += before[linked - 1]
+    out[linked - 1] += after[linked]
+    return out
+
+
 def score(texts: list[str | None], field: Field) -> np.ndarray:
     """Length-weighted mean of the lines' probabilities; texts without words get ``field.empty``."""
-    measured = [line_measures(t) for t in texts]
     out = np.full(len(texts), field.empty)
-    todo = sorted((len(own), i) for i, (own, _) in enumerate(measured) if len(own))
-    weights = field.weights / field.spread
-    for at in range(0, len(todo), _PART_OF_BLOCK):
-        block = [i for _, i in todo[at : at + _PART_OF_BLOCK]]
-        logits, lengths = _padded([features(measured[i][0]) @ weights - field.centre @ weights for i in block])
-        p, _ = forward_backward(logits, lengths, field.moves)
-        for row, i in enumerate(block):
-            size = measured[i][1]
-            out[i] = (p[row, : len(size)] * size).sum() / size.sum()
+    held: list[tuple[int, np.ndarray, np.ndarray]] = []
+    lines = 0
+
+    def finish():
+        if not held:
+            return
+        counts = [len(size) for _, _, size in held]
+        starts = _starts(counts)
+        size = np.concatenate([size for _, _, size in held])
+        p = chain_marginals(_logits(np.concatenate([own for _, own, _ in held]), starts, field), starts, field.moves)
+        begins = np.flatnonzero(starts)
+        out[[i for i, _, _ in held]] = np.add.reduceat(p * size, begins) / np.add.reduceat(size, begins)
+        held.clear()
+
+    for i, text in enumerate(texts):
+        own, size = line_measures(text)
+        if not len(size):
+            continue
+        if lines + len(size) > BLOCK_LINES:
+            finish()
+            lines = 0
+        held.append((i, own, size))
+        lines += len(size)
+    finish()
     return out
 
 
-def _runs(batches):
-    """Runs of line measures of sampled texts, as flat lists."""
+def _measured(batches):
+    """Line measures of whole sampled texts that have words, as bytes."""
     for batch in batches:
         ids, labels, flat = [], [], []
         for d, text, label in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "label"))):
             own, _ = line_measures(text)
-            parts = -(-len(own) // PART_LINES)
-            for k in sorted({round(j * (parts - 1) / max(1, TRAIN_PARTS - 1)) for j in range(TRAIN_PARTS)} if parts else ()):
+            if len(own):
                 ids.append(d)
                 labels.append(label)
-                flat.append(own[k * PART_LINES : (k + 1) * PART_LINES].ravel().tolist())
+                flat.append(own.tobytes())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(labels, pa.int32()), pa.array(flat, pa.list_(pa.float64()))],
-            ["doc_id", "label", "own"])
+            [pa.array(ids, pa.int64()), pa.array(labels, pa.int32()), pa.array(flat, pa.binary())], ["doc_id", "label", "own"])
 
 
 def sample_labels(labels: DataFrame, column: str, most: int, allowed) -> DataFrame:
@@ -190,16 +252,16 @@ def train(docs: DataFrame, labels: DataFrame, allowed, most: int = TRAIN_DOCS) -
     """Fit on labelled rows of ``docs`` where ``allowed`` (a condition on doc_id) holds."""
     chosen = sample_labels(labels, "quality", most, allowed)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    runs = sorted(rows.mapInArrow(_runs, "doc_id long, label int, own array<double>").collect())
-    good = [r.label for r in runs]
-    return fit([np.array(r.own).reshape(-1, N_OWN) for r in runs], good, float(np.mean(good)) if good else 0.5)
+    seen = sorted(rows.mapInArrow(_measured, "doc_id long, label int, own binary").collect())
+    good = [r.label for r in seen]
+    return fit([np.frombuffer(r.own, np.float64).reshape(-1, N_OWN) for r in seen], good, float(np.mean(good)) if good else 0.5)
 
 
 def with_quality(docs: DataFrame, field: Field, name: str = "score") -> DataFrame:
     """``docs`` with a column ``name``: 0 to 1, higher for better texts.
 
     One row per row, all columns kept (one called ``name`` is replaced). NULL, empty and blank texts get the
-    share of good runs seen in the fit. Without labelled rows every text with words gets 0.5.
+    share of good documents seen in the fit. Without labelled rows every text with words gets 0.5.
     """
     rest = [c for c in docs.columns if c != name]
 
