@@ -251,6 +251,22 @@ def test_cutoffs_reject_bad_and_hold_the_bound(rows):
     assert all(x.kept == (x.doc_id < 10_000) for x in out)
 
 
+def test_cutoffs_equal_brute_force_over_ties_and_null_strata(rows):
+    r = random.Random(8)
+    data = [(i, r.choice(["de", "en", None]), *(r.choice([0.0, 0.01, 0.02, r.random()]) for _ in rules.RULES)) for i in range(3000)]
+    labels = [(i, int(r.random() < 0.9 - 0.5 * (max(x) > 0.9))) for i, _, *x in data if i % 7]
+    measured = rows(data, "doc_id long, lang string, " + ", ".join(f"{x} double" for x in rules.RULES)).selectExpr("*", "false AS base_failed")
+    got = {(x.stratum, x.rule): (x.n, x.allowed, x.cutoff) for x in rules.cutoffs(measured, rows(labels, "doc_id long, quality int"), risk=0.2).collect()}
+    good = dict(labels)
+    for lang in ("de", "en", None):
+        for k, rule in enumerate(rules.RULES):
+            held = [(x[2 + k], good[x[0]]) for x in data if x[1] == lang and x[0] in good]
+            n, allowed, cutoff = got[lang, rule]
+            assert n == sum(q for _, q in held)
+            fine = [v for v, q in held if not q and sum(g for w, g in held if w >= v) <= allowed]
+            assert cutoff == (min(fine) if fine else None)
+
+
 def test_poisson_copies(rows):
     docs = [(i, "big" if i % 4 else "small", 1) for i in range(4000)] + [(None, None, 1), (5, "big", 1)]
     df = rows(docs, "doc_id long, source string, place int")

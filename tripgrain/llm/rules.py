@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripgrain.llm.words import SPACE
+from tripgrain.operators.keys import running_total
 from tripgrain.session import freeze
 
 REPEAT = 8
@@ -123,10 +124,12 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang", risk:
     bound = totals.crossJoin(strata).withColumn("allowed", allowed_rejections(
         F.col("n"), F.lit(risk / len(RULES)), F.lit(level) / (len(RULES) * F.greatest(F.col("strata"), F.lit(1)))))
     bound = freeze(bound.drop("strata").withColumnsRenamed({"stratum": "_s", "rule": "_r"}))
-    same = values["stratum"].eqNullSafe(bound["_s"]) & (values["rule"] == bound["_r"])
-    # good documents at or above each value, over the distinct values of one stratum and rule
-    above = values.join(bound, same).withColumn("reach", F.expr(
-        "sum(good) OVER (PARTITION BY stratum, rule ORDER BY value DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"))
+    # good documents at or above each value: one running sum over range partitions, less what stands before its stratum and rule
+    summed = running_total(values.withColumn("_llm_down", -F.col("value")), ["stratum", "rule", "_llm_down"], "good", "_llm_before", one_task_bytes=0)
+    base = summed.groupBy(F.col("stratum").alias("_bs"), F.col("rule").alias("_br")).agg(F.min("_llm_before").alias("_llm_base"))
+    bound_base = bound.join(base, bound["_s"].eqNullSafe(F.col("_bs")) & (bound["_r"] == F.col("_br"))).select("_s", "_r", "allowed", "_llm_base")
+    same = summed["stratum"].eqNullSafe(F.col("_s")) & (summed["rule"] == F.col("_r"))
+    above = summed.join(bound_base, same).withColumn("reach", F.col("_llm_before") - F.col("_llm_base") + F.col("good"))
     fine = above.where("bad > 0 AND reach <= allowed").groupBy("stratum", "rule").agg(F.min("value").alias("cutoff"))
     fine = fine.withColumnsRenamed({"stratum": "_fs", "rule": "_fr"})
     return bound.join(fine, bound["_s"].eqNullSafe(fine["_fs"]) & (bound["_r"] == fine["_fr"]), "left").select(
