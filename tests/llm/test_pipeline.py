@@ -97,3 +97,35 @@ def test_rejected_documents_go_and_clean_ones_stay(stages, spark):
     assert kept < {r.doc_id for r in before}
     good = [i for i, q in labels.items() if q == 1]
     assert sum(i in kept for i in good) >= 0.9 * len(good)
+
+
+TEXT = "one two three four five six seven eight nine ten eleven twelve"
+
+
+@pytest.fixture
+def odd_rows(rows):
+    """Repeated ids, NULL ids, equal texts, NULL and empty texts."""
+    data = [(1, TEXT), (1, TEXT), (None, TEXT), (None, TEXT), (2, TEXT), (3, TEXT[::-1]), (3, "other " * 9), (None, "alone " * 3),
+            (None, None), (None, None), (4, None), (5, ""), (6, "")]
+    return rows([(d, t, "en", "web" if d else None, 1) for d, t in data], "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_rows_without_an_id_of_their_own_are_compared(spark, odd_rows):
+    out = pipeline.near_duplicates(spark, odd_rows.selectExpr("*", "1 AS kept", "2 AS _rows"), SF)
+    assert out.columns == list(pipeline.COLUMNS)
+    found = out.collect()
+    assert sorted(r.text for r in found if r.text) == sorted([TEXT, TEXT[::-1], "other " * 9, "alone " * 3])
+    assert len({r.doc_id for r in found}) == len(found) == 8 and not any(r.doc_id is None for r in found)
+    assert [r.text for r in found if r.doc_id == 1] == [TEXT]  # an id of its own comes first
+    assert {r.doc_id for r in found if r.doc_id < 1 << 62} == {1, 4, 5, 6}
+
+
+def test_stages_take_odd_and_empty_tables(spark, odd_rows):
+    for docs in (odd_rows, odd_rows.limit(0)):
+        for name, stage in pipeline.STAGES:
+            done = stage(spark, docs, SF)
+            if name != "best-fit packing":
+                assert done.columns == list(pipeline.COLUMNS), name
+            assert done.count() >= 0
+            if docs is odd_rows and name == "best-fit packing":
+                assert done.count() == 13
