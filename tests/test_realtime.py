@@ -44,6 +44,18 @@ def test_path(rows):
     assert [(r.PathPosition, r.PathStation) for r in realtime.explode_path(plan, "|", "ArrivalPath").collect()] == [(1, "A"), (2, "B")]
 
 
+def test_a_document_is_judged_once_and_not_moved_with_its_elements(rows):
+    plan = realtime.flatten_plan(documents(rows))._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Generate", 1)
+    assert "Document#" not in above and "_doc#" not in above and "from_xml" in below
+
+
+def test_only_rejected_elements_keep_the_text_around_them(rows):
+    text = '<timetable><s id="a"><ar l="1"/></s><s><dp l="2"/></s><s id="c" eva="7"/></timetable>'
+    out = realtime.parse_documents(rows([("8", "plan", "11", CAPTURE, text)], RAW_DOCUMENT))
+    assert [(r._id, r.Rejected, r.Document) for r in out.collect()] == [("a", None, None), (None, "no event id", text), ("c", None, None)]
+
+
 TARGET = ("FactTripStopKey long, DateKey int, StationId string, LineName string, "
           "ScheduledArrivalDateTime timestamp_ntz, ScheduledDepartureDateTime timestamp_ntz")
 STATE = "DbEventId string, StationEva string, LineName string, PlannedArrival timestamp_ntz, PlannedDeparture timestamp_ntz"

@@ -44,15 +44,28 @@ def parse_documents(documents: DataFrame) -> DataFrame:
     unreadable = F.when(F.coalesce(F.trim("Document"), F.lit("")) == "", REASONS[0]).when(broken, REASONS[1]).when(
         F.col("CapturedAt").isNull(), REASONS[3])
     kept = [c for c in documents.columns if c not in ("StationEva", "Document")]
-    rows = parsed.select(
+    # Judged once per document. The generator moves no text and no document with its elements, only with rejected ones.
+    judged = parsed.select(
         *kept, "Document", F.col("StationEva").alias("_station"), unreadable.alias("_unreadable"),
-        F.inline_outer(F.when(unreadable.isNull(), F.col("_doc.s"))),
+        F.when(unreadable.isNotNull(), F.col("Document")).alias("_text"), F.col("_doc.s").alias("_elements"),
+    )
+    element = ("_id", "_eva", "tl", "ar", "dp")
+
+    def with_reason(s: Column) -> Column:
+        has_event = s["tl"].isNotNull() | s["ar"].isNotNull() | s["dp"].isNotNull() | s["_eva"].isNotNull()
+        nameless = s["_id"].isNull() & has_event
+        return F.struct(
+            *(s[c].alias(c) for c in element),
+            F.when(nameless, REASONS[2]).alias("_nameless"), F.when(nameless, F.col("Document")).alias("_around"))
+
+    rows = judged.select(
+        *kept, "_station", "_unreadable", "_text",
+        F.inline_outer(F.when(F.col("_unreadable").isNull(), F.transform("_elements", with_reason))),
+    )
+    return rows.select(
+        *kept, F.coalesce("_text", "_around").alias("Document"), "_station", *element,
+        F.coalesce("_unreadable", "_nameless").alias("Rejected"),
     )
-    has_event = F.col("tl").isNotNull() | F.col("ar").isNotNull() | F.col("dp").isNotNull() | F.col("_eva").isNotNull()
-    reason = F.coalesce("_unreadable", F.when(F.col("_id").isNull() & has_event, REASONS[2]))
-    return rows.withColumns({
-        "Rejected": reason, "Document": F.when(reason.isNotNull(), F.col("Document")),  # not with every element
-    }).drop("_unreadable")
 
 
 # Declarations and comments, then the root element.
