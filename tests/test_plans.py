@@ -6,7 +6,8 @@ import pytest
 
 from tripgrain.operators import aggregates, keys, trips
 from tripgrain.plans import adapter
-from tripgrain.plans.scheduled import ScheduledPlan, build_warehouse
+from tripgrain.plans.scheduled import Feed, ScheduledPlan, build_warehouse
+from tripgrain.schemas import WEEKDAYS
 
 SF = "/root/testdata/sf0.001"
 
@@ -74,3 +75,30 @@ def test_fan_out_is_not_shuffled(plan):
     text = executed(plan.view)
     fan_out = text.index("explode(ServiceDates")
     assert "Exchange hashpartitioning" not in text[:fan_out]
+
+
+def test_service_dates_are_resolved_once_for_all_steps(rows):
+    """The calendar is read by the stored calendars alone; trips without dates and services without a key drop out."""
+    empty = {"agency": None, "stops": None, "routes": None, "feed_info": None}
+    feed = Feed(
+        trips=rows([(1, 5, "a"), (2, 5, "b"), (3, 5, None)], "TripId long, RouteId long, ServiceId string").selectExpr(
+            "*", "0 AS DirectionId", "'x' AS TripHeadsign"),
+        stop_times=None,
+        calendar=rows([], "ServiceId string, StartDate string, EndDate string, " + ", ".join(f"{d} int" for d in WEEKDAYS)),
+        calendar_dates=rows(
+            [("a", "20260701", 1), ("a", "20260703", 1), ("a", "20260703", 2), ("a", "20260702", 1), (None, "20260701", 1)],
+            "ServiceId string, ServiceDate string, ExceptionType int"),
+        **empty)
+    lazy = ScheduledPlan(feed)
+    assert "ExceptionType" not in lazy.trip_instances._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.TripInstanceKey, r.TripId, str(r.ServiceDate)) for r in lazy.trip_instances.orderBy("TripInstanceKey").collect()] == [
+        (1, 1, "2026-07-01"), (2, 1, "2026-07-02")]
+    assert lazy.date_rows == 3
+
+
+def test_coverage_does_not_hold_pairs(rows):
+    df = rows([("a", 1), ("a", 1), ("a", 2), ("b", 2), (None, 3), ("c", None)], "Key string, Day int")
+    out = aggregates.coverage(df, "Key", "Day")
+    assert tuple(out.first()) == (6, 3, 1, 3, 3)
+    assert tuple(aggregates.coverage(df.limit(0), "Key", "Day").first()) == (0, 0, None, None, 0)
+    assert "Expand" not in executed(out) and "keys=[Key" not in executed(out)
