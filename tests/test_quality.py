@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from tripgrain.operators import quality
+from tripgrain.operators import performance, quality
 
 TIMES = "TripId string, ArrivalTime string, DepartureTime string, StopId string, StopSequence int"
 
@@ -89,3 +89,12 @@ def test_mode_reconciliation(rows):
     view = rows([("RE",), ("S-Bahn",)], "TransportMode string")
     out = {r.TransportMode: r.Difference for r in quality.mode_reconciliation(work, view).collect()}
     assert out == {"RE": 1, "RB": 1, "S-Bahn": -1}
+
+
+def test_route_delays_are_taken_from_counts_per_minute(rows):
+    data = [("RE1", "RE", d) for d in (1, 1, 1, 2, 9, None)] + [("S1", "S", None)] + [("RB2", "RB", d) for d in (-3, 4)]
+    out = performance.route_delays(rows(data, "RouteShortName string, TransportMode string, DelayMinutes int"))
+    assert sorted(tuple(r) for r in out.collect() if r.DelayCount) == [
+        ("RB2", "RB", 2, 0.5, 0.5, 3.3, 4), ("RE1", "RE", 5, 2.8, 1.0, 6.2, 9)]
+    assert [tuple(r) for r in out.collect() if not r.DelayCount] == [("S1", "S", 0, None, None, None, None)]
+    assert "keys=[RouteShortName" in (plan := out._jdf.queryExecution().executedPlan().toString()) and "_rows" in plan
