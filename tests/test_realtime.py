@@ -97,6 +97,31 @@ def test_match_equals_brute_force(rows, seed):
     assert {(r.DbEventId, r.Reason) for r in out.unmatched.collect()} == unmatched
 
 
+@pytest.mark.parametrize("hot", [1, realtime.HOT_ROWS])
+def test_every_event_is_judged_once_and_one_without_id_binds_nothing(rows, monkeypatch, hot):
+    monkeypatch.setattr(realtime, "HOT_ROWS", hot)
+    late = CAPTURE + timedelta(minutes=5)
+    targets = rows([(1, 1, "a", "S1", CAPTURE, late), (2, 1, "a", "S2", CAPTURE, None), (3, 1, "a", "S3", CAPTURE, None),
+                    (4, 1, "a", "S4", CAPTURE, late), (5, 1, "a", "S4", CAPTURE, None)], TARGET)
+    state = rows([("pair", "1", "S1", CAPTURE, late), (None, "1", "S2", CAPTURE, None), ("x", "1", "S3", CAPTURE, None),
+                  ("y", "1", "S3", CAPTURE, None), ("both", "1", "S4", CAPTURE, late), ("shared", "1", "S4", CAPTURE, None),
+                  ("far", "9", "S1", CAPTURE, None), ("far too", "9", "S1", CAPTURE, None)], STATE)
+    out = realtime.match_events(state, targets, rows([("1", "a")], "StationEva string, ParentStationId string"))
+    judged = {r.DbEventId: (r.FactTripStopKey, r.Reason) for r in out.judged.collect()}
+    assert out.judged.count() == 8 and judged == {
+        "pair": (1, None), None: (None, None), "x": (None, "many"), "y": (None, "many"), "both": (None, "many"),
+        "shared": (None, "many"), "far": (None, "none"), "far too": (None, "none")}
+    assert {(r.DbEventId, r.FactTripStopKey) for r in out.matched.collect()} == {("pair", 1)}
+    assert {r.DbEventId for r in out.unmatched.collect()} == set(judged) - {"pair", None}
+
+
+def test_counts_per_key_are_added_up_without_sorting(rows, monkeypatch):
+    plans = []
+    monkeypatch.setattr(realtime, "freeze", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df)
+    realtime.match_events(rows([], STATE), rows([], TARGET), rows([], "StationEva string, ParentStationId string"))
+    assert plans and "HashAggregate" in plans[0] and "SortAggregate" not in plans[0]
+
+
 def test_ambiguous_pairs_are_listed_not_loaded(rows):
     arrival = CAPTURE
     targets = rows([(1, 1, "a", "S1", arrival, None), (2, 1, "a", "S1", arrival, None), (3, 1, "b", "S1", arrival, None)], TARGET)

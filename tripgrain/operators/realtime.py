@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripgrain.functions.times import compact_timestamp, delay_minutes, is_cancelled
-from tripgrain.operators.joins import HOT_ROWS, broadcast_limit, estimated_bytes, lookup_join
+from tripgrain.operators.joins import HOT_ROWS, broadcast_limit, estimated_bytes, hot_keys, lookup_join
 from tripgrain.schemas import TIMETABLE
 from tripgrain.session import freeze
 
@@ -206,7 +206,9 @@ def explode_path(plan: DataFrame, separator: str, path: str = "DeparturePath") -
 
 # ---------------------------------------------------------------- matching
 
-_KEY = ["_kind", "_station", "_line", "_t1", "_t2"]
+# The times come first: they differ most, so sorts by the key seldom compare the texts.
+_KEY = ["_t1", "_t2", "_station", "_line", "_kind"]
+_BOTH, _ARRIVAL, _DEPARTURE = 0, 1, 2
 
 
 def _line(name: Column) -> Column:
@@ -216,6 +218,7 @@ def _line(name: Column) -> Column:
 class Match(NamedTuple):
     matched: DataFrame
     unmatched: DataFrame
+    judged: DataFrame  # every event, with its trip-stop or the reason why it has none
 
 
 def match_targets(fact: DataFrame, dim_route: DataFrame, dim_stop: DataFrame) -> DataFrame:
@@ -236,9 +239,9 @@ def _keyed_events(state: DataFrame, station_map: DataFrame) -> DataFrame:
     arrival, departure = F.col("PlannedArrival"), F.col("PlannedDeparture")
     stations = station_map.select("StationEva", F.col("ParentStationId").alias("_station"))
     kind = (
-        F.when(arrival.isNotNull() & departure.isNotNull(), "both")
-        .when(arrival.isNotNull(), "arrival")
-        .when(departure.isNotNull(), "departure")
+        F.when(arrival.isNotNull() & departure.isNotNull(), _BOTH)
+        .when(arrival.isNotNull(), _ARRIVAL)
+        .when(departure.isNotNull(), _DEPARTURE)
     )
     return lookup_join(state, stations, ["StationEva"], ["DbEventId"], "left").withColumns({
         "_kind": kind,
@@ -252,11 +255,11 @@ def _target_keys(targets: DataFrame) -> DataFrame:
     """The keys under which a trip-stop can be found: by both times, by arrival, by departure."""
     arr, dep = F.col("_arr"), F.col("_dep")
 
-    def kind(name: str, first: Column, second: Column) -> Column:
+    def kind(number: int, first: Column, second: Column) -> Column:
         present = first.isNotNull() & second.isNotNull()
-        return F.when(present, F.struct(F.lit(name).alias("_kind"), first.alias("_t1"), second.alias("_t2")))
+        return F.when(present, F.struct(F.lit(number).alias("_kind"), first.alias("_t1"), second.alias("_t2")))
 
-    kinds = F.array(kind("both", arr, dep), kind("arrival", arr, arr), kind("departure", dep, dep))
+    kinds = F.array(kind(_BOTH, arr, dep), kind(_ARRIVAL, arr, arr), kind(_DEPARTURE, dep, dep))
     found = targets.withColumn("_k", F.explode(kinds)).filter(F.col("_k").isNotNull())
     return found.select(*targets.columns, "_k.*")
 
@@ -283,12 +286,24 @@ def match_neighbourhood(
     touched = freeze(reduce(DataFrame.unionByName, keys).distinct())
     held = freeze(_target_keys(_stops(targets)).select("FactTripStopKey", *_KEY))
     spread = ["FactTripStopKey"]
-    near = lookup_join(held, touched, _KEY, spread, "left_semi", size=estimated_bytes(touched)).select(*spread).distinct()
+    even = hot_keys(held, _KEY).isEmpty()
+
+    def holders(some: DataFrame, size: int) -> DataFrame:
+        """The trip-stops that have one of some keys."""
+        return _at_keys(held, some, spread, "left_semi", even, size).select(*spread).distinct()
+
+    near = holders(touched, estimated_bytes(touched))
     near_keys = freeze(held.join(near, spread, "left_semi").select(*_KEY).distinct())
     size = estimated_bytes(near_keys)
-    stops = lookup_join(held, near_keys, _KEY, spread, "left_semi", size=size).select(*spread).distinct()
     events = lookup_join(_keyed_events(others, station_map), near_keys, _KEY, ["DbEventId"], "left_semi", size=size)
-    return events.select(*others.columns), targets.join(stops, spread, "left_semi")
+    return events.select(*others.columns), targets.join(holders(near_keys, size), spread, "left_semi")
+
+
+def _at_keys(rows: DataFrame, keyed: DataFrame, spread_by: list[str], how: str, even: bool, size: int) -> DataFrame:
+    """``rows`` joined by comparison key; where they are known to be ``even``, no key is looked for that has many."""
+    if size > broadcast_limit(keyed) and even:
+        return rows.join(keyed, _KEY, how)
+    return lookup_join(rows, keyed, _KEY, spread_by, how, size=size)
 
 
 def match_events(state: DataFrame, targets: DataFrame, station_map: DataFrame) -> Match:
@@ -297,7 +312,8 @@ def match_events(state: DataFrame, targets: DataFrame, station_map: DataFrame) -
     A pair is a candidate when station and line agree and every planned time on the event equals the
     scheduled time of the same kind. It is kept when it is the only candidate on both sides. All
     work is on counts per comparison key, so candidates are never enumerated in pairs. The counts
-    are stored once, because three later steps read them.
+    are stored once, because later steps read them; they hold numbers and times only, so that Spark adds them up in
+    a hash table. The event of a pair is the one that has its key.
     """
     events = _keyed_events(state, station_map)
     stops = _stops(targets)
@@ -306,44 +322,52 @@ def match_events(state: DataFrame, targets: DataFrame, station_map: DataFrame) -
         stops = stops.join(F.broadcast(places), ["_station", "_line"], "left_semi")
 
     stop_values = ["FactTripStopKey", "DateKey", "_arr", "_dep"]
-    event_side = events.select(*_KEY, F.lit(1).alias("_e"), F.lit(0).alias("_s"), "DbEventId")
+    event_side = events.select(*_KEY, F.lit(1).alias("_e"), F.lit(0).alias("_s"))
     stop_side = _target_keys(stops).select(*_KEY, F.lit(0).alias("_e"), F.lit(1).alias("_s"), *stop_values)
-    live = freeze(
+    counted = freeze(
         event_side.unionByName(stop_side, allowMissingColumns=True)
-        .dropna(subset=_KEY)
         .groupBy(*_KEY)
         .agg(
             F.sum("_e").alias("_events"), F.sum("_s").alias("_stops"),
-            *[F.min(c).alias(c) for c in (*stop_values, "DbEventId")],  # the stop and the event where there is one
+            *[F.min(c).alias(c) for c in stop_values],  # the stop where there is one
         )
-        .filter("_events > 0 AND _stops > 0")
+        .filter((F.col("_events") > 0) & ((F.col("_stops") > 0) | (F.col("_events") > HOT_ROWS)))
     )
+    most = counted.agg(F.max("_events").alias("events"), F.max("_stops").alias("stops")).first()
+    even_events, even_stops = (n is None or n <= HOT_ROWS for n in most)
+    live = counted.filter("_stops > 0").dropna(subset=_KEY)
+    paired = _pairs(live, even_stops)
+    bound = estimated_bytes(live)  # the tables below have no more rows
+    rule = F.lit("station + line + planned times")
+    matched = _at_keys(
+        events.filter("DbEventId IS NOT NULL"), paired, ["DbEventId"], "inner", even_events, bound,
+    ).select(*state.columns, "FactTripStopKey", "DateKey", rule.alias("MatchRule"))
+    seen = live.select(*_KEY, F.lit(True).alias("_seen")).join(paired.withColumn("_paired", F.lit(True)), _KEY, "left")
+    every = _at_keys(events, seen, ["DbEventId"], "left", even_events, bound)
+    named, free = F.col("DbEventId").isNotNull(), F.col("_paired").isNull()
+    reason = F.when(F.col("_seen"), "many").otherwise("none")
+    judged = every.select(
+        *state.columns, *(F.when(named, F.col(c)).alias(c) for c in ("FactTripStopKey", "DateKey")),
+        F.when(named & ~free, rule).alias("MatchRule"), F.when(named & free, reason).alias("Reason"))
+    return Match(matched, every.filter(free).select("DbEventId", reason.alias("Reason")), judged)
+
+
+def _pairs(live: DataFrame, even: bool) -> DataFrame:
+    """Of the counts per key, the keys of one event and one trip-stop that have no other candidate, with the trip-stop.
+
+    A trip-stop's events are those at the keys that it has alone, which are added up, and those at keys that it
+    shares with other trip-stops: it must not have any of these, so only the shared keys are looked up.
+    """
     single = live.filter("_stops = 1")
-    candidates = single.select(*stop_values, "_station", "_line").distinct()
-    counted = live.select(*_KEY, "_events")
-    if live.filter(F.col("_stops") > HOT_ROWS).isEmpty():  # no key of a trip-stop has many rows
-        shared = _target_keys(candidates).join(counted, _KEY)
-    else:
-        shared = lookup_join(_target_keys(candidates), counted, _KEY, ["FactTripStopKey"])
-    rivals = shared.groupBy("FactTripStopKey").agg(F.sum("_events").alias("_rivals"))
-    paired = (
-        single.filter("_events = 1")
-        .join(rivals.filter("_rivals = 1"), "FactTripStopKey")
-        .select(*_KEY, "FactTripStopKey", "DateKey", "DbEventId")
-    )
-    bound = estimated_bytes(live)  # the table below has no more rows
-    matched = state.join(paired.select("DbEventId", "FactTripStopKey", "DateKey"), "DbEventId").select(
-        *state.columns, "FactTripStopKey", "DateKey", F.lit("station + line + planned times").alias("MatchRule")
-    )
-    seen = live.select(*_KEY, F.lit(True).alias("_seen")).join(
-        paired.select(*_KEY, F.lit(True).alias("_paired")), _KEY, "left"
-    )
-    unmatched = (
-        lookup_join(events, seen, _KEY, ["DbEventId"], "left", size=bound)
-        .filter(F.col("_paired").isNull())
-        .select("DbEventId", F.when(F.col("_seen"), "many").otherwise("none").alias("Reason"))
-    )
-    return Match(matched, unmatched)
+    events = single.groupBy("FactTripStopKey").agg(F.sum("_events").alias("_rivals"))
+    alone = freeze(
+        single.filter("_events = 1").join(events.filter("_rivals = 1").select("FactTripStopKey"), "FactTripStopKey")
+        .drop("_events", "_stops"))
+    shared = freeze(live.filter("_stops > 1").select(*_KEY))
+    others = _target_keys(alone.select("FactTripStopKey", "_station", "_line", "_arr", "_dep"))
+    rivalled = _at_keys(others, shared, ["FactTripStopKey"], "left_semi", even, estimated_bytes(shared))
+    return alone.join(rivalled.select("FactTripStopKey"), "FactTripStopKey", "left_anti").select(
+        *_KEY, "FactTripStopKey", "DateKey")
 
 
 # ---------------------------------------------------------------- load
