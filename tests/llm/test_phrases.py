@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 from fractions import Fraction
 from math import floor
@@ -172,6 +173,17 @@ def test_words_meet_in_several_blocks(rows, monkeypatch):
     assert run(rows, docs, least=5) == brute(docs, 5)
 
 
+def test_a_slice_reads_its_own_bytes_only():
+    texts = pa.array(["a b. " * 800_000, "One two, two one"], pa.large_string())
+    tracemalloc.start()
+    found = list(phrases._slice_words(texts.slice(1), np.zeros(1, np.int64)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    (lang, numbers, _, words, counts), = found
+    assert lang == 0 and [words[i - 1] if i else "." for i in numbers] == [".", "one", "two", ".", "two", "one"]
+    assert counts.tolist() == [2, 2] and peak < 1 << 20
+
+
 def test_a_container_takes_colliding_batches():
     one, two = phrases.Container(), np.random.default_rng(5)
     expected = Counter()

@@ -75,17 +75,19 @@ def _unpack(blob: bytes) -> np.ndarray:
 def _slice_words(texts: pa.Array, langs: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[str], np.ndarray]]:
     """Per language of a slice: language, local numbers with 0 between pieces, and of number 1 on hash, word and count."""
     _, offsets, data = texts.buffers()
-    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    ends_piece = _BARRIER[raw]
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    ends_piece = _BARRIER[raw]  # of this slice, not of the batch that it shares its bytes with
+    barriers = np.flatnonzero(ends_piece)
     cut = np.where(ends_piece, np.uint8(0x0A), raw)
-    texts = pa.Array.from_buffers(pa.large_string(), len(texts), [None, offsets, pa.py_buffer(cut)], 0, texts.offset)
+    texts = pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer(offsets - offsets[0]), pa.py_buffer(cut)])
     words = split_words(texts, lower=True)
+    del raw, ends_piece, cut, texts
     if not len(words.starts):
         return
-    origin = np.frombuffer(offsets, np.int64)[texts.offset]
-    passed = np.r_[0, np.cumsum(ends_piece[origin : origin + len(words.data)], dtype=np.int64)]
     new = np.ones(len(words.starts), bool)
-    new[1:] = (np.diff(words.row) > 0) | (passed[words.starts[1:]] > passed[words.ends[:-1]])
+    new[1:] = (np.diff(words.row) > 0) | (
+        np.searchsorted(barriers, words.starts[1:]) > np.searchsorted(barriers, words.ends[:-1]))
     hashes = word_hashes(words)
     lang = langs[words.row]
     for one in np.unique(lang):
