@@ -106,6 +106,13 @@ def test_cycles_history_and_rerun(spark, rows, tmp_path, warehouse):
         (r.DbEventId, r.FactTripStopKey, r.ArrivalDelayMinutes, r.ObservationCount) for r in fact.values()}
 
 
+def test_the_first_cycle_looks_for_no_neighbours(spark, load, monkeypatch):
+    monkeypatch.setattr(stream, "match_neighbourhood", None)
+    load(CAPTURE_1, 0)
+    assert bound(spark, load.paths) == {"e1": 100, "e2": 101}
+    assert reasons(spark, load.paths, 0) == {"lost": "none"}
+
+
 def test_a_committed_cycle_is_not_repeated(spark, load):
     load(CAPTURE_1, 0)
     counts = load(CAPTURE_2, 1).first()
