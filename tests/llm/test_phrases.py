@@ -194,3 +194,31 @@ def test_a_container_takes_colliding_batches():
         expected.update(dict(zip(zip(*(k.tolist() for k in keys)), n.tolist())))
     keys, n = one.entries()
     assert dict(zip(zip(*(k.tolist() for k in keys)), n.tolist())) == expected and one.used == len(expected)
+
+
+def test_a_slice_is_cut_in_parts(monkeypatch):
+    r = random.Random(11)
+    names = [f"w{i}" for i in range(5000)]
+    texts = pa.array([" ".join(r.choices(names, k=200)) + r.choice([".", "", "\n"]) for _ in range(2000)], pa.large_string())
+    langs = np.array([r.randrange(3) for _ in range(2000)])
+    got = []
+    for part in (1 << 30, 50_000):
+        monkeypatch.setattr(phrases, "PART_BYTES", part)
+        tracemalloc.start()
+        got.append([(one, ids.tolist(), distinct.tolist(), words, n.tolist()) for one, ids, distinct, words, n in phrases._slice_words(texts, langs)])
+        tracemalloc.stop()
+    assert got[0] == got[1]
+    monkeypatch.undo()
+    large = pa.concat_arrays([texts] * 4)  # 9 MB of text
+    tracemalloc.start()
+    assert sum(1 for _ in phrases._slice_words(large, np.zeros(len(large), int))) == 1
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 90e6
+
+
+def test_windows_of_parts_are_those_of_the_whole():
+    stream = np.random.default_rng(5).integers(0, 9, 1000)
+    whole = phrases.windows(stream)
+    parts = [phrases.windows(stream[a : a + 64 + phrases.LONGEST - 1], min(64, 1000 - a)) for a in range(0, 1000, 64)]
+    assert all((np.concatenate(p) == w).all() for p, w in zip(zip(*parts), whole))

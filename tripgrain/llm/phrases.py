@@ -36,6 +36,8 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 SLICE_BYTES = 8 << 20
+#: Bytes of a slice whose words are found at once, and places of a chunk whose windows are made at once.
+PART_BYTES, PART_PLACES = 1 << 20, 1 << 17
 #: Bytes of text whose words meet in one block, about.
 BLOCK_BYTES = 16 << 20
 #: Entries of a container that bursts, and of a task's trie that is full.
@@ -72,8 +74,27 @@ def _unpack(blob: bytes) -> np.ndarray:
     return out.view("<i8").ravel()
 
 
-def _slice_words(texts: pa.Array, langs: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[str], np.ndarray]]:
+_Found = tuple[int, np.ndarray, np.ndarray, list[str], np.ndarray]
+
+
+def _slice_words(texts: pa.Array, langs: np.ndarray) -> Iterator[_Found]:
     """Per language of a slice: language, local numbers with 0 between pieces, and of number 1 on hash, word and count."""
+    parts: dict[int, list[tuple]] = {}
+    for start, some in text_slices(texts, PART_BYTES):
+        for one, *found in _part_words(some, langs[start : start + len(some)]):
+            parts.setdefault(one, []).append(found)
+    for one in sorted(parts):
+        numbers, hashes, words, n = zip(*parts.pop(one))
+        ends = np.cumsum([0, *map(len, hashes)])
+        distinct, first, back = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        counts = np.bincount(back, np.concatenate(n), len(distinct)).astype(np.int64)
+        ids = np.concatenate([np.r_[0, back[a:b] + 1].astype(np.int32)[x] for x, a, b in zip(numbers, ends, ends[1:])])
+        of = np.searchsorted(ends, first, "right") - 1
+        yield one, ids, distinct, [words[k][i] for k, i in zip(of.tolist(), (first - ends[of]).tolist())], counts
+
+
+def _part_words(texts: pa.Array, langs: np.ndarray) -> Iterator[_Found]:
+    """As ``_slice_words``, of a part."""
     _, offsets, data = texts.buffers()
     offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
     raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
@@ -93,7 +114,7 @@ def _slice_words(texts: pa.Array, langs: np.ndarray) -> Iterator[tuple[int, np.n
     for one in np.unique(lang):
         mine = np.flatnonzero(lang == one)
         distinct, first, back, n = np.unique(hashes[mine], return_index=True, return_inverse=True, return_counts=True)
-        numbers = np.zeros(len(mine) + int(new[mine].sum()), np.int64)
+        numbers = np.zeros(len(mine) + int(new[mine].sum()), np.int32)
         numbers[np.arange(len(mine)) + np.cumsum(new[mine])] = back + 1
         yield int(one), numbers, distinct, [words.bytes_of(i).decode() for i in mine[first]], n
 
@@ -120,7 +141,9 @@ def _chunks(batches: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.Recor
                 edges = np.flatnonzero(np.diff(block.astype(np.int64), prepend=-1))
                 for a, b in zip(edges.tolist(), np.r_[edges[1:], len(n)].tolist()):
                     rows.append((chunk, names[lang], None, None, int(block[a]), a + 1, words[a:b], _pack(n[a:b])))
+                del ids, hashes, words, n, block
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _CHUNK)], schema=_CHUNK)
+                del rows
 
 
 _NUMBERED = pa.schema([
@@ -301,21 +324,23 @@ class Trie:
                 break
             stay -= self.children[at].used
             out.append(at)
-        runs = []
+        runs = [[np.zeros(0, np.uint64)] for _ in range(3)] + [[np.zeros(0, np.int64)]]
         for at in sorted(out):
-            runs.append(self.children[at].entries())
+            keys, n = self.children[at].entries()
             self.children[at] = Container()
-        keys, n = zip(*runs) if runs else ([(np.zeros(0, np.uint64),) * 3], [np.zeros(0, np.int64)])
-        return tuple(np.concatenate(k) for k in zip(*keys)), np.concatenate(n)
+            for column, more in zip(runs, (*keys, n)):
+                column.append(more)
+        *keys, n = (np.concatenate(runs.pop(0)) for _ in range(4))
+        return tuple(keys), n
 
 
 # --- windows, runs and their merge ---
 
 
-def windows(stream: np.ndarray) -> Keys:
-    """Windows that begin at each place of a stream of word numbers (0: a barrier) and have two words at least."""
-    stream = np.r_[stream, np.zeros(LONGEST - 1, np.int64)].astype(np.uint64)
-    size = len(stream) - LONGEST + 1
+def windows(stream: np.ndarray, size: int | None = None) -> Keys:
+    """Windows that begin at each place of a stream of word numbers (0: a barrier), or its first ``size``, and have two words at least."""
+    size = len(stream) if size is None else size
+    stream = np.r_[stream[: size + LONGEST - 1], np.zeros(max(0, size + LONGEST - 1 - len(stream)), np.int64)].astype(np.uint64)
     words = [stream[k : k + size] for k in range(LONGEST)]
     for k in range(1, LONGEST):
         words[k] = np.where(words[k - 1] > 0, words[k], np.uint64(0))
@@ -350,14 +375,17 @@ def _runs(keys: Keys, n: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
     """A sorted run, one row per prefix partition."""
     part = _partition(keys, parts)
     order = np.argsort(part, kind="stable")
-    part, keys, n = part[order], _take(keys, order), n[order]
+    part = part[order]
     edges = np.flatnonzero(np.diff(part, prepend=-1))
-    columns = [_word(keys, k) for k in range(LONGEST)]
+    ends = np.r_[edges, len(part)]
     for at in range(0, len(edges), 256):
-        cuts = [(a, b) for a, b in zip(edges[at : at + 256], np.r_[edges, len(part)][at + 1 : at + 257])]
+        cuts = ends[at : at + 257]
+        here = order[cuts[0] : cuts[-1]]
+        some, cuts = _take(keys, here), (cuts - cuts[0]).tolist()
         yield pa.RecordBatch.from_arrays([
-            pa.array(part[[a for a, _ in cuts]]), *(pa.array([_pack(c[a:b]) for a, b in cuts], pa.binary()) for c in columns),
-            pa.array([_pack(n[a:b]) for a, b in cuts], pa.binary()),
+            pa.array(part[edges[at : at + 256]]),
+            *(pa.array([_pack(c[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary()) for c in (_word(some, k) for k in range(LONGEST))),
+            pa.array([_pack(n[here[a:b]]) for a, b in zip(cuts, cuts[1:])], pa.binary()),
         ], schema=_RUN)
 
 
@@ -370,10 +398,13 @@ def _count(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordB
             table = np.zeros(int(local.max()) + 1, np.int64)
             for block in numbers.as_py():
                 table[_unpack(block["places"])] = _unpack(block["numbers"])
-            keys = windows(table[local])
-            trie.add(*_sorted(keys, np.ones(len(keys[0]), np.int64)))
-            if trie.used > FULL:
-                yield from _runs(*trie.spill(FULL // 2), parts)
+            stream = table[local].astype(np.uint32)
+            del local, table
+            for a in range(0, len(stream), PART_PLACES):
+                keys = windows(stream[a : a + PART_PLACES + LONGEST - 1], min(PART_PLACES, len(stream) - a))
+                trie.add(*_sorted(keys, np.ones(len(keys[0]), np.int64)))
+                if trie.used > FULL:
+                    yield from _runs(*trie.spill(FULL // 2), parts)
     yield from _runs(*trie.spill(0), parts)
 
 
@@ -382,22 +413,26 @@ def _merge(rows: pa.Table, least: int) -> pa.Table:
 
     Rare phrases go where the partition has all their windows.
     """
-    words = [np.concatenate([_unpack(x.as_py()) for x in rows[f"w{k}"]]).astype(np.uint64) for k in range(LONGEST)]
+    def words(k: int) -> np.ndarray:
+        return np.concatenate([_unpack(x.as_py()).astype(np.uint32) for x in rows[f"w{k}"]])
+
     n = np.concatenate([_unpack(x.as_py()) for x in rows["n"]])
-    keys, n = _sorted((words[0] << _HALF | words[1], words[2] << _HALF | words[3], words[4]), n)
-    depth = prefix_words(keys)
-    words = [_word(keys, k) for k in range(LONGEST)]
+    keys = tuple(words(k).astype(np.uint64) << _HALF | words(k + 1) for k in (0, 2)) + (words(4).astype(np.uint64),)
+    keys, n = _sorted(keys, n)
+    depth = prefix_words(keys).astype(np.int8)
     sums = np.r_[0, np.cumsum(n)]
     new = np.zeros(len(n), bool)
     new[:1] = True
     new[1:] = keys[0][1:] != keys[0][:-1]
     out, counts = [], []
     for k in range(1, LONGEST):
-        new[1:] |= words[k][1:] != words[k][:-1]
+        word = _word(keys, k)
+        new[1:] |= word[1:] != word[:-1]
         at = np.flatnonzero(new)
         count = np.diff(sums[np.r_[at, len(n)]])
-        keep = (words[k][at] > 0) & ((count >= least) | (depth[at] > k + 1))
-        raw = np.stack([w[at[keep]] for w in words[: k + 1]], axis=1).astype(">u4").tobytes()
+        keep = (word[at] > 0) & ((count >= least) | (depth[at] > k + 1))
+        kept = _take(keys, at[keep])
+        raw = np.stack([_word(kept, j) for j in range(k + 1)], axis=1).astype(">u4").tobytes()
         out += [raw[i : i + 4 * (k + 1)] for i in range(0, len(raw), 4 * (k + 1))]
         counts.append(count[keep])
     return pa.table({"key": pa.array(out, pa.binary()), "f": pa.array(np.concatenate(counts), pa.int64())})
