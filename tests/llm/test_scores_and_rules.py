@@ -6,6 +6,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -293,3 +294,21 @@ def test_cumulative_probabilities(rows, rate):
         total += math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
         assert x == pytest.approx(total, abs=1e-9)
     assert steps[-1] == pytest.approx(1, abs=1e-9)
+
+
+def test_automaton_packs_keys_and_weights():
+    keys = np.unique(np.random.default_rng(3).integers(1, 1 << 40, 3000).astype(np.uint64))
+    for some in (keys, keys[:1], keys % np.uint64(1 << 20) + np.uint64(1) << np.uint64(32) | np.uint64(7)):
+        some = np.unique(some)
+        assert (automaton._unpack_keys(automaton._pack_keys(some), len(some)) == some).all()
+    weights = np.where(np.arange(500) % 3, np.log10(np.arange(500) + 1.5), np.nan)
+    assert np.array_equal(automaton._unpack_weights(automaton._pack_weights(weights), 500), weights, equal_nan=True)
+
+
+def test_automaton_moves_no_texts(rows):
+    """The texts are read for their size and once for the chunks; chunks of rows of one doc_id stay small."""
+    df = rows([(7, "a b c " * 50)] * 40, "doc_id long, text string")
+    out = automaton.score_texts(df, F.lit(True), chunk_bytes=1000)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "place" in plan and "text#" not in plan
+    assert len({(r.n_tokens, round(r.score, 6)) for r in out.collect()}) == 1 and out.count() == 40

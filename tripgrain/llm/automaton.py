@@ -9,25 +9,31 @@ a word; the failure arc leads to the state without the oldest word and carries t
 the probabilities of all words add up to one. All tokens of a chunk are scored at once, order by order: where
 the state has the arc its weight counts, else the failure weight is added to what the state below gave.
 
-1. Texts are dealt into chunks. A chunk sends each distinct word once with its training count to the word's
-   bucket; the sums go back to the chunk in the same order.
-2. Order by order, a chunk sends its states and its distinct n-grams whose parts stayed to the bucket of
-   the state, and gets their counts and failure weights back. A state with more than ``HOT`` occurrences is
+1. Texts become chunks of local word numbers with the hashes of the chunk's words: one pass, without a shuffle,
+   stored. No text is moved after it.
+2. A chunk sends each distinct word once with its training count to the word's bucket; the sums go back to the
+   chunk in the same order. Words that stay get numbers there, frequent ones small numbers.
+3. Order by order, a chunk sends its states and its distinct n-grams whose parts stayed to the bucket of
+   the state, and gets their counts and failure weights back. States are sent as differences in order of their
+   keys, n-grams as the numbers of their last words. A state with more than ``HOT`` occurrences is
    spread over several buckets; the weights of these, at most training tokens / ``HOT``, are summed on the driver.
-3. The chunk, with the counts and weights of all it holds, has its own part of the automaton and scores its texts.
+4. The chunk, with the counts and weights of all it holds, has its own part of the automaton and scores its texts.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripgrain.llm.words import chunk_of, mix, split_words, text_bytes, text_slices, word_hashes
-from tripgrain.session import freeze
+from tripgrain.llm.words import mix, split_words, text_bytes, text_slices, word_hashes
+from tripgrain.session import freeze, remove, scratch_path
 
 ORDER = 3
 #: Occurrences of an n-gram that stays, at every size.
@@ -44,10 +50,18 @@ GRAM_BUCKET_BYTES = 16 << 20
 HOT = 1 << 20
 #: The end of a text as a token.
 END = np.uint64(0x5EED0E4D)
-#: Bits of a word's hash that tell the n-grams of one state apart.
-_WORD = np.uint64((1 << 48) - 1)
-_SENT = "bucket int, _llm_chunk long, keys binary, known binary, below binary, sizes binary, grams binary, counts binary, lower binary"
-_BACK = "_llm_chunk long, bucket int, level int, counts binary, weights binary, keys binary, held binary, under binary"
+_HALF, _LOW = np.uint64(32), np.uint64(0xFFFFFFFF)
+#: Packed bytes from which on they are compressed.
+_COMPRESSED = 128
+_ZSTD = pa.Codec("zstd", compression_level=3)
+_CHUNK = pa.schema([
+    ("_llm_chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())), ("sizes", pa.binary()),
+    ("words", pa.int64()), ("place", pa.binary()), ("keys", pa.binary()), ("counts", pa.binary()), ("part", pa.string()),
+])
+_CHUNK_DDL = "_llm_chunk long, doc_ids array<long>, train array<boolean>, sizes binary, words long, place binary, keys binary, counts binary, part string"
+_WORDS = "bucket int, _llm_chunk long, n int, keys binary, counts binary"
+_SENT = "bucket int, _llm_chunk long, states int, keys binary, known binary, below binary, sizes binary, n int, grams binary, counts binary, lower binary"
+_BACK = "_llm_chunk long, bucket int, level int, n int, counts binary, numbers binary, weights binary, keys binary, held binary, under binary"
 
 
 class Tokens(NamedTuple):
@@ -83,25 +97,66 @@ def _buckets(keys: np.ndarray, n: int):
             yield b, int(edges[b]), int(edges[b + 1])
 
 
-def _pack(values: np.ndarray, width: int | None = None) -> bytes:
-    """Unsigned values in as few bytes each as hold the largest, first all lowest bytes: planes of zeros compress well."""
-    if width is None:
-        width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+def _pack(values: np.ndarray) -> bytes:
+    """Unsigned values in as few bytes each as hold the largest, first all lowest bytes; many are compressed."""
+    width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    if len(planes) < _COMPRESSED:
+        return bytes([width]) + planes
+    return bytes([width + 8]) + _ZSTD.compress(planes, asbytes=True)
 
 
 def _unpack(data: bytes, n: int) -> np.ndarray:
     """``n`` packed values."""
-    out = np.zeros((n, 8), np.uint8)
-    if n:
-        planes = np.frombuffer(data, np.uint8).reshape(-1, n)
-        out[:, : len(planes)] = planes.T
+    out, width = np.zeros((n, 8), np.uint8), data[0]
+    planes = data[1:]
+    if width > 8:
+        width -= 8
+        planes = _ZSTD.decompress(planes, n * width, asbytes=True)
+    out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, n).T
     return out.reshape(-1).view("<i8")
 
 
-def _joined(state: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Hashes of n-grams from those of their states and the 48 low bits of their last words."""
-    return mix(state * np.uint64(0x9FB21C651E98DF25) + (word & _WORD))
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Keys in order: differences of the upper halves, and of the lower ones where the upper are the same."""
+    high, low = keys >> _HALF, keys & _LOW
+    new = np.diff(high, prepend=np.uint64(0))
+    step = low.copy()
+    step[1:] -= np.where(new[1:] == 0, low[:-1], np.uint64(0))
+    first = _pack(new)
+    return len(first).to_bytes(4, "little") + first + _pack(step)
+
+
+def _unpack_keys(data: bytes, n: int) -> np.ndarray:
+    size = int.from_bytes(data[:4], "little")
+    new, step = _unpack(data[4 : 4 + size], n), _unpack(data[4 + size :], n)
+    start = np.flatnonzero((new > 0) | (np.arange(n) == 0))
+    sums = np.cumsum(step)
+    low = sums - np.repeat(sums[start] - step[start], np.diff(np.r_[start, n]))
+    return np.cumsum(new).astype(np.uint64) << _HALF | low.astype(np.uint64)
+
+
+def _pack_weights(values: np.ndarray) -> bytes:
+    """Numbers, NaN as a bit."""
+    there = ~np.isnan(values)
+    return np.packbits(there).tobytes() + _pack(values[there].astype("<f8").view("<u8"))
+
+
+def _unpack_weights(data: bytes, n: int) -> np.ndarray:
+    bits = -(-n // 8)
+    there = np.unpackbits(np.frombuffer(data, np.uint8, bits), count=n).astype(bool)
+    out = np.full(n, np.nan)
+    out[there] = _unpack(data[bits:], int(there.sum())).view("<f8")
+    return out
+
+
+def _joined(state: np.ndarray, word: np.ndarray, order: int) -> np.ndarray:
+    """Keys of n-grams from those of their states and the numbers of their last words: both numbers, or a hash."""
+    return state << _HALF | word if order == 2 else mix(state * np.uint64(0x9FB21C651E98DF25) + word)
+
+
+def _home(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return ((mix(keys) >> _HALF) * np.uint64(buckets) >> _HALF).astype(np.int64)
 
 
 def _stored(df: DataFrame) -> DataFrame:
@@ -122,36 +177,78 @@ def _table(rows: list[tuple], schema: str) -> pa.Table:
     return pa.table({name: pa.array(list(c), kinds[kind]) for c, (name, kind) in zip(columns, fields)})
 
 
-def _chunk_words(chunk: pa.Table):
-    """Tokens of a chunk, its distinct words in order, and the place of each token among them."""
-    found = all_tokens(chunk["text"])
-    keys, place = np.unique(found.hashes, return_inverse=True)
-    return found, keys, place
-
-
-def _send(chunk: pa.Table, buckets: int) -> pa.Table:
-    found, keys, place = _chunk_words(chunk)
-    train = np.repeat(chunk["train"].to_numpy(), np.diff(found.first))
-    counts = np.bincount(place[train], minlength=len(keys)).astype("<u4")
-    number = chunk["_llm_chunk"][0].as_py()
-    rows = [(b, number, keys[x:y].tobytes(), counts[x:y].tobytes()) for b, x, y in _buckets(keys, buckets)]
-    columns = list(zip(*rows)) if rows else [[]] * 4
-    return pa.table({n: pa.array(c, k) for n, c, k in zip(
-        ("bucket", "_llm_chunk", "keys", "counts"), columns, (pa.int32(), pa.int64(), pa.binary(), pa.binary()))})
-
-
-def _sum(bucket: pa.Table) -> pa.Table:
-    """Counts over all chunks, back to each chunk; a row without chunk has the bucket's training tokens and known words."""
-    keys = [np.frombuffer(b, np.uint64) for b in bucket["keys"].to_pylist()]
-    ends = np.cumsum([len(k) for k in keys])
-    names, place = np.unique(np.concatenate(keys), return_inverse=True)
-    counts = np.concatenate([np.frombuffer(b, "<u4") for b in bucket["counts"].to_pylist()])
+class Chunk(NamedTuple):
+    number: int
+    first: np.ndarray  # per text its first token, and the number of tokens
+    place: np.ndarray  # of each token, its word among the chunk's words
+    words: int
+    train: np.ndarray
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Texts in chunks of about ``chunk_bytes``: a row with the place of each token among the chunk's words, which are
+    in order of their hashes, and one with these hashes and their training counts."""
+    task, number, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+    def stored() -> pa.RecordBatch:
+        found = [all_tokens(texts) for _, texts in held]
+        keys, place = np.unique(np.concatenate([f.hashes for f in found]), return_inverse=True)
+        sizes = np.concatenate([np.diff(f.first) for f in found])
+        rows = pa.Table.from_batches([part for part, _ in held]).combine_chunks()
+        train = rows["train"].to_numpy()
+        counts = np.bincount(place[np.repeat(train, sizes)], minlength=len(keys))
+        chunk = (task << 32) + number
+        two = [
+            (chunk, rows["doc_id"].cast(pa.int64()).to_pylist(), train, _pack(sizes), len(keys), _pack(place), None, None, "texts"),
+            (chunk, None, None, None, len(keys), None, keys.tobytes(), _pack(counts), "words"),
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*two), _CHUNK)], schema=_CHUNK)
+
+    for batch in batches:
+        for start, texts in text_slices(batch["text"], chunk_bytes):
+            part, more = batch.select(["doc_id", "train"]).slice(start, len(texts)), pc.sum(pc.binary_length(texts)).as_py()
+            if held and size + more > chunk_bytes:
+                yield stored()
+                number, held, size = number + 1, [], 0
+            held.append((part, texts))
+            size += more
+    if held:
+        yield stored()
+
+
+def _read(chunk: pa.Table) -> Chunk:
+    train = chunk["train"][0].values.to_numpy(zero_copy_only=False).astype(bool)
+    first = np.r_[0, np.cumsum(_unpack(chunk["sizes"][0].as_py(), len(train)))]
+    place = _unpack(chunk["place"][0].as_py(), int(first[-1]))
+    return Chunk(chunk["_llm_chunk"][0].as_py(), first, place, chunk["words"][0].as_py(), train)
+
+
+def _send(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for number, keys, counts in zip(*(batch[c].to_pylist() for c in ("_llm_chunk", "keys", "counts"))):
+            keys = np.frombuffer(keys, np.uint64)
+            counts = _unpack(counts, len(keys))
+            rows = [(b, number, y - x, keys[x:y].tobytes(), _pack(counts[x:y])) for b, x, y in _buckets(keys, buckets)]
+            yield from _table(rows, _WORDS).to_batches()
+
+
+def _sum(bucket: pa.Table, buckets: int) -> pa.Table:
+    """Counts over all chunks and numbers of words that may stay, back to each chunk; a row without chunk has the bucket's training tokens and known words."""
+    sizes = bucket["n"].to_pylist()
+    names, place = np.unique(np.concatenate([np.frombuffer(b, np.uint64) for b in bucket["keys"].to_pylist()]), return_inverse=True)
+    counts = np.concatenate([_unpack(b, n) for b, n in zip(bucket["counts"].to_pylist(), sizes)])
     total = np.bincount(place, counts, len(names)).astype(np.int64)
-    each = total[place]
     number = bucket["bucket"][0].as_py()
-    rows = [(c, number, 1, each[e - len(k) : e].astype("<i8").tobytes(), None, None, None, None)
-            for c, e, k in zip(bucket["_llm_chunk"].to_pylist(), ends, keys)]
-    rows.append((None, number, 1, np.array([total.sum(), (total > 0).sum()], "<i8").tobytes(), None, None, None, None))
+    order = np.argsort(-total, kind="stable")[: int((total >= LEAST).sum())]
+    numbers = np.zeros(len(names), np.int64)
+    numbers[order] = (np.arange(len(order)) + 1) * buckets + number
+    if len(order) and numbers[order[-1]] >= 1 << 32:
+        raise OverflowError("more words than numbers")
+    rows, x = [], 0
+    for c, n in zip(bucket["_llm_chunk"].to_pylist(), sizes):
+        mine, x = place[x : x + n], x + n
+        rows.append((c, number, 1, n, _pack(total[mine]), _pack(numbers[mine]), None, None, None, None))
+    rows.append((None, number, 1, 0, np.array([total.sum(), (total > 0).sum()], "<i8").tobytes(), None, None, None, None, None))
     return _table(rows, _BACK)
 
 
@@ -171,71 +268,85 @@ class Asked(NamedTuple):
     at: np.ndarray  # each token's n-gram or -1
     state: np.ndarray  # each token's state, an n-gram of the order below, or -1
     keys: np.ndarray
-    last: np.ndarray  # hash of each n-gram's last word
+    last: np.ndarray  # number of each n-gram's last word
     entry: np.ndarray  # of each n-gram, its state and bucket
     lower: np.ndarray  # of each n-gram, the one without its first word
-    states: np.ndarray  # of each entry, its state
+    states: np.ndarray  # of each entry, its state; in a bucket in order of their keys
     bucket: np.ndarray  # of each entry
 
 
-def _ask(found: Tokens, words: Level, below: Level, least: float, buckets: int, hot: int) -> Asked:
+def _ask(chunk: Chunk, words: Level, below: Level, order: int, least: float, buckets: int, hot: int) -> Asked:
     inside = np.ones(len(below.at), bool)
-    inside[found.first[:-1]] = False  # the first token of a text extends nothing
+    inside[chunk.first[:-1]] = False  # the first token of a text extends nothing
     before = np.r_[-1, below.at[:-1]]
     stays = np.r_[below.counts >= least, False]  # place -1 is none
     state = np.where(inside & stays[before], before, -1)
     ok = (state >= 0) & stays[below.at]
-    codes, first, place = np.unique(state[ok] * len(words.keys) + words.at[ok], return_index=True, return_inverse=True)
+    codes, place = np.unique(state[ok] * len(words.keys) + words.at[ok], return_inverse=True)
     mine = codes // max(1, len(words.keys))
     last = words.keys[codes % max(1, len(words.keys))]
-    keys = _joined(below.keys[mine], last)
-    lower = below.at[ok][first]
-    home = ((below.keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-    spread = below.counts // hot + 1
-    bucket = (home[mine] + (keys % spread[mine].astype(np.uint64)).astype(np.int64)) % buckets
+    keys = _joined(below.keys[mine], last, order)
+    lower = np.empty(len(codes), np.int64)
+    lower[place] = below.at[ok]
+    used = np.zeros(len(below.keys), bool)
+    used[state[state >= 0]] = True
+    used = np.flatnonzero(used)
+    used = used[np.argsort(below.keys[used])]
+    rank = np.empty(len(below.keys), np.int64)
+    rank[used] = np.arange(len(used))
+    home, mine = _home(below.keys[used], buckets), rank[mine]
+    spread = below.counts[used] // hot + 1
+    bucket = home[mine]
+    wide = np.flatnonzero(spread[mine] > 1)
+    bucket[wide] = (bucket[wide] + (mix(keys[wide]) % spread[mine[wide]].astype(np.uint64)).astype(np.int64)) % buckets
     # every state once in its home, also if nothing here extends it, and wherever else its n-grams are
-    used = np.unique(state[state >= 0])
-    pairs, at = np.unique(np.r_[bucket, home[used]] * (len(below.keys) + 1) + np.r_[mine, used], return_inverse=True)
-    entry = at[: len(keys)]
-    order = np.argsort(entry, kind="stable")
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
+    entries = home * len(used) + np.arange(len(used))
+    if len(wide):
+        entries = np.r_[entries, bucket[wide] * len(used) + mine[wide]]
+    pairs, at = np.unique(entries, return_inverse=True)
+    entry = at[mine]
+    if len(wide):
+        entry[wide] = at[len(used) :]
+    placed = np.argsort(entry * len(entry) + np.arange(len(entry)))
+    back = np.empty(len(placed), np.int64)
+    back[placed] = np.arange(len(placed))
     out = np.full(len(state), -1)
-    out[ok] = rank[place]
-    return Asked(out, state, keys[order], last[order], entry[order], lower[order], pairs % (len(below.keys) + 1), pairs // (len(below.keys) + 1))
+    out[ok] = back[place]
+    return Asked(out, state, keys[placed], last[placed], entry[placed], lower[placed], used[pairs % max(1, len(used))], pairs // max(1, len(used)))
 
 
 def _levels(chunk: pa.Table, back: pa.Table, order: int, least: float, buckets: int, hot: int, weights: list[dict]):
-    """(tokens, levels of the orders that ``back`` knows, what is asked of the next one up to ``order``)."""
-    found, keys, place = _chunk_words(chunk)
+    """(chunk, levels of the orders that ``back`` knows, what is asked of the next one up to ``order``)."""
+    mine = _read(chunk)
     known: dict[int, list] = {}
-    for level, bucket, counts, failure in zip(*(back[c].to_pylist() for c in ("level", "bucket", "counts", "weights"))):
-        known.setdefault(level, []).append((bucket, counts, failure))
-    parts = [np.frombuffer(c, "<i8") for _, c, _ in sorted(known.get(1, []), key=lambda r: r[0])]
-    counts = np.concatenate([np.zeros(0, np.int64), *parts])
-    levels = [Level(place, keys, counts, np.full(len(place), -1), np.zeros(0))]
+    for level, *row in zip(*(back[c].to_pylist() for c in ("level", "bucket", "n", "counts", "numbers", "weights"))):
+        known.setdefault(level, []).append(row)
+    first = sorted(known.get(1, []), key=lambda r: r[0])
+    counts = np.concatenate([np.zeros(0, np.int64), *(_unpack(c, n) for _, n, c, _, _ in first)])
+    keys = np.concatenate([np.zeros(0, np.int64), *(_unpack(x, n) for _, n, _, x, _ in first)]).astype(np.uint64)
+    levels = [Level(mine.place, keys, counts, np.full(len(mine.place), -1), np.zeros(0))]
     for k in range(2, order + 1):
         below = levels[-1]
-        asked = _ask(found, levels[0], below, least, buckets, hot)
+        asked = _ask(mine, levels[0], below, k, least, buckets, hot)
         if k - 2 >= len(weights):
-            return found, levels, asked
+            return mine, levels, asked
         each = np.bincount(asked.bucket[asked.entry], minlength=buckets)
-        of = {b: (c, w) for b, c, w in known.get(k, [])}
+        of = {b: (n, c, w) for b, n, c, _, w in known.get(k, [])}
         at = np.unique(asked.bucket).tolist()
-        counts = np.concatenate([np.zeros(0, np.int64), *(_unpack(of[b][0], int(each[b])) for b in at)])
-        got = np.concatenate([np.zeros(0), *(np.frombuffer(of[b][1], "<f8") for b in at)])
+        counts = np.concatenate([np.zeros(0, np.int64), *(_unpack(of[b][1], int(each[b])) for b in at)])
+        got = np.concatenate([np.zeros(0), *(_unpack_weights(of[b][2], of[b][0]) for b in at)])
         failure = np.full(len(below.keys), np.nan)
         failure[asked.states] = got
         wide = np.unique(asked.states[below.counts[asked.states] >= hot])
         failure[wide] = [weights[k - 2].get(key, np.nan) for key in below.keys[wide].tolist()]
         levels.append(Level(asked.at, asked.keys, counts, asked.state, failure))
-    return found, levels, None
+    return mine, levels, None
 
 
 def _send_grams(chunk: pa.Table, back: pa.Table, order: int, least: float, buckets: int, hot: int, weights: list[dict]) -> pa.Table:
-    found, levels, asked = _levels(chunk, back, order, least, buckets, hot, weights)
-    below, number = levels[-1], chunk["_llm_chunk"][0].as_py()
-    train = np.repeat(chunk["train"].to_numpy(), np.diff(found.first)) & (asked.at >= 0)
+    mine, levels, asked = _levels(chunk, back, order, least, buckets, hot, weights)
+    below = levels[-1]
+    train = np.repeat(mine.train, np.diff(mine.first)) & (asked.at >= 0)
     counts = np.bincount(asked.at[train], minlength=len(asked.keys))
     sizes = np.bincount(asked.entry, minlength=len(asked.states))
     under = np.zeros(len(below.keys), np.int64)  # occurrences of each state without its first word
@@ -247,29 +358,34 @@ def _send_grams(chunk: pa.Table, back: pa.Table, order: int, least: float, bucke
     rows = []
     for b in np.unique(asked.bucket).tolist():
         x, y = int(edges[b]), int(edges[b + 1])
-        mine, g, h = asked.states[x:y], int(ends[x]), int(ends[y])
-        rows.append((b, number, below.keys[mine].tobytes(), _pack(below.counts[mine]), _pack(under[mine]), _pack(sizes[x:y]),
-                     _pack(asked.last[g:h] & _WORD, 6), _pack(counts[g:h]), _pack(lower[g:h])))
+        states, g, h = asked.states[x:y], int(ends[x]), int(ends[y])
+        rows.append((b, mine.number, y - x, _pack_keys(below.keys[states]), _pack(below.counts[states]), _pack(under[states]),
+                     _pack(sizes[x:y]), h - g, _pack(asked.last[g:h]), _pack(counts[g:h]), _pack(lower[g:h])))
     return _table(rows, _SENT)
 
 
 def _sum_grams(bucket: pa.Table, order: int, least: float, hot: int, n: int, v: int) -> pa.Table:
     """Counts and failure weights back to each chunk; a row without chunk has this bucket's part of the states that are spread."""
-    keys = [np.frombuffer(b, np.uint64) for b in bucket["keys"].to_pylist()]
-    grams = [np.zeros(len(b) // 6, np.uint8) for b in bucket["grams"].to_pylist()]  # their lengths
-
-    def all_of(column: str, like: list[np.ndarray]) -> np.ndarray:
-        return np.concatenate([_unpack(b, len(k)) for b, k in zip(bucket[column].to_pylist(), like)])
-
-    states, one, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    count, under = all_of("known", keys)[one], all_of("below", keys)[one]
-    of = np.repeat(at, all_of("sizes", keys))
-    words = all_of("grams", grams).astype(np.uint64)
-    names, first, place = np.unique(_joined(states[of], words), return_index=True, return_inverse=True)
-    total = np.bincount(place, all_of("counts", grams), len(names)).astype(np.int64)
+    some, most = bucket["states"].to_pylist(), bucket["n"].to_pylist()
+
+    def all_of(column: str, sizes: list[int], read=_unpack) -> np.ndarray:
+        return np.concatenate([read(b, n) for b, n in zip(bucket[column].to_pylist(), sizes)])
+
+    def each(place: np.ndarray, n: int, values: np.ndarray) -> np.ndarray:
+        """The value of each of ``n`` things; wherever a thing is, it has the same."""
+        out = np.empty(n, np.int64)
+        out[place] = values
+        return out
+
+    states, at = np.unique(all_of("keys", some, _unpack_keys), return_inverse=True)
+    count, under = each(at, len(states), all_of("known", some)), each(at, len(states), all_of("below", some))
+    of = np.repeat(at, all_of("sizes", some))
+    words = all_of("grams", most).astype(np.uint64)
+    names, place = np.unique(_joined(states[of], words, order), return_inverse=True)
+    total = np.bincount(place, all_of("counts", most), len(names)).astype(np.int64)
     total[total < least] = 0
-    state = of[first]
-    lower = all_of("lower", grams)[first]
+    state = each(place, len(names), of)
+    lower = each(place, len(names), all_of("lower", most))
     below = (lower + 0.5) / (n + 0.5 * (v + 1)) if order == 2 else (lower - DISCOUNT) / np.maximum(under[state], 1)
     stays = total > 0
     held = np.bincount(state[stays], (total[stays] - DISCOUNT) / count[state[stays]], len(states))
@@ -278,12 +394,12 @@ def _sum_grams(bucket: pa.Table, order: int, least: float, hot: int, n: int, v:
     failure = np.where(extended, _failure(held, left), np.nan)
     number, rows = bucket["bucket"][0].as_py(), []
     x = y = 0
-    for chunk, k, g in zip(bucket["_llm_chunk"].to_pylist(), keys, grams):
-        rows.append((chunk, number, order, _pack(total[place[y : y + len(g)]]), failure[at[x : x + len(k)]].tobytes(), None, None, None))
-        x, y = x + len(k), y + len(g)
+    for chunk, k, g in zip(bucket["_llm_chunk"].to_pylist(), some, most):
+        rows.append((chunk, number, order, k, _pack(total[place[y : y + g]]), None, _pack_weights(failure[at[x : x + k]]), None, None, None))
+        x, y = x + k, y + g
     wide = extended & (count >= hot)
     if wide.any():
-        rows.append((None, number, order, None, None, states[wide].tobytes(), held[wide].tobytes(), left[wide].tobytes()))
+        rows.append((None, number, order, 0, None, None, None, states[wide].tobytes(), held[wide].tobytes(), left[wide].tobytes()))
     return _table(rows, _BACK)
 
 
@@ -303,7 +419,7 @@ def _spread_weights(sums: DataFrame) -> dict[int, float]:
 
 
 def _score(chunk: pa.Table, back: pa.Table, order: int, least: float, buckets: int, hot: int, weights: list[dict], n: int, v: int) -> pa.Table:
-    found, levels, _ = _levels(chunk, back, order, least, buckets, hot, weights)
+    mine, levels, _ = _levels(chunk, back, order, least, buckets, hot, weights)
     counts, place = levels[0].counts, levels[0].at
     alone = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))[place]
     value = alone.copy()
@@ -314,9 +430,9 @@ def _score(chunk: pa.Table, back: pa.Table, order: int, least: float, buckets: i
         arc = isstate & (total > 0)
         value = np.where(isstate, value + failure, value)
         value[arc] = np.log10((total[arc] - DISCOUNT) / below.counts[level.state[arc]])
-    base, score, known = (np.add.reduceat(x, found.first[:-1]) for x in (alone, value, (counts > 0)[place].astype(np.int64)))
+    base, score, known = (np.add.reduceat(x, mine.first[:-1]) for x in (alone, value, (counts > 0)[place].astype(np.int64)))
     return pa.table({
-        "doc_id": chunk["doc_id"], "train": chunk["train"], "n_tokens": pa.array(np.diff(found.first), pa.int64()),
+        "doc_id": chunk["doc_ids"][0].values, "train": chunk["train"][0].values, "n_tokens": pa.array(np.diff(mine.first), pa.int64()),
         "n_known": pa.array(known, pa.int64()), "train_tokens": pa.array([n] * len(base), pa.int64()),
         "base_score": pa.array(base, pa.float64()), "score": pa.array(score, pa.float64())})
 
@@ -332,13 +448,19 @@ def score_texts(docs: DataFrame, train: Column, order: int = ORDER, share: float
     total = text_bytes(docs)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     buckets, wide = max(1, -(-total // BUCKET_BYTES)), max(1, -(-total // gram_bucket_bytes))
-    chunks = rows.withColumn("_llm_chunk", chunk_of(F.col("doc_id"), total, chunk_bytes)).groupBy("_llm_chunk")
-    sums = _stored(chunks.applyInArrow(lambda chunk: _send(chunk, buckets), "bucket int, _llm_chunk long, keys binary, counts binary")
-                  .groupBy("bucket").applyInArrow(_sum, _BACK))
+    spark, folder = docs.sparkSession, scratch_path(docs.sparkSession, "chunks")
+    rows.mapInArrow(lambda batches: _chunks(batches, chunk_bytes), _CHUNK_DDL).write.partitionBy("part").parquet(folder)
+    every = spark.read.schema(_CHUNK_DDL).parquet(folder)
+    words = every.where("part = 'words'").select("_llm_chunk", "keys", "counts")
+    sums = _stored(words.mapInArrow(lambda batches: _send(batches, buckets), _WORDS).groupBy("bucket").applyInArrow(
+        lambda bucket: _sum(bucket, buckets), _BACK))
+    remove(spark, f"{folder}/part=words")
+    chunks = every.where("part = 'texts'").select("_llm_chunk", "doc_ids", "train", "sizes", "words", "place")
+    asking = chunks.drop("doc_ids").groupBy("_llm_chunk")
     found = [np.frombuffer(r["counts"], "<i8").tolist() for r in sums.where("_llm_chunk IS NULL").select("counts").collect()]
     n, v = sum(a for a, _ in found), sum(b for _, b in found)
     least, weights = max(LEAST, share * n), []
-    back = sums.where("_llm_chunk IS NOT NULL").select("_llm_chunk", "bucket", "level", "counts", "weights")
+    back = sums.where("_llm_chunk IS NOT NULL").select("_llm_chunk", "bucket", "level", "n", "counts", "numbers", "weights")
 
     def sender(k: int, have: list[dict]):
         return lambda chunk, mine: _send_grams(chunk, mine, k, least, wide, hot, have)
@@ -347,10 +469,10 @@ def score_texts(docs: DataFrame, train: Column, order: int = ORDER, share: float
         return lambda bucket: _sum_grams(bucket, k, least, hot, n, v)
 
     for k in range(2, order + 1):
-        sent = chunks.cogroup(back.groupBy("_llm_chunk")).applyInArrow(sender(k, list(weights)), _SENT)
+        sent = asking.cogroup(back.groupBy("_llm_chunk")).applyInArrow(sender(k, list(weights)), _SENT)
         sums = _stored(sent.groupBy("bucket").applyInArrow(summer(k), _BACK))
         weights.append(_spread_weights(sums))
-        back = back.unionByName(sums.where("_llm_chunk IS NOT NULL").select("_llm_chunk", "bucket", "level", "counts", "weights"))
-    return chunks.cogroup(back.groupBy("_llm_chunk")).applyInArrow(
+        back = back.unionByName(sums.where("_llm_chunk IS NOT NULL").select("_llm_chunk", "bucket", "level", "n", "counts", "numbers", "weights"))
+    return chunks.groupBy("_llm_chunk").cogroup(back.groupBy("_llm_chunk")).applyInArrow(
         lambda chunk, mine: _score(chunk, mine, order, least, wide, hot, weights, n, v),
         "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
