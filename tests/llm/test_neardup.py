@@ -129,3 +129,21 @@ def test_an_id_with_and_without_words(rows):
     found, expected = run(rows, docs), brute(docs)
     assert [r for r in found if r[1]] == [r for r in expected if r[1]]
     assert [r for r in found if not r[1]] == [(3, 0, 3, True), (5, 0, 5, True)]  # a row without words is linked with nothing
+
+
+def test_estimate_is_right_and_short(spark):
+    """The driver plans, prints and compiles the estimate: its length must not grow with the signature's words."""
+    one = neardup.minima(neardup.shingle_sets(pa.array([" ".join(f"w{i}" for i in range(200))]))[0])
+    two = neardup.minima(neardup.shingle_sets(pa.array([" ".join(f"w{i}" for i in range(30, 230))]))[0])
+
+    def packed(low):
+        return [sum(int(v & 15) << 4 * k for k, v in enumerate(low[i : i + 16])) for i in range(0, neardup.HASHES, 16)]
+
+    def signed(words):
+        return [w - (1 << 64) if w >> 63 else w for w in words]
+
+    rows = spark.createDataFrame([(signed(packed(one)), signed(packed(two)))], "a array<long>, b array<long>")
+    found = rows.select(neardup.similarity(F.col("a"), F.col("b")).alias("s"))
+    equal = sum(int(x & 15) == int(y & 15) for x, y in zip(one, two)) / neardup.HASHES
+    assert found.first()[0] == pytest.approx((equal - 1 / 16) / (1 - 1 / 16))
+    assert len(found._jdf.queryExecution().optimizedPlan().toString()) < 5_000

@@ -19,8 +19,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -101,14 +99,17 @@ def _sign(batches):
 
 
 def similarity(a: Column, b: Column) -> Column:
-    """Estimate from two packed signatures: share of equal low bits, corrected for chance."""
-    def unequal(i: int) -> Column:
-        x = F.get(a, i).bitwiseXOR(F.get(b, i))
+    """Estimate from two packed signatures: share of equal low bits, corrected for chance.
+
+    A loop over the words, not one term per word, which the driver would copy with every step of planning.
+    """
+    def unequal(x: Column) -> Column:
         x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
         x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
         return F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
 
-    equal = 1 - reduce(add, [unequal(i) for i in range(HASHES // 16)]) / HASHES
+    words = F.zip_with(a, b, lambda x, y: x.bitwiseXOR(y))
+    equal = 1 - F.aggregate(words, F.lit(0), lambda n, x: n + unequal(x)) / HASHES
     chance = 2.0**-LOW_BITS
     return (equal - chance) / (1 - chance)
 
@@ -314,7 +315,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         hubs = divided.groupBy("band").agg(F.max_by(F.struct("id", "part"), F.struct("weight", -F.col("id"))).alias("hub"))
         pairs = divided.join(hubs, "band").where("part <> hub.part").select(
             F.col("id").alias("a"), F.col("hub.id").alias("b")).distinct()
-        best = likely(pairs).groupBy("a").agg(F.max_by("b", F.struct("likely", -F.col("b"))).alias("b"))
+        best = freeze(likely(pairs).groupBy("a").agg(F.max_by("b", F.struct("likely", -F.col("b"))).alias("b")))  # read three times
         found = _confirm(best, texts)
         links = freeze(found if links is None else links.union(found))
         joined = freeze(components(links))
