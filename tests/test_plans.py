@@ -102,3 +102,27 @@ def test_coverage_does_not_hold_pairs(rows):
     assert tuple(out.first()) == (6, 3, 1, 3, 3)
     assert tuple(aggregates.coverage(df.limit(0), "Key", "Day").first()) == (0, 0, None, None, 0)
     assert "Expand" not in executed(out) and "keys=[Key" not in executed(out)
+
+
+def test_calls_move_by_trip_once_and_without_stop_values(spark, tmp_path):
+    """Lines are grouped where the join by trip needs them; stop values are looked up for kept calls only."""
+    tables = {
+        "customer": ([(i,) for i in range(4)], "c_custkey long"),
+        "nation": ([(i, f"N{i}") for i in range(30)], "n_nationkey int, n_name string"),
+        "part": ([(i, f"p{i}") for i in range(40)], "p_partkey long, p_name string"),
+        "supplier": ([(i, f"s{i}") for i in range(9)], "s_suppkey long, s_name string"),
+        "orders": ([(i, i % 4, "O", "1-URGENT") for i in range(40)] + [(None, 1, "P", "x")],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string"),
+        "lineitem": ([(i, n, i * n, (i + n) % 10) for i in range(40) for n in (1, 2, 2)] + [(None, 1, 1, 1), (3, None, None, None)],
+                     "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    feed = adapter.feed(spark, str(tmp_path))
+    assert sorted(feed.stop_times.collect(), key=str) == sorted(adapter.view(spark, str(tmp_path), "stop_times").collect(), key=str)
+    view = ScheduledPlan(feed).keyed_view
+    assert view.columns[0] == "TripId" and view.where("StopName IS NOT NULL").count()
+    plan = view._jdf.queryExecution().optimizedPlan().toString()
+    stop_join, trip_join, grouped = (plan.index(x) for x in ("Join Inner, (StopId#", "Join Inner, (TripId#", "Aggregate [l_orderkey#"))
+    assert stop_join < trip_join < grouped  # the outer node is printed first
+    assert "RepartitionByExpression [l_orderkey#" in plan[grouped:]
