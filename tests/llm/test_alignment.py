@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tripgrain.llm import alignment
@@ -106,3 +108,18 @@ def test_big_groups_equal_small_ones(monkeypatch):
     monkeypatch.setattr(alignment, "BIG_GROUP", 100)
     for x, y in zip(plain, alignment._links(*given)):
         assert x.tolist() == y.tolist()
+
+
+def test_a_slice_is_aligned_in_little_memory():
+    random = np.random.default_rng(3)
+    texts = pa.array([" ".join(map(str, random.integers(0, 1 << 40, 60))) for _ in range(2_000)], pa.large_string())
+    pair = alignment.Pair(vocabulary(A), vocabulary(B))
+    alignment._chunk(pair, texts.slice(0, 10))
+    tracemalloc.start()
+    try:
+        rows, pairs, docs = alignment._chunk(pair, texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(rows) == 2_000 and len(pairs) == len(docs)
+    assert peak < 150 << 20

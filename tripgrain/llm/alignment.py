@@ -2,11 +2,11 @@
 
 A byte-level vocabulary (A) and a sentence-piece vocabulary (B) cover the same bytes. Every token points to
 the farthest-right token that overlaps it, a token that ends where one of the other side ends points to
-that end. Doubling the pointers, for all tokens of some MB at once, leads each to the last token of its
+that end. Doubling the pointers, for all tokens of half a MB at once, leads each to the last token of its
 group, whose number labels the group.
 
-1. One pass over the texts. Units (a word with the white space before it, which neither vocabulary merges
-   over) are encoded once per worker. Each slice of texts is a chunk: it keeps its distinct linked pairs
+1. One pass over the texts, part by part. Units (a word with the white space before it, which neither vocabulary
+   merges over) are encoded once per worker. Each slice of texts is a chunk: it keeps its distinct linked pairs
    with their number of documents, and per text the pairs as numbers in that list with their links.
 2. The chunks' lists are summed per pair, and the highest count per A id is found, as plain aggregations.
 3. Counts return to the chunks, one row per pair and chunk, and each text adds up its own.
@@ -32,6 +32,8 @@ from tripgrain.llm.words import Words, text_slices, word_hashes
 from tripgrain.session import freeze
 
 SLICE_BYTES = 4 << 20
+#: Bytes of a slice's texts that are aligned at once.
+PART_BYTES = 1 << 19
 #: Units that a worker remembers, at most.
 REMEMBER = 600_000
 #: Bytes of new units that are encoded in one call.
@@ -146,44 +148,44 @@ class Pair:
         first = np.searchsorted(starts, offsets)
         return Words(data, starts, ends, np.repeat(np.arange(len(offsets) - 1), np.diff(first)), first), safe
 
-    def _encode(self, units: list[bytes], alone: list[bool]) -> None:
-        """Remember the ids of new units; one that ends in white space is encoded by itself, behind a word."""
-        found: list[list] = [[], []]
-        good = np.ones(len(units), bool)
-        batch: list[int] = []
-        size = 0
-
-        def together(batch: list[int]) -> None:
-            raw = _START + b"".join(units[k] for k in batch)
-            ends = np.cumsum([len(_START), *(len(units[k]) for k in batch)])
-            both = [side.cuts(raw, ends) for side in self.sides]
-            if None in both and len(batch) > 1:
-                for k in batch:
-                    together([k])
-            elif None in both:
-                good[batch] = False
-                for out in found:
-                    out.append((batch[0], np.zeros(0, np.int64)))
+    def _both(self, units: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """Per vocabulary the ids of units behind a word, and how many each has; None where they can't be told apart."""
+        raw = _START + b"".join(units)
+        ends = np.cumsum([len(_START), *map(len, units)])
+        both = [side.cuts(raw, ends) for side in self.sides]
+        if None in both:
+            return None
+        return [(ids[before[0] : before[-1]].astype(np.int32), np.diff(before)) for ids, before in both]
+
+    def _encode(self, words: Words, together: np.ndarray, alone: np.ndarray) -> None:
+        """Remember the ids of new units, in this order; those that end in white space are encoded one by one."""
+        flat, many, good = [[x] for x in self._flat], [[], []], [self._good]
+        size = np.cumsum(words.ends[together] - words.starts[together])
+        batches, at = [], 0
+        while at < len(together):
+            end = min(len(together), int(np.searchsorted(size, (size[at - 1] if at else 0) + TOGETHER)) + 1)
+            batches.append(together[at:end])
+            at = end
+        for batch in [*batches, *alone.reshape(-1, 1)]:
+            units = [words.bytes_of(i) for i in batch]
+            found = self._both(units)
+            known = np.full(len(units), found is not None)
+            if found is not None:
+                parts = [found]
+            elif len(units) == 1:
+                parts = [None]
             else:
-                for (ids, before), out in zip(both, found):
-                    out.extend((k, ids[a:b]) for k, a, b in zip(batch, before[:-1].tolist(), before[1:].tolist()))
-
-        for k, unit in enumerate(units):
-            if alone[k]:
-                together([k])
-                continue
-            batch.append(k)
-            size += len(unit)
-            if size >= TOGETHER:
-                together(batch)
-                batch, size = [], 0
-        if batch:
-            together(batch)
-        for s, out in enumerate(found):
-            parts = [ids for _, ids in sorted(out, key=lambda x: x[0])]
-            self._flat[s] = np.concatenate([self._flat[s], *parts]).astype(np.int32)
-            self._ends[s] = np.r_[self._ends[s], self._ends[s][-1] + np.cumsum([len(p) for p in parts], dtype=np.int64)]
-        self._good = np.r_[self._good, good]
+                parts = [self._both([unit]) for unit in units]
+                known = np.array([part is not None for part in parts])
+            good.append(known)
+            for s in range(2):
+                for part in parts:
+                    flat[s].append(part[s][0] if part else np.zeros(0, np.int32))
+                    many[s].append(part[s][1] if part else np.zeros(1, np.int64))
+        self._good = np.concatenate(good)
+        for s in range(2):
+            self._flat[s] = np.concatenate(flat[s])
+            self._ends[s] = np.r_[self._ends[s], self._ends[s][-1] + np.cumsum(np.concatenate(many[s]))]
 
     def known(self, words: Words, safe: np.ndarray) -> np.ndarray:
         """The number of each unit, after what is new has been encoded."""
@@ -194,11 +196,13 @@ class Pair:
         new = np.ones(len(distinct), bool)
         new[place < len(self._hash)] = self._hash[place[place < len(self._hash)]] != distinct[place < len(self._hash)]
         if new.any():
-            example = first[new]
+            example, hashes = first[new], distinct[new]
+            plain = safe[words.ends[example] - 1]
             number = len(self._good) + np.arange(len(example))
-            self._encode([words.bytes_of(i) for i in example], (~safe[words.ends[example] - 1]).tolist())
-            order = np.argsort(np.r_[self._hash, distinct[new]], kind="stable")
-            self._hash = np.r_[self._hash, distinct[new]][order]
+            self._encode(words, example[plain], example[~plain])
+            hashes = np.r_[self._hash, hashes[plain], hashes[~plain]]
+            order = np.argsort(hashes, kind="stable")
+            self._hash = hashes[order]
             self._at = np.r_[self._at, number][order]
         return self._at[np.searchsorted(self._hash, distinct)][back]
 
@@ -290,8 +294,11 @@ def _span(pair: Pair) -> int:
     return max(len(side.pieces) for side in pair.sides)
 
 
-def _chunk(pair: Pair, texts: pa.Array) -> tuple[list[tuple], np.ndarray, np.ndarray]:
-    """Per text (n_a, n_b, n_groups, n_links, groups, pairs, links); then the distinct pairs and their texts."""
+_EMPTY = (0, 0, 0, 0, "", b"<u1", b"<u1")
+
+
+def _part(pair: Pair, texts: pa.Array) -> tuple[list[tuple], np.ndarray, list[np.ndarray]]:
+    """Per text (n_a, n_b, n_groups, n_links, groups, nothing, links); the distinct pairs, and each text's among them."""
     n = len(texts)
     spaced = pc.if_else(pc.equal(pc.binary_length(texts), 0), texts, pc.binary_join_element_wise(
         pa.scalar("", pa.large_string()), texts, pa.scalar(" ", pa.large_string())))
@@ -299,9 +306,9 @@ def _chunk(pair: Pair, texts: pa.Array) -> tuple[list[tuple], np.ndarray, np.nda
     offsets = np.frombuffer(offsets, np.int64)[spaced.offset : spaced.offset + n + 1]
     data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
     words, safe = pair.units(data, offsets - offsets[0])
-    empty = (0, 0, 0, 0, "", b"<u1", b"<u1")
+    none = [_EMPTY] * n, np.zeros(0, np.int64), [np.zeros(0, np.int32)] * n
     if not len(words.starts):
-        return [empty] * n, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return none
     numbers = pair.known(words, safe)
     bad = np.zeros(n, bool)
     bad[words.row[~pair.good(numbers)]] = True
@@ -309,7 +316,7 @@ def _chunk(pair: Pair, texts: pa.Array) -> tuple[list[tuple], np.ndarray, np.nda
     numbers, row = numbers[keep], words.row[keep]
     (a, count_a), (b, count_b) = (pair.tokens(numbers, s) for s in range(2))
     if not len(a):
-        return [empty] * n, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return none
     group_a, group_b = label_groups(*(np.cumsum(side.length[ids]) for side, ids in zip(pair.sides, (a, b))))
     n_a, n_b = np.bincount(group_a), np.bincount(group_b)
     doc = np.repeat(row, count_a)[np.cumsum(n_a) - 1]
@@ -325,15 +332,30 @@ def _chunk(pair: Pair, texts: pa.Array) -> tuple[list[tuple], np.ndarray, np.nda
     out = []
     for i in range(n):
         if not have[i]:
-            out.append(empty)
+            out.append(_EMPTY)
             continue
         f, t = edges[i], edges[i + 1]
         out.append((
             *(int(x[t] - x[f]) for x in sums[:2]), int(t - f), int(sums[2][t] - sums[2][f]),
-            hashlib.sha256(text[text_ends[f] : text_ends[t]]).hexdigest(),
-            _narrow(code[cuts[i] : cuts[i + 1]]), _narrow(links[cuts[i] : cuts[i + 1]]),
+            hashlib.sha256(text[text_ends[f] : text_ends[t]]).hexdigest(), b"", _narrow(links[cuts[i] : cuts[i + 1]]),
         ))
-    return out, distinct, np.bincount(code, minlength=len(distinct))
+    return out, distinct, np.split(code.astype(np.int32), cuts[1:-1])
+
+
+def _chunk(pair: Pair, texts: pa.Array) -> tuple[list[tuple], np.ndarray, np.ndarray]:
+    """Per text (n_a, n_b, n_groups, n_links, groups, pairs, links); then the distinct pairs and their texts.
+
+    The texts are aligned part by part, so that only the pairs of a part are there as wide numbers.
+    """
+    parts = [_part(pair, some) for _, some in text_slices(texts, PART_BYTES)]
+    distinct = np.unique(np.concatenate([pairs for _, pairs, _ in parts] or [np.zeros(0, np.int64)]))
+    docs = np.zeros(len(distinct), np.int64)
+    out = []
+    for rows, pairs, codes in parts:
+        place = np.searchsorted(distinct, pairs)
+        docs[place] += np.bincount(np.concatenate(codes), minlength=len(pairs))
+        out += [(*row[:5], _narrow(place[code]), row[6]) for row, code in zip(rows, codes)]
+    return out, distinct, docs
 
 
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
