@@ -122,6 +122,28 @@ def test_counts_per_key_are_added_up_without_sorting(rows, monkeypatch):
     assert plans and "HashAggregate" in plans[0] and "SortAggregate" not in plans[0]
 
 
+def test_events_and_trip_stops_are_sent_once_and_not_stored_by_key(rows, monkeypatch):
+    stored = []
+    monkeypatch.setattr(realtime, "freeze", lambda df: stored.append(df.count()) or df)
+    targets = rows([(1, 1, "a", "S1", CAPTURE, CAPTURE), (2, 1, "a", "S2", CAPTURE, None)], TARGET)
+    state = rows([("x", "1", "S1", None, CAPTURE), ("y", "1", "S2", CAPTURE, None), ("z", "1", "S2", None, CAPTURE)], STATE)
+    out = realtime.match_events(state, targets, rows([("1", "a")], "StationEva string, ParentStationId string"))
+    plan = out.judged._jdf.queryExecution().executedPlan().toString()
+    assert sum(stored) == 0 and plan.count("REPARTITION_BY_COL") == 1
+    after = plan.split("REPARTITION_BY_COL")[0]
+    assert "Join" not in after and after.count("Exchange ") == 1
+    assert {(r.DbEventId, r.FactTripStopKey) for r in out.matched.collect()} == {("x", 1), ("y", 2)}
+
+
+def test_a_trip_stop_of_two_rows_counts_the_events_of_both(rows):
+    late = CAPTURE + timedelta(minutes=5)
+    targets = rows([(1, 1, "a", "S1", CAPTURE, None), (1, 1, "a", "S1", late, None), (2, 1, "a", "S2", late, None)], TARGET)
+    state = rows([("x", "1", "S1", CAPTURE, None), ("y", "1", "S1", late, None), ("z", "1", "S2", late, None)], STATE)
+    out = realtime.match_events(state, targets, rows([("1", "a")], "StationEva string, ParentStationId string"))
+    assert {r.DbEventId for r in out.matched.collect()} == {"z"}
+    assert {(r.DbEventId, r.Reason) for r in out.unmatched.collect()} == {("x", "many"), ("y", "many")}
+
+
 def test_ambiguous_pairs_are_listed_not_loaded(rows):
     arrival = CAPTURE
     targets = rows([(1, 1, "a", "S1", arrival, None), (2, 1, "a", "S1", arrival, None), (3, 1, "b", "S1", arrival, None)], TARGET)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripgrain.functions.times import compact_timestamp, delay_minutes, is_cancelled
@@ -208,7 +208,8 @@ def explode_path(plan: DataFrame, separator: str, path: str = "DeparturePath") -
 
 # The times come first: they differ most, so sorts by the key seldom compare the texts.
 _KEY = ["_t1", "_t2", "_station", "_line", "_kind"]
-_BOTH, _ARRIVAL, _DEPARTURE = 0, 1, 2
+_BOTH, _ARRIVAL, _DEPARTURE, _STOP, _LOST = range(5)
+_RULE = "station + line + planned times"
 
 
 def _line(name: Column) -> Column:
@@ -310,17 +311,100 @@ def match_events(state: DataFrame, targets: DataFrame, station_map: DataFrame) -
     """One-to-one match of events to trip-stops.
 
     A pair is a candidate when station and line agree and every planned time on the event equals the
-    scheduled time of the same kind. It is kept when it is the only candidate on both sides. All
-    work is on counts per comparison key, so candidates are never enumerated in pairs. The counts
-    are stored once, because later steps read them; they hold numbers and times only, so that Spark adds them up in
-    a hash table. The event of a pair is the one that has its key.
+    scheduled time of the same kind. It is kept when it is the only candidate on both sides. Candidates are counted,
+    never enumerated in pairs. Events and trip-stops are sent once, to the task of their station and line; where one
+    of these has too many rows for a task, or a trip-stop has several rows, the counts are taken per comparison key.
     """
     events = _keyed_events(state, station_map)
     stops = _stops(targets)
     places = events.select("_station", "_line").distinct()
     if estimated_bytes(places) <= broadcast_limit(places):
         stops = stops.join(F.broadcast(places), ["_station", "_line"], "left_semi")
+    at_places = _dealt_events(events, state.columns), stops.dropna(subset=["_station", "_line"])
+    if _is_crowded(*at_places) or _is_repeated(stops):
+        return _match_by_key(events, stops, state.columns)
+    found = _match_at_places(*at_places, state.columns)
+    named, paired = F.col("DbEventId").isNotNull(), F.col("_stop").isNotNull()
+    reason = F.when(F.col("_seen"), "many").otherwise("none")
+    matched = found.filter(named & paired).select(*state.columns, "_stop.FactTripStopKey", "_stop.DateKey", F.lit(_RULE).alias("MatchRule"))
+    judged = found.select(
+        *state.columns, *(F.when(named, F.col(f"_stop.{c}")).alias(c) for c in ("FactTripStopKey", "DateKey")),
+        F.when(named & paired, F.lit(_RULE)).alias("MatchRule"), F.when(named & ~paired, reason).alias("Reason"))
+    return Match(matched, found.filter(~paired).select("DbEventId", reason.alias("Reason")), judged)
+
+
+def _dealt_events(events: DataFrame, columns: list[str]) -> DataFrame:
+    """Events with station, line, kind and times; those that cannot match are spread over lines of no station."""
+    usable = F.col("_station").isNotNull() & F.col("_line").isNotNull() & F.col("_kind").isNotNull()
+    return events.select(
+        *columns, F.when(usable, F.col("_kind")).otherwise(_LOST).alias("_kind"),
+        F.when(usable, F.col("_station")).alias("_station"),
+        F.when(usable, F.col("_line")).otherwise(F.xxhash64(*columns).cast("string")).alias("_line"),
+        F.col("PlannedArrival").alias("_arr"), F.col("PlannedDeparture").alias("_dep"),
+    )
+
+
+def _is_crowded(events: DataFrame, stops: DataFrame) -> bool:
+    """Whether a station and line has more than HOT_ROWS rows; looked for at stations that have so many only."""
+    place = ["_station", "_line"]
+    rows = events.select(*place).unionByName(stops.select(*place))
+    full = freeze(hot_keys(rows, place[:1], HOT_ROWS))
+    if full.isEmpty():
+        return False
+    named = F.broadcast(full.select(F.col("_station").alias("_full")))
+    inside = rows.join(named, F.col("_station").eqNullSafe(F.col("_full")), "left_semi")
+    return not hot_keys(inside, place, HOT_ROWS).isEmpty()
+
 
+def _is_repeated(stops: DataFrame) -> bool:
+    return not stops.groupBy("FactTripStopKey").agg(F.count("*").alias("_n")).filter("_n > 1").isEmpty()
+
+
+def _match_at_places(events: DataFrame, stops: DataFrame, columns: list[str]) -> DataFrame:
+    """Events with ``_seen``, whether a trip-stop has their comparison key, and the trip-stop they are paired with.
+
+    All is done inside the tasks that events and trip-stops are dealt to. A trip-stop has one row: it meets the
+    events that have both its times, its arrival and its departure in three windows.
+    """
+    place = ["_station", "_line"]
+    both, arrival, departure = (
+        Window.partitionBy(*times, *place, *then) for times, then in ((["_arr"], ["_dep"]), (["_arr"], []), (["_dep"], [])))
+    windows = {_BOTH: both, _ARRIVAL: arrival, _DEPARTURE: departure}
+    by_arrival, by_departure = ["_arr", *place, "_dep"], ["_dep", *place]
+    is_stop = F.col("_kind") == _STOP
+
+    def counts(*kinds: int) -> dict[str, Column]:
+        """Events of a kind, and trip-stops, that have the key of the row."""
+        return {f"_{name}{k}": F.count_if(test).over(windows[k]) for k in kinds for name, test in (
+            ("events", F.col("_kind") == k), ("stops", is_stop))}
+
+    def free(*kinds: int) -> dict[str, Column]:
+        """The trip-stop with the key of the row that has no other event."""
+        return {f"_free{k}": F.max("_free").over(windows[k]) for k in kinds}
+
+    rows = events.unionByName(stops.withColumn("_kind", F.lit(_STOP)), allowMissingColumns=True).repartition(*place)
+    # Rows in this order serve the windows over both times and over the arrival.
+    rows = rows.sortWithinPartitions(*by_arrival).withColumns(counts(_BOTH)).withColumns(counts(_ARRIVAL))
+    rows = rows.sortWithinPartitions(*by_departure).withColumns(counts(_DEPARTURE))
+    met = reduce(Column.__add__, (F.col(f"_events{k}") for k in windows))
+    stop = F.struct("FactTripStopKey", "DateKey")
+    rows = rows.withColumn("_free", F.when(is_stop & (met == 1) & F.col("FactTripStopKey").isNotNull(), stop))
+    rows = rows.withColumns(free(_DEPARTURE)).filter(~is_stop | F.col("_free").isNotNull())
+    rows = rows.sortWithinPartitions(*by_arrival).withColumns(free(_BOTH)).withColumns(free(_ARRIVAL)).filter(~is_stop)
+
+    def of_kind(name: str) -> Column:
+        return reduce(lambda found, k: found.when(F.col("_kind") == k, F.col(f"_{name}{k}")), windows, F)
+
+    have = F.coalesce(of_kind("stops"), F.lit(0))
+    return rows.select(*columns, (have > 0).alias("_seen"), F.when(have == 1, of_kind("free")).alias("_stop"))
+
+
+def _match_by_key(events: DataFrame, stops: DataFrame, columns: list[str]) -> Match:
+    """:func:`match_events` for keys of any number of rows, and trip-stops of several.
+
+    All work is on counts per comparison key. The counts are stored once, because later steps read them; they hold
+    numbers and times only, so that Spark adds them up in a hash table. The event of a pair is the one that has its key.
+    """
     stop_values = ["FactTripStopKey", "DateKey", "_arr", "_dep"]
     event_side = events.select(*_KEY, F.lit(1).alias("_e"), F.lit(0).alias("_s"))
     stop_side = _target_keys(stops).select(*_KEY, F.lit(0).alias("_e"), F.lit(1).alias("_s"), *stop_values)
@@ -338,17 +422,16 @@ def match_events(state: DataFrame, targets: DataFrame, station_map: DataFrame) -
     live = counted.filter("_stops > 0").dropna(subset=_KEY)
     paired = _pairs(live, even_stops)
     bound = estimated_bytes(live)  # the tables below have no more rows
-    rule = F.lit("station + line + planned times")
     matched = _at_keys(
         events.filter("DbEventId IS NOT NULL"), paired, ["DbEventId"], "inner", even_events, bound,
-    ).select(*state.columns, "FactTripStopKey", "DateKey", rule.alias("MatchRule"))
+    ).select(*columns, "FactTripStopKey", "DateKey", F.lit(_RULE).alias("MatchRule"))
     seen = live.select(*_KEY, F.lit(True).alias("_seen")).join(paired.withColumn("_paired", F.lit(True)), _KEY, "left")
     every = _at_keys(events, seen, ["DbEventId"], "left", even_events, bound)
     named, free = F.col("DbEventId").isNotNull(), F.col("_paired").isNull()
     reason = F.when(F.col("_seen"), "many").otherwise("none")
     judged = every.select(
-        *state.columns, *(F.when(named, F.col(c)).alias(c) for c in ("FactTripStopKey", "DateKey")),
-        F.when(named & ~free, rule).alias("MatchRule"), F.when(named & free, reason).alias("Reason"))
+        *columns, *(F.when(named, F.col(c)).alias(c) for c in ("FactTripStopKey", "DateKey")),
+        F.when(named & ~free, F.lit(_RULE)).alias("MatchRule"), F.when(named & free, reason).alias("Reason"))
     return Match(matched, every.filter(free).select("DbEventId", reason.alias("Reason")), judged)
 
 
