@@ -246,6 +246,17 @@ def test_plan_and_change_may_land_apart(spark, rows, tmp_path, warehouse):
         "e1": (100, 9), "e2": (101, None), "e3": (102, None)}
 
 
+def test_captures_wait_on_disk(spark, rows, tmp_path, warehouse):
+    targets, stations = warehouse
+    key = "spark.sql.streaming.stateStore.providerClass"
+    for wait, where in (("1 hour", "RocksDB"), ("0 seconds", "HDFSBacked")):
+        raw, paths = str(tmp_path / f"raw {where}"), stream.RealtimePaths(str(tmp_path / where))
+        tables.land_raw(rows(CAPTURE_1, RAW_DOCUMENT), raw)
+        stream.run_realtime(spark, raw, paths, stations, lambda: targets, wait=wait).awaitTermination()
+        assert f"{where}StateStoreProvider" in open(f"{paths.checkpoint('load')}/offsets/0").read()
+        assert spark.conf.get(key, None) is None
+
+
 def test_bad_documents_are_kept_with_a_reason(spark, rows, tmp_path, warehouse):
     targets, stations = warehouse
     raw, paths = str(tmp_path / "raw"), stream.RealtimePaths(str(tmp_path / "rt"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime, time, timedelta
 
@@ -44,6 +45,13 @@ FACT_COLUMNS = (
 )
 #: Days after its first capture that an event is known and can be matched anew.
 LIVE_DAYS = 7
+#: How captures that wait are kept: on the executors' disks and in bounded memory, whatever their number.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 #: Ranges of days that a scan of the trip-stops is limited by, at most.
 DAY_RANGES = 64
 
@@ -296,6 +304,23 @@ def complete_stream(parsed: DataFrame, wait: str) -> DataFrame:
     return complete_captures(timed, ("_instant",))
 
 
+@contextmanager
+def _state_settings(spark: SparkSession, wait: str) -> Iterator[None]:
+    """A stream started inside keeps captures that ``wait`` as STATE_SETTINGS say, unless the session says otherwise.
+
+    A stream that has a checkpoint stays with the provider it began with.
+    """
+    waits = any(digit in wait for digit in "123456789")
+    unset = [key for key in STATE_SETTINGS if waits and spark.conf.get(key, None) is None]
+    for key in unset:
+        spark.conf.set(key, STATE_SETTINGS[key])
+    try:
+        yield
+    finally:
+        for key in unset:
+            spark.conf.unset(key)
+
+
 def run_realtime(
     spark: SparkSession,
     documents: DataFrame | str,
@@ -337,7 +362,8 @@ def run_realtime(
         first.awaitTermination()
     write_table(spark.createDataFrame([], schema), f"{paths.parsed}/empty")  # the folder is there from the start
     parsed = spark.readStream.schema(schema).parquet(f"{paths.parsed}/*")
-    return (
-        complete_stream(parsed, wait).writeStream.outputMode("append").foreachBatch(cycle)
-        .option("checkpointLocation", paths.checkpoint("load")).trigger(**trigger).start()
-    )
+    with _state_settings(spark, wait):
+        return (
+            complete_stream(parsed, wait).writeStream.outputMode("append").foreachBatch(cycle)
+            .option("checkpointLocation", paths.checkpoint("load")).trigger(**trigger).start()
+        )
